@@ -11,22 +11,23 @@ from itemlens.plans import views as V
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "v_ratings": (
         (),
-        """SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, round(avg(l.l_quantity) / 10, 6) AS rating
+        """SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, avg(l.l_quantity) / 10 AS rating
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   GROUP BY o.o_custkey, l.l_partkey""",
     ),
     "v_sales": (
         (),
         """SELECT l_partkey AS item_id,
-         round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)))
+              AS DOUBLE) AS revenue,
          count(*) AS vote_count,
-         round(avg(l_quantity) / 5, 6) AS vote_average,
-         round(sum(l_tax) * 100, 6) AS popularity
+         avg(l_quantity) / 5 AS vote_average,
+         CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS DOUBLE) AS popularity
   FROM lineitem GROUP BY l_partkey""",
     ),
     "v_items": (
         ("v_sales",),
-        """SELECT s.item_id, p.p_name AS title, round(p.p_retailprice * p.p_size * 50, 2) AS budget,
+        """SELECT s.item_id, p.p_name AS title, CAST(round(p.p_retailprice * 100) AS BIGINT) * p.p_size / 2 AS budget,
          s.revenue, s.vote_count, s.vote_average, CAST(p.p_size * 4 AS DOUBLE) AS runtime,
          p.p_brand AS language, p.p_type AS category,
          make_date(CAST(1980 + p.p_partkey % 40 AS INTEGER), CAST(1 + p.p_partkey % 12 AS INTEGER),
@@ -68,6 +69,31 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("v_items",),
         f"""SELECT item_id * 7 + 3 AS tmdb_id, title FROM v_items WHERE item_id % {V.UNTITLED_MOD} <> 0""",
     ),
+    "v_raw_ratings": (
+        ("v_ratings",),
+        f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
+         CASE WHEN (user_id * 31 + item_id) % {V.BAD_RATING_MOD} = 0 THEN 'n/a' ELSE CAST(rating AS VARCHAR) END AS rating
+  FROM v_ratings""",
+    ),
+    "v_clean_items": (
+        ("v_raw_items",),
+        """SELECT * FROM (
+    SELECT id, title,
+           TRY_CAST(budget AS DOUBLE) AS budget, TRY_CAST(revenue AS DOUBLE) AS revenue,
+           TRY_CAST(vote_average AS DOUBLE) AS vote_average, TRY_CAST(vote_count AS INTEGER) AS vote_count,
+           TRY_CAST(popularity AS DOUBLE) AS popularity, TRY_CAST(runtime AS DOUBLE) AS runtime,
+           CAST(year(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_year,
+           CASE WHEN json_valid(genres) THEN json_extract_string(genres, '$[*].name')
+                ELSE CAST([] AS VARCHAR[]) END AS genres_list,
+           genre_tags, original_language
+    FROM v_raw_items) t
+  WHERE budget IS NOT NULL AND revenue IS NOT NULL AND vote_average IS NOT NULL AND title IS NOT NULL
+    AND revenue > 1000 AND budget > 1000 AND vote_count > 10""",
+    ),
+    "v_analysis": (
+        ("v_clean_items",),
+        f"""SELECT * FROM v_clean_items WHERE vote_count > {V.EDA_MIN_VOTES}""",
+    ),
     "v_doc_labels": (
         (),
         """SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic

@@ -32,6 +32,10 @@ NULL_LANGUAGE_MOD = 31
 NULL_RUNTIME_MOD = 37
 NULL_TMDB_MOD = 17
 UNTITLED_MOD = 5
+BAD_RATING_MOD = 97
+# Popularity threshold of the analysis frame. The reference uses vote_count > 50 on its data; here vote counts are
+# lines per part (about 30 on average), so the cut sits at 30 to keep about half of the catalogue.
+EDA_MIN_VOTES = 30
 
 
 def ratings(spark: SparkSession, d: str) -> DataFrame:
@@ -45,18 +49,27 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
     return (
         li.join(o, li.l_orderkey == o.o_orderkey)
         .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-        .agg(F.round(F.avg("l_quantity") / 10, 6).alias("rating"))
+        .agg((F.avg("l_quantity") / 10).alias("rating"))
     )
 
 
+def _cents(c: str):
+    """A two-decimal amount as an exact integer number of hundredths."""
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
 def item_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Per-part sales aggregates (partial aggregation before the shuffle on the part key)."""
+    """Per-part sales aggregates (partial aggregation before the shuffle on the part key).
+
+    Money is summed as exact integers (price in cents times the kept percentage, i.e. units of 1/10000) so the sum
+    does not depend on the order the rows are added in; averages of integers are exact too.
+    """
     li = load(spark, d, "lineitem")
     return li.groupBy(F.col("l_partkey").alias("item_id")).agg(
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
+        F.sum(_cents("l_extendedprice") * (100 - _cents("l_discount"))).cast("double").alias("revenue"),
         F.count(F.lit(1)).alias("vote_count"),
-        F.round(F.avg("l_quantity") / 5, 6).alias("vote_average"),
-        F.round(F.sum("l_tax") * 100, 6).alias("popularity"),
+        (F.avg("l_quantity") / 5).alias("vote_average"),
+        F.sum(_cents("l_tax")).cast("double").alias("popularity"),
     )
 
 
@@ -67,7 +80,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return p.join(item_sales(spark, d), p.p_partkey == F.col("item_id")).select(
         F.col("item_id"),
         F.col("p_name").alias("title"),
-        F.round(F.col("p_retailprice") * F.col("p_size") * 50, 2).alias("budget"),
+        (_cents("p_retailprice") * F.col("p_size") / 2).alias("budget"),
         F.col("revenue"),
         F.col("vote_count"),
         F.col("vote_average"),
@@ -120,6 +133,29 @@ def raw_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def raw_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """``ratings`` as text, with an unparsable rating on some rows, like a ratings CSV export."""
+    r = ratings(spark, d)
+    bad = (F.col("user_id") * 31 + F.col("item_id")) % BAD_RATING_MOD == 0
+    return r.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("item_id").cast("string").alias("item_id"),
+        F.when(bad, F.lit("n/a")).otherwise(F.col("rating").cast("string")).alias("rating"),
+    )
+
+
+def clean_items(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned catalogue (Q1 applied to ``raw_items``)."""
+    from itemlens.operators.clean import clean_items as _clean
+
+    return _clean(raw_items(spark, d))
+
+
+def analysis_items(spark: SparkSession, d: str) -> DataFrame:
+    """The analysis frame of the exploratory queries: cleaned items above the popularity threshold."""
+    return clean_items(spark, d).filter(F.col("vote_count") > EDA_MIN_VOTES)
+
+
 def links(spark: SparkSession, d: str) -> DataFrame:
     """(movie_id, tmdb_id, imdb_id): id map from the ratings id space to the catalogue id space; some ids are null."""
     k = F.col("p_partkey")
