@@ -61,16 +61,23 @@ def unrated_items_cond(items: DataFrame, ratings: DataFrame, user_id, *, item_co
     )
 
 
-def with_titles(df: DataFrame, titles: DataFrame, *, key: str, default_prefix: str | None = None) -> DataFrame:
+def with_titles(
+    df: DataFrame,
+    titles: DataFrame,
+    *,
+    key: str,
+    default_prefix: str | None = None,
+    default_id: str | None = None,
+) -> DataFrame:
     """Attach a title to every row by key.
 
-    With ``default_prefix`` this is a left join and a missing title becomes ``'<prefix> <id>'`` (X18): one join for
-    all rows instead of one lookup per row. Titles are deduplicated on the key (lowest title) so rows never fan out.
+    With ``default_prefix`` this is a left join and a missing title becomes ``'<prefix> <id>'`` (X18), the id taken
+    from ``default_id`` (the key by default): one join for all rows instead of one lookup per row. Titles are
+    deduplicated on the key (lowest title) so rows never fan out.
     """
     dedup = titles.groupBy(key).agg(F.min("title").alias("title"))
     if default_prefix is None:
         return df.join(dedup, key)
     out = df.join(dedup, key, "left")
-    return out.withColumn(
-        "title", F.coalesce(F.col("title"), F.concat(F.lit(default_prefix + " "), F.col(key).cast("string")))
-    )
+    label = F.concat(F.lit(default_prefix + " "), F.col(default_id or key).cast("string"))
+    return out.withColumn("title", F.coalesce(F.col("title"), label))
