@@ -195,7 +195,7 @@ def als_unseen_top_k(
     slots = unseen_slots(seen_ranks, cand.select("user_id"), k)
     return slots.join(
         cand.withColumnRenamed("rank", "target_rank"), ["user_id", "target_rank"]
-    ).select("user_id", F.col("pos").cast("int").alias("pos"), "item_id", "rating")
+    ).select("user_id", F.col("pos").cast("int").alias("pos"), F.col("item_id").alias(item_col), "rating")
 
 
 def predict_unrated(model, unrated: DataFrame, k: int = 10, *, item_col: str = "item_id") -> DataFrame:
