@@ -6,8 +6,8 @@
   holds one whole group, so use it only when group sizes are bounded (for example candidates already cut to k).
 - :func:`global_rank` gives every row its 1-based position in a total order without a single-partition window: a
   range-partitioned sort, per-partition counts (one row per partition, a proven-small broadcast) and an offset.
-- :func:`ordinal_within_group` does the same per group, so a hot group that holds a third of all rows is spread over
-  many range partitions instead of landing in one task.
+- :func:`ordinal_within_group` numbers rows inside a group by an integer rank with windows of bounded size (rank
+  blocks), so a hot group that holds a third of all rows never lands in one window partition.
 """
 
 from __future__ import annotations
@@ -67,12 +67,25 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank", num_partitio
     )
 
 
-def ordinal_within_group(df: DataFrame, group_col: str, order_col: str, ordinal_col: str = "ordinal") -> DataFrame:
-    """1-based position of each row inside its group by ``order_col`` (unique within the group), skew-safe.
+def ordinal_within_group(
+    df: DataFrame, group_col: str, rank_col: str, ordinal_col: str = "ordinal", block: int = 1024
+) -> DataFrame:
+    """1-based position of each row inside its group by the positive integer ``rank_col`` (unique per group).
 
-    A global rank over (group, order) minus the group's first global rank. The per-group minimum is a partial
-    aggregate (a hot group collapses to one row per task before the shuffle).
+    Skew-safe without a global sort: ranks are cut into blocks of ``block`` consecutive values; a group-by counts rows
+    per (group, block) (partial aggregation, so a hot group collapses before the shuffle), a window over one group's
+    block counts gives the rows before each block (at most ``max rank / block`` rows per window partition, whatever
+    the group's size), and ``row_number`` inside a (group, block) sees at most ``block`` rows.
     """
-    ranked = global_rank(df, [group_col, order_col], rank_col="_g")
-    first = ranked.groupBy(group_col).agg(F.min("_g").alias("_g0"))
-    return ranked.join(first, group_col).withColumn(ordinal_col, F.col("_g") - F.col("_g0") + 1).drop("_g", "_g0")
+    b = F.floor((F.col(rank_col) - 1) / block).cast("long")
+    tagged = df.withColumn("_blk", b)
+    counts = tagged.groupBy(group_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(group_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
+    inner = Window.partitionBy(group_col, "_blk").orderBy(rank_col)
+    return (
+        tagged.withColumn("_rn", F.row_number().over(inner))
+        .join(offsets, [group_col, "_blk"])
+        .withColumn(ordinal_col, F.col("_before") + F.col("_rn"))
+        .drop("_blk", "_rn", "_before")
+    )
