@@ -40,6 +40,6 @@ def register(name: str, *, sql: str | None, operators: str, bench: bool = False)
 
 def all_queries() -> dict[str, QuerySpec]:
     # Import for the registration side effect.
-    from itemlens.plans import q_catalog, q_clean, q_eda, q_ml, q_recs  # noqa: F401
+    from itemlens.plans import q_catalog, q_clean, q_eda, q_ml, q_panels, q_recs  # noqa: F401
 
     return dict(REGISTRY)
