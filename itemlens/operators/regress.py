@@ -71,6 +71,8 @@ def compare_models(
             F.lit(name).alias("model"), F.lit(label).alias("target"), "rmse", "mae", "r2", "n"
         )
         rows = m if rows is None else rows.unionByName(m)
+    # Models are fitted; the scores read only the test side, so the cached train side can go.
+    train.unpersist()
     return rows, fitted
 
 

@@ -6,6 +6,7 @@ least squares has an exact SQL twin (``regr_slope`` / ``regr_intercept``).
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from itemlens.operators import evaluate as EV
@@ -221,23 +222,35 @@ def als_unseen_recs(spark, d):
 
 @register("als_user_report", operators="Q7 T4 F6 J6 J7 X18 T6 T9", sql=None)
 def als_user_report(spark, d):
-    """Held-out top-5 ratings and top-10 recommendations (titled, 'Movie <id>' default) for the first test users."""
+    """Held-out top-5 ratings and top-10 recommendations (titled, 'Movie <id>' default) for the first test users.
+
+    The user ids are a bounded collect (``REPORT_USERS`` rows). Each user's held-out top 5 is its own
+    ``TakeOrderedAndProject`` (every task keeps 5 rows, so a user with a huge history is never gathered into one
+    window partition), and recommendations are computed for those users only.
+    """
     model, _, test, _ = _als(spark, d)
     titles = _titles(spark, d)
-    users = test.select("user_id").distinct().orderBy("user_id").limit(REPORT_USERS)
-    held = test.join(F.broadcast(users), "user_id")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy(F.desc("rating"), "tmdb_id")
-    held_top = held.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= 5)
-    held_top = joins.with_titles(held_top, titles, key="tmdb_id", default_prefix="Movie").select(
+    ids = [r[0] for r in test.select("user_id").distinct().orderBy("user_id").limit(REPORT_USERS).collect()]
+    held = None
+    for u in ids:
+        top5 = test.filter(F.col("user_id") == u).orderBy(F.desc("rating"), "tmdb_id").limit(5)
+        top5 = top5.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rating"), "tmdb_id")))
+        held = top5 if held is None else held.unionByName(top5)
+    held = joins.with_titles(held, titles, key="tmdb_id", default_prefix="Movie").select(
         "user_id", F.lit("held_out").alias("section"), "pos", "tmdb_id", "title", F.col("rating").alias("value")
     )
-    recs = recommend.als_recommend_all(model, 10, item_col="tmdb_id").join(F.broadcast(users), "user_id")
+    users = spark.createDataFrame([(int(u),) for u in ids], "user_id int")
+    recs = model.recommendForUserSubset(users, 10)
+    recs = recs.select("user_id", F.posexplode("recommendations").alias("p", "rec")).select(
+        F.col("user_id").cast("long").alias("user_id"),
+        (F.col("p") + 1).alias("pos"),
+        F.col("rec.tmdb_id").cast("long").alias("tmdb_id"),
+        F.col("rec.rating").cast("double").alias("value"),
+    )
     recs = joins.with_titles(recs, titles, key="tmdb_id", default_prefix="Movie").select(
-        "user_id", F.lit("recommended").alias("section"), "pos", "tmdb_id", "title", F.col("rating").alias("value")
+        "user_id", F.lit("recommended").alias("section"), "pos", "tmdb_id", "title", "value"
     )
-    return held_top.unionByName(recs)
+    return held.unionByName(recs)
 
 
 def _als_relevant(test):
