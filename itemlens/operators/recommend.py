@@ -198,11 +198,13 @@ def als_unseen_top_k(
     ).select("user_id", F.col("pos").cast("int").alias("pos"), F.col("item_id").alias(item_col), "rating")
 
 
-def predict_unrated(model, unrated: DataFrame, k: int = 10, *, item_col: str = "item_id") -> DataFrame:
-    """Q6: predicted ratings of one user's unrated items, best first (ties by id), top ``k``."""
+def predict_unrated(model, unrated: DataFrame, k: int | None = 10, *, item_col: str = "item_id") -> DataFrame:
+    """Q6: predicted ratings of one user's unrated items, best first (ties by id); top ``k``, or the full sorted
+    list (T1) when ``k`` is None. Items without factors are dropped (no NaN rows)."""
     scored = als_scores(model, unrated, item_col=item_col)
     valid = scored.filter(~F.isnan("prediction"))
-    return valid.select(item_col, "prediction").orderBy(F.desc("prediction"), item_col).limit(k)
+    ordered = valid.select(item_col, "prediction").orderBy(F.desc("prediction"), item_col)
+    return ordered.limit(k) if k else ordered
 
 
 def factor_table(model, which: str = "item") -> DataFrame:

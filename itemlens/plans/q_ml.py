@@ -68,7 +68,7 @@ def _lr(label):
     return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
 
 
-@register("regression_compare_revenue", operators="M1 M5 M6 M7 M8 M9 M10 M11", sql=None)
+@register("regression_compare_revenue", operators="M1 M5 M6 M7 M8 M9 M10 M11 P8 F1", sql=None)
 def regression_compare_revenue(spark, d):
     table, _ = regress.compare_models(spark, V.analysis_items(spark, d), "revenue", REVENUE_FEATURES, ["id"])
     return table
@@ -190,7 +190,7 @@ def factor_sizes(spark, d):
     return u.unionByName(i).withColumn("rank", F.lit(model.rank))
 
 
-@register("als_similar_items", operators="Q5 M23 J9 X16 F7 T2 J3", sql=None)
+@register("als_similar_items", operators="Q5 M23 J9 X16 F7 T2 J3 F14 F6", sql=None)
 def als_similar_items(spark, d):
     model, _, _, _ = _als(spark, d)
     factors = model.itemFactors.select(F.col("id").cast("long").alias("tmdb_id"), "features")
@@ -208,6 +208,14 @@ def als_predict_unrated(spark, d):
     return joins.with_titles(top, titles, key="tmdb_id").orderBy(F.desc("prediction"), "tmdb_id")
 
 
+@register("als_predict_unrated_all", operators="Q6 T1 J4 P5 M17 F14", sql=None)
+def als_predict_unrated_all(spark, d):
+    """The script variant of Q6: every unrated item of the user with its prediction, fully sorted (no limit)."""
+    model, _, _, rwt = _als(spark, d)
+    unrated = joins.unrated_items(_titles(spark, d), rwt, LOOKUP_USER, item_col="tmdb_id")
+    return recommend.predict_unrated(model, unrated, None, item_col="tmdb_id")
+
+
 @register("als_recommend_all", operators="M19 X8 X9 T9", sql=None)
 def als_recommend_all(spark, d):
     model, _, _, _ = _als(spark, d)

@@ -155,7 +155,7 @@ def capped_sample(spark, d):
     return split.capped_sample(V.ratings(spark, d), 20000)
 
 
-@register("random_split", operators="R1 R2 X19", sql=None)
+@register("random_split", operators="R1 R2 X19 P4", sql=None)
 def random_split(spark, d):
     """``randomSplit`` and ``rand``-column splits, every row tagged with its side (rows-only check)."""
     r = V.ratings(spark, d)
