@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemlens.functions import numeric as NX
+from itemlens.operators.quantiles import exact_quantiles
 
 
 def explode_list(df: DataFrame, list_col: str, out_col: str, keep: list[str]) -> DataFrame:
@@ -63,13 +64,16 @@ def group_profile(
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas' default), one row, one column per probability."""
-    return df.agg(*[F.percentile(col, p).alias(f"q{int(round(p * 100)):02d}") for p in probs])
+    """Exact quantiles with linear interpolation (pandas' default), one row, one column per probability.
+
+    Distributed (see :mod:`itemlens.operators.quantiles`): no task holds all values.
+    """
+    return exact_quantiles(df, col, probs, names=[f"q{int(round(p * 100)):02d}" for p in probs])
 
 
 def winsorize(df: DataFrame, col: str, lower_p: float = 0.01, upper_p: float = 0.99, out: str | None = None) -> DataFrame:
-    """X12 + A16: clip ``col`` to its own lower/upper quantiles (computed once as scalar subqueries)."""
-    q = df.agg(F.percentile(col, lower_p).alias("lo"), F.percentile(col, upper_p).alias("hi"))
+    """X12 + A16: clip ``col`` to its own lower/upper quantiles (computed once, used as scalar subqueries)."""
+    q = exact_quantiles(df, col, [lower_p, upper_p], names=["lo", "hi"])
     return df.withColumn(out or f"{col}_clean", NX.clip(col, q.select("lo").scalar(), q.select("hi").scalar()))
 
 
@@ -95,12 +99,12 @@ def runtime_bin_means(spark: SparkSession, df: DataFrame, runtime: str = "runtim
 
 def summary(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, median and sample standard deviation of ``col`` (nulls skipped)."""
+    med = exact_quantiles(df, col, [0.5], names=["median"]).scalar()
     return df.agg(
         F.count(col).alias("n"),
         F.avg(col).alias("mean"),
-        F.median(col).alias("median"),
         F.stddev_samp(col).alias("std"),
-    )
+    ).select("n", "mean", med.alias("median"), "std")
 
 
 def correlations(df: DataFrame, target: str, features: list[str]) -> DataFrame:
@@ -122,7 +126,7 @@ def era_compare(df: DataFrame, year: str = "release_year", value: str = "vote_av
 
 def cohort_split_by_median(df: DataFrame, split_col: str = "budget", value: str = "vote_average") -> DataFrame:
     """Mean value above vs at-or-below the median of ``split_col`` (median as a scalar subquery)."""
-    med = df.agg(F.median(split_col)).scalar()
+    med = exact_quantiles(df, split_col, [0.5], names=["median"]).scalar()
     tagged = df.select(split_col, value).withColumn("_med", med)
     high = F.col(split_col) > F.col("_med")
     low = F.col(split_col) <= F.col("_med")
@@ -161,15 +165,17 @@ def histogram(df: DataFrame, value: Column | str, bins: int = 20) -> DataFrame:
 
 
 def box_summary(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Five-number summary (min, q1, median, q3, max; linear quantiles) of ``value`` per ``key``."""
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(value).alias("min"),
-        F.percentile(value, 0.25).alias("q1"),
-        F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q3"),
-        F.max(value).alias("max"),
-        F.count(F.lit(1)).alias("n"),
+    """Five-number summary (min, q1, median, q3, max; linear quantiles) of ``value`` per ``key``.
+
+    Quartiles are distributed exact quantiles; min, max and count are partial aggregates; both are one row per group
+    and meet in an equi-join on the key.
+    """
+    keyed = df.filter(F.col(key).isNotNull())
+    q = exact_quantiles(keyed, value, [0.25, 0.5, 0.75], [key], names=["q1", "median", "q3"])
+    mm = keyed.groupBy(key).agg(
+        F.min(value).alias("min"), F.max(value).alias("max"), F.count(F.lit(1)).alias("n")
     )
+    return mm.join(q, key).select(key, "min", "q1", "median", "q3", "max", "n")
 
 
 def density_grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:

@@ -154,3 +154,25 @@ def test_cold_start_counts_nan_and_null(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "prediction double")
     r = evaluate.cold_start_counts(df).collect()[0]
     assert (r["total"], r["valid"], r["missing"]) == (3, 1, 2)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from itemlens.operators.quantiles import exact_quantiles
+
+    rng = random.Random(5)
+    rows = [("hot", float(rng.randint(0, 50))) for _ in range(600)]  # a third of all rows, many ties
+    rows += [(f"g{rng.randint(0, 20)}", rng.uniform(-5, 5)) for _ in range(1200)]
+    rows += [("g1", None), ("solo", 3.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"], names=[f"p{i}" for i in range(7)]).collect()}
+    want = {
+        r["g"]: r
+        for r in df.groupBy("g").agg(*[F.percentile("v", p).alias(f"p{i}") for i, p in enumerate(probs)]).collect()
+    }
+    assert set(got) == set(want)
+    for g in want:
+        for i in range(7):
+            assert abs(got[g][f"p{i}"] - want[g][f"p{i}"]) < 1e-9
+    overall = exact_quantiles(df, "v", [0.5], names=["m"]).collect()[0]["m"]
+    assert abs(overall - df.agg(F.median("v")).collect()[0][0]) < 1e-9
