@@ -6,6 +6,7 @@ driver only holds model coefficients. Splits are key-hash splits so a retried ta
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +42,19 @@ def assembler(inputs: list[str], out: str = "features"):
 
 
 def fit_pipeline(train: DataFrame, stages: list):
+    """Fit a pipeline. MLlib passes over its input several times (metadata, statistics, summary), so the input is
+    persisted (memory and disk) for the fit and released afterwards, unless the caller already cached it."""
+    from pyspark import StorageLevel
     from pyspark.ml import Pipeline
 
-    return Pipeline(stages=stages).fit(train)
+    owned = not train.is_cached
+    if owned:
+        train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(train)
+    finally:
+        if owned:
+            train.unpersist()
 
 
 def compare_models(
@@ -60,7 +71,7 @@ def compare_models(
     """
     data = df.dropna(subset=[label, *features])
     train, test = hash_split(data, key_cols, train_pct)
-    train = train.persist()
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = {}
     rows = None
     for name, model in make_models(label).items():

@@ -176,3 +176,27 @@ def test_exact_quantiles_match_percentile(spark):
             assert abs(got[g][f"p{i}"] - want[g][f"p{i}"]) < 1e-9
     overall = exact_quantiles(df, "v", [0.5], names=["m"]).collect()[0]["m"]
     assert abs(overall - df.agg(F.median("v")).collect()[0][0]) < 1e-9
+
+
+def test_top_k_unseen_property(spark):
+    """Random catalogues, histories and k: the shift-based plan equals the brute-force scan."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        n_items=st.integers(1, 25),
+        k=st.integers(1, 6),
+        data=st.data(),
+    )
+    def check(n_items, k, data):
+        scores = [(i, float(data.draw(st.integers(0, 4)))) for i in range(n_items)]
+        seen = set(data.draw(st.lists(st.tuples(st.integers(0, 4), st.integers(0, n_items - 1)), max_size=40)))
+        users = list(range(5))
+        sdf = spark.createDataFrame(scores, "item_id long, prediction double")
+        seen_df = spark.createDataFrame(sorted(seen) or [(0, -1)], "user_id long, item_id long")
+        users_df = spark.createDataFrame([(u,) for u in users], "user_id long")
+        got = sorted(tuple(r) for r in recommend.top_k_unseen(sdf, seen_df, users_df, k).collect())
+        assert got == _brute_top_k_unseen(scores, seen, users, k)
+
+    check()
