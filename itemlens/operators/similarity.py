@@ -59,8 +59,13 @@ def similar_items_by_title(
         .select(id_col, cosine(vec_col, "_target").alias("similarity"))
     )
     top = scored.orderBy(F.desc("similarity"), id_col).limit(k)
-    named = titles.groupBy(id_col).agg(F.min(title_col).alias(title_col))
-    # ``top`` holds at most k rows: a proven-small broadcast.
+    # ``top`` holds at most k rows: a proven-small broadcast. Titles are cut to those ids before deduplication, so
+    # only k keys reach the aggregation's shuffle.
+    named = (
+        titles.join(F.broadcast(top.select(id_col)), id_col, "left_semi")
+        .groupBy(id_col)
+        .agg(F.min(title_col).alias(title_col))
+    )
     return named.join(F.broadcast(top), id_col).select(id_col, title_col, "similarity").orderBy(
         F.desc("similarity"), id_col
     )

@@ -2,8 +2,6 @@
 
 - :func:`top_k` is ``orderBy(...).limit(k)``, which Spark plans as ``TakeOrderedAndProject``: every task keeps its own
   k best rows and only k rows per task reach the final merge, so no full sort or single-partition stage happens.
-- :func:`top_k_per_group` keeps the k best rows of every group with ``row_number`` over a window. Its window partition
-  holds one whole group, so use it only when group sizes are bounded (for example candidates already cut to k).
 - :func:`global_rank` gives every row its 1-based position in a total order without a single-partition window: a
   range-partitioned sort, per-partition counts (one row per partition, a proven-small broadcast) and an offset.
 - :func:`ordinal_within_group` numbers rows inside a group by an integer rank with windows of bounded size (rank
@@ -25,12 +23,6 @@ def top_k(df: DataFrame, k: int, order: list) -> DataFrame:
     return df.orderBy(*_sort_cols(order)).limit(k)
 
 
-def top_k_per_group(df: DataFrame, group_cols: list[str], k: int, order: list, rank_col: str = "rank") -> DataFrame:
-    """The ``k`` best rows per group, with their 1-based rank; for groups of bounded size only (see module doc)."""
-    w = Window.partitionBy(*group_cols).orderBy(*_sort_cols(order))
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
-
-
 def truncate_label(c: Column | str, width: int) -> Column:
     """A label cut to ``width`` characters with ``...`` appended when it was longer."""
     c = F.col(c) if isinstance(c, str) else c

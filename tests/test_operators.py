@@ -200,3 +200,12 @@ def test_top_k_unseen_property(spark):
         assert got == _brute_top_k_unseen(scores, seen, users, k)
 
     check()
+
+
+def test_bounded_broadcast_hints_only_small_sides(spark):
+    small = spark.range(5)
+    big = spark.range(50)
+    plan_small = spark.range(1000).join(joins.bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    plan_big = spark.range(1000).join(joins.bounded_broadcast(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_small.lower()
+    assert "broadcast" not in plan_big.lower()
