@@ -129,8 +129,8 @@ _ALS_CACHE: dict = {}
 
 
 def _als(spark, d):
-    """Train once per (session, folder): ALS on the id-mapped ratings (user_id, tmdb_id, rating), hash split."""
-    key = (id(spark), d)
+    """Train once per (application, folder): ALS on the id-mapped ratings (user_id, tmdb_id, rating), hash split."""
+    key = (spark.sparkContext.applicationId, d)
     if key not in _ALS_CACHE:
         rwt = joins.map_ids(V.ratings(spark, d), V.links(spark, d), V.titles(spark, d))
         data = rwt.select("user_id", "tmdb_id", "rating")

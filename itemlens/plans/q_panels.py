@@ -181,5 +181,5 @@ def run_summary(spark, d):
     return _union(reg)
 
 
-# Keep module references used only for registration order explicit.
+# q_eda and q_recs are imported so the queries this module unions are registered before its SQL is composed.
 _ = (q_eda, q_recs)

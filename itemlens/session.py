@@ -50,9 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable: set the context's checkpoint dir from the session setting."""
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     root = checkpoint_root(spark)
     sc.setCheckpointDir(root)
     return root
