@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemlens.session import write_scratch_table
+
 
 def _sort_cols(order: list) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -33,17 +35,18 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank", num_partitio
     """1-based position of every row in the total order ``order`` (must be unique, e.g. ending in an id).
 
     The sorted rows get ``monotonically_increasing_id`` (partition index in the high bits, position in the low bits)
-    and ``spark_partition_id`` in the same stage as the sort; the result is checkpointed to the shared checkpoint
-    folder so both uses below see the same partitions even if an executor is lost and tasks are retried. The
-    per-partition row counts are one row per partition, so their broadcast is bounded by the partition count.
+    and ``spark_partition_id`` in the same stage as the sort, and are written once to the shared checkpoint folder,
+    so both uses below read the same tags even if an executor is lost and tasks are retried. The per-partition row
+    counts are one row per partition, so their broadcast is bounded by the partition count.
     """
     sort_cols = _sort_cols(order)
     sorted_df = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
-    tagged = (
+    tagged = write_scratch_table(
+        df.sparkSession,
         sorted_df.sortWithinPartitions(*sort_cols)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "rank",
     )
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

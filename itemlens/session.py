@@ -62,3 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for an intermediate table (never a machine-local tmp dir)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/itemlens-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def write_scratch_table(spark: SparkSession, df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and return the table read back.
+
+    Cuts lineage like ``checkpoint()`` but computes the input a single time (a reliable RDD checkpoint of an
+    unpersisted input recomputes it while writing) and keeps the data columnar for later pruning and pushdown.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
