@@ -18,7 +18,7 @@ _CLEAN_COLS = (
 )
 
 
-@register("clean_items", operators="Q1 P2 P3 P6 P7 F1 F3 X3 X4 X5 X6 X7", sql=with_views(
+@register("clean_items", operators="Q1 P2 P3 P6 P7 F1 F3 X3 X4 X5 X6 X7", bench=True, sql=with_views(
     f"SELECT {_CLEAN_COLS} FROM v_clean_items", "v_clean_items"))
 def clean_items(spark, d):
     c = V.clean_items(spark, d)

@@ -71,7 +71,7 @@ def category_counts(spark, d):
     return eda.value_counts(_genres(spark, d), "genre", k=10)
 
 
-@register("category_box", operators="A23 A11 F11 P9", sql=with_views(
+@register("category_box", operators="A23 A11 F11 P9", bench=True, sql=with_views(
     """SELECT CASE WHEN length(g.genre) > 15 THEN substr(g.genre, 1, 15) || '...' ELSE g.genre END AS label,
        g.genre, min(vote_average) AS min, round(quantile_cont(vote_average, 0.25), 6) AS q1,
        round(quantile_cont(vote_average, 0.5), 6) AS median, round(quantile_cont(vote_average, 0.75), 6) AS q3,

@@ -140,6 +140,14 @@ def _als(spark, d):
     return _ALS_CACHE[key]
 
 
+def _als_recs(spark, d):
+    """Top-20 ALS recommendations for every user, written once per application and shared by the list metrics."""
+    model, _, _, _ = _als(spark, d)
+    return V.materialized(
+        spark, d, "als_recs", lambda: recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    )
+
+
 def _titles(spark, d):
     return V.titles(spark, d).groupBy("tmdb_id").agg(F.min("title").alias("title"))
 
@@ -268,7 +276,7 @@ def _als_relevant(test):
 @register("als_precision_at_k", operators="Q8 J8 F8 T6", sql=None)
 def als_precision_at_k(spark, d):
     model, _, test, _ = _als(spark, d)
-    recs = recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    recs = _als_recs(spark, d)
     return EV.precision_at_k(recs, _als_relevant(test), item_col="tmdb_id")
 
 
@@ -276,7 +284,7 @@ def als_precision_at_k(spark, d):
 def als_quality_report(spark, d):
     """Coverage, bias and prediction distribution of the ALS model as one tall (metric, value) frame."""
     model, _, test, rwt = _als(spark, d)
-    recs = recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    recs = _als_recs(spark, d)
     cov = EV.coverage(recs, rwt, item_col="tmdb_id")
     scored = recommend.als_scores(model, test, item_col="tmdb_id")
     bias = EV.bias_report(scored)
@@ -297,7 +305,7 @@ def als_quality_report(spark, d):
 @register("als_top_recommended", operators="Q10 A25 A26 J6 T5", sql=None)
 def als_top_recommended(spark, d):
     model, _, _, _ = _als(spark, d)
-    recs = recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    recs = _als_recs(spark, d)
     top = EV.recommendation_frequency(recs, 10, item_col="tmdb_id")
     return joins.with_titles(top, _titles(spark, d), key="tmdb_id", default_prefix="Movie").orderBy(
         F.desc("recommendation_count"), "tmdb_id"

@@ -172,7 +172,7 @@ def random_split(spark, d):
 # -------------------------------------------------------------------------------- prediction metrics (item mean)
 
 
-@register("metrics_item_mean", operators="M9 M18 F15", sql=with_views(
+@register("metrics_item_mean", operators="M9 M18 F15", bench=True, sql=with_views(
     """SELECT round(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse,
        round(avg(abs(rating - prediction)), 6) AS mae,
        round(1 - sum((rating - prediction) * (rating - prediction)) / (count(*) * var_pop(rating)), 6) AS r2,
