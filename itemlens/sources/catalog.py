@@ -159,19 +159,18 @@ def read_csv(
 ) -> DataFrame:
     """CSV scan with header.
 
-    With a schema no inference job runs. ``escape_quotes`` reads ``""`` inside a quoted field as one quote, so a quoted
+    With a schema its types are applied by position; without one every column is text (no inference job).
+    ``escape_quotes`` reads ``""`` inside a quoted field as one quote, so a quoted
     field holding commas and quotes stays one field; ``multi_line`` keeps embedded newlines inside one field. A missing
     path raises ``AnalysisException`` (PATH_NOT_FOUND) instead of returning None.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
     if escape_quotes:
         reader = reader.option("quote", '"').option("escape", '"')
     if multi_line:
         reader = reader.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
@@ -210,3 +209,47 @@ def load_report(spark: SparkSession, base_dir: str, names=TABLES) -> DataFrame:
 def schema_report(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and Spark SQL types of a relation (metadata only, no job)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+# The five CSV exports of the movie workload and the columns its code reads (renamed to snake_case ids on load).
+MOVIE_SOURCES = {
+    "movies": "movies_metadata.csv",
+    "keywords": "keywords.csv",
+    "credits": "credits.csv",
+    "links": "links.csv",
+    "ratings": "ratings.csv",
+}
+_RENAMES = {
+    "ratings": {"userId": "user_id", "movieId": "movie_id"},
+    "links": {"movieId": "movie_id", "tmdbId": "tmdb_id", "imdbId": "imdb_id"},
+}
+
+
+def read_csv_text(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """A CSV export read with its header, every column as text (no inference job), ``"``-escaped, multi-line.
+
+    Wide exports carry more columns than a pipeline uses; an explicit schema is applied by position and would
+    mislabel them, so columns are taken by header name and typed later with ``try_cast`` by the cleaning operators.
+    """
+    return read_csv(spark, path, None, multi_line=multi_line)
+
+
+def load_movie_sources(spark: SparkSession, base_dir: str, names=tuple(MOVIE_SOURCES)) -> dict[str, DataFrame]:
+    """S3 for the movie exports: name -> text DataFrame, ids renamed (``userId`` -> ``user_id`` ...)."""
+    out = {}
+    for n in names:
+        df = read_csv_text(spark, f"{base_dir.rstrip('/')}/{MOVIE_SOURCES[n]}")
+        for old, new in _RENAMES.get(n, {}).items():
+            if old in df.columns:
+                df = df.withColumnRenamed(old, new)
+        out[n] = df
+    return out
+
+
+def movie_load_report(sources: dict[str, DataFrame]) -> DataFrame:
+    """S4 for already loaded sources: (table_name, row_count)."""
+    parts = [
+        df.groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n, df in sources.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

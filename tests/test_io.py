@@ -55,3 +55,35 @@ def test_streaming_clean_matches_batch(spark, sf_small):
     want = clean_ratings(raw)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_movie_exports_pipeline(spark):
+    import os
+
+    from itemlens.plans.movies import MovieData
+
+    d = tempfile.mkdtemp(prefix="itemlens-movies-")
+    with open(os.path.join(d, "movies_metadata.csv"), "w") as f:
+        f.write("adult,budget,genres,id,original_language,popularity,release_date,revenue,runtime,title,"
+                "vote_average,vote_count\n")
+        f.write('False,30000000,"[{\'id\': 16, \'name\': \'Animation\'}]",862,en,21.9,1995-10-30,373554033,81,'
+                '"Toy Story",7.7,5415\n')
+        f.write('False,65000000,"[{\'id\': 12, \'name\': \'Adventure\'}]",8844,en,17.0,bad,262797249,104,'
+                '"Jumanji, ""the game""",6.9,2413\n')
+        f.write("False,/x.jpg,[],12a,en,1.0,1995-01-01,1000,90,Broken,5.0,100\n")
+        f.write('False,2000,garbage,949,en,3.0,1995-12-15,5000,170,"Two\nlines",7.0,11\n')
+    with open(os.path.join(d, "ratings.csv"), "w") as f:
+        f.write("userId,movieId,rating,timestamp\n1,1,4.0,964982703\n1,2,n/a,964981247\n2,1,5.0,1\n2,3,3.0,1\n")
+    with open(os.path.join(d, "links.csv"), "w") as f:
+        f.write("movieId,imdbId,tmdbId\n1,0114709,862\n2,0113497,8844\n3,0113228,\n")
+    for name in ("keywords.csv", "credits.csv"):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("id,x\n862,a\n")
+    m = MovieData(spark, d)
+    movies = {r["id"]: r for r in m.movies.collect()}
+    assert set(movies) == {"862", "8844", "949"}
+    assert movies["862"]["genres_list"] == ["Animation"] and movies["862"]["release_year"] == 1995
+    assert movies["8844"]["title"] == 'Jumanji, "the game"' and movies["8844"]["release_year"] is None
+    assert movies["949"]["title"] == "Two\nlines"
+    got = sorted(tuple(r) for r in m.ratings_with_titles.collect())
+    assert got == [(1, 862, "Toy Story", 4.0), (2, 862, "Toy Story", 5.0)]
