@@ -31,7 +31,10 @@ def exact_quantiles(
     group_cols = list(group_cols)
     names = names or [_name(p) for p in probs]
     vals = df.select(*group_cols, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = global_rank(vals, [*group_cols, "_v"], rank_col="_g")
+    # A unique tie-breaker lets the range partitioner split runs of equal (group, value) keys, e.g. a third of all
+    # rows holding one value; equal values are interchangeable, so results do not depend on it.
+    vals = vals.withColumn("_t", F.monotonically_increasing_id())
+    ranked = global_rank(vals, [*group_cols, "_v", "_t"], rank_col="_g")
     if group_cols:
         stats = ranked.groupBy(*group_cols).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"))
         ranked = ranked.join(stats, group_cols).withColumn("_o", F.col("_g") - F.col("_g0") + 1)

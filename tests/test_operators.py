@@ -209,3 +209,12 @@ def test_bounded_broadcast_hints_only_small_sides(spark):
     plan_big = spark.range(1000).join(joins.bounded_broadcast(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_small.lower()
     assert "broadcast" not in plan_big.lower()
+
+
+def test_exact_quantiles_single_hot_value_spreads(spark):
+    from itemlens.operators.quantiles import exact_quantiles
+
+    rows = [("g", 2.0)] * 900 + [("g", float(i)) for i in range(100)] + [("h", 1.0), ("h", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    got = {r["g"]: r["m"] for r in exact_quantiles(df, "v", [0.5], ["g"], names=["m"]).collect()}
+    assert got == {"g": 2.0, "h": 2.0}
