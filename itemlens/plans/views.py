@@ -58,8 +58,10 @@ def materialized(spark: SparkSession, d: str, name: str, build, bucket_by: str |
         if bucket_by:
             table = f"itemlens_{name}_{path.rsplit('-', 1)[-1]}"
             n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # Repartitioning on the bucket key first (same hash as bucketing) writes one file per bucket instead of
+            # one per (task, bucket).
             (
-                build().write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
+                build().repartition(n, bucket_by).write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
                 .option("path", path).saveAsTable(table)
             )
             ref = ("table", table)
