@@ -4,7 +4,8 @@ Runs every registered query flagged ``bench`` at ``$BENCH_SF_DIR`` (default /roo
 ``local[$BENCH_CPUS]`` and prints one JSON line:
 ``{"metric": "headline_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}``.
 Each query is executed in full through the ``noop`` sink (no collect to the driver); the reported time is the median
-of ``$BENCH_RUNS`` warm runs after one warm-up run.
+of ``$BENCH_RUNS`` warm runs after one warm-up run. ``$BENCH_EVENT_LOG_DIR`` writes Spark's event log there for
+stage and task times.
 """
 
 from __future__ import annotations
@@ -28,7 +29,14 @@ def main() -> None:
     from itemlens.plans.registry import all_queries
     from itemlens.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # stage and task times without the UI: Spark's event log in a scratch folder
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = local_session(
+        cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), extra_conf=extra
+    )
     specs = [s for s in all_queries().values() if (s.name in only if only else s.bench)]
     timings: dict[str, float] = {}
     for spec in specs:

@@ -16,10 +16,15 @@ from pyspark.sql import SparkSession
 _LOCAL_FALLBACK_DIR = "/tmp/itemlens-checkpoints"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "itemlens") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "itemlens", extra_conf: dict | None = None
+) -> SparkSession:
     """A local session configured like a small cluster: AQE on, UI off, UTC, ANSI on (the 4.x default)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
