@@ -48,3 +48,20 @@ def capped_sample(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
     if n <= max_rows:
         return df
     return df.sample(withReplacement=False, fraction=max_rows / n, seed=seed)
+
+
+HASH_SPACE = 1 << 28  # md5 buckets of 7 hex digits
+
+
+def hash_capped_sample(df: DataFrame, key_cols: list[str], max_rows: int) -> DataFrame:
+    """R3 in the stable form of R4: keep a row when its 28-bit md5 key bucket is below ``max_rows * 2^28 // rows``.
+
+    The expected size is ``max_rows`` (all rows when the input is smaller); membership depends only on the key, so
+    reruns, other partitionings and retried tasks keep the same rows.
+    """
+    from itemlens.functions.hashing import hash_bucket
+
+    n = df.count()
+    if n <= max_rows:
+        return df
+    return df.filter(hash_bucket(*key_cols, buckets=HASH_SPACE) < (max_rows * HASH_SPACE) // n)

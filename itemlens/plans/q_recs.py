@@ -19,6 +19,7 @@ TARGET_VEC = 7
 TOP_N = 10
 TRAIN_PCT = 80
 COLD_ITEM_BUCKETS = 1  # items whose md5 bucket is below this are held out of training (1 %)
+CAP_ROWS = 20000  # size cap of the sampling queries
 
 
 def r6(c):
@@ -152,7 +153,17 @@ def hash_split(spark, d):
 @register("capped_sample", operators="R3", sql=None)
 def capped_sample(spark, d):
     """Bernoulli sample of the ratings capped near 20,000 rows (a sampling operator: rows-only check)."""
-    return split.capped_sample(V.ratings(spark, d), 20000)
+    return split.capped_sample(V.ratings(spark, d), CAP_ROWS)
+
+
+@register("capped_sample_hash", operators="R3 R4", sql=with_views(
+    f"""SELECT user_id, item_id, rating FROM v_ratings
+WHERE (SELECT count(*) FROM v_ratings) <= {CAP_ROWS}
+   OR CAST(('0x' || substr(md5({_PAIR_KEY}), 1, 7)) AS BIGINT)
+      < (CAST({CAP_ROWS} AS BIGINT) * {split.HASH_SPACE}) // (SELECT count(*) FROM v_ratings)""", "v_ratings"))
+def capped_sample_hash(spark, d):
+    """The ratings capped near 20,000 rows by key hash (stable, SQL-checkable form of the capped sample)."""
+    return split.hash_capped_sample(V.ratings(spark, d), ["user_id", "item_id"], CAP_ROWS)
 
 
 @register("random_split", operators="R1 R2 X19 P4", sql=None)
