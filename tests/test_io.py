@@ -87,3 +87,19 @@ def test_movie_exports_pipeline(spark):
     assert movies["949"]["title"] == "Two\nlines"
     got = sorted(tuple(r) for r in m.ratings_with_titles.collect())
     assert got == [(1, 862, "Toy Story", 4.0), (2, 862, "Toy Story", 5.0)]
+
+
+def test_materialized_tables_written_once(spark, sf_small):
+    from itemlens.plans.views import _MATERIALIZED
+
+    a = V.ratings(spark, sf_small)
+    n = len(_MATERIALIZED)
+    b = V.ratings(spark, sf_small)
+    assert len(_MATERIALIZED) == n and a.count() == b.count()
+    V.item_sales(spark, sf_small)
+    key = (spark.sparkContext.applicationId, sf_small, "item_sales")
+    kind, name = _MATERIALIZED[key]
+    assert kind == "table"
+    desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    assert desc.get("Bucket Columns") == "[`item_id`]"
+    assert _MATERIALIZED[(spark.sparkContext.applicationId, sf_small, "ratings")][0] == "path"
