@@ -103,3 +103,21 @@ def test_materialized_tables_written_once(spark, sf_small):
     desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
     assert desc.get("Bucket Columns") == "[`item_id`]"
     assert _MATERIALIZED[(spark.sparkContext.applicationId, sf_small, "ratings")][0] == "path"
+
+
+def test_streaming_restart_is_exactly_once(spark, sf_small):
+    d = tempfile.mkdtemp(prefix="itemlens-restart-")
+    raw = V.raw_ratings(spark, sf_small)
+    first = raw.filter(F.col("user_id").cast("long") % 2 == 0)
+    second = raw.filter(F.col("user_id").cast("long") % 2 == 1)
+    first.write.option("header", True).csv(d + "/src/a")
+    q = clean_ratings_stream(spark, d + "/src/*", d + "/sink", checkpoint_dir=d + "/ckpt")
+    q.awaitTermination(300)
+    n1 = spark.read.parquet(d + "/sink").count()
+    second.write.option("header", True).csv(d + "/src/b")
+    q = clean_ratings_stream(spark, d + "/src/*", d + "/sink", checkpoint_dir=d + "/ckpt")  # restart, same checkpoint
+    q.awaitTermination(300)
+    got = spark.read.parquet(d + "/sink")
+    assert n1 == clean_ratings(first).count()
+    assert got.count() == clean_ratings(raw).count()
+    assert got.exceptAll(clean_ratings(raw)).count() == 0
