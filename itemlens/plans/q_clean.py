@@ -61,8 +61,9 @@ def clean_ratings(spark, d):
     return clean.clean_ratings(V.raw_ratings(spark, d))
 
 
-@register("genre_text_normalise", operators="X10 X8", sql=with_views(
-    """SELECT id, genre_pos, genre FROM (
+def _tags_sql(source: str) -> str:
+    """(id, genre_pos, genre) rows of the delimited genre text of ``source`` (the SQL twin of genres_from_tags)."""
+    return f"""SELECT id, genre_pos, genre FROM (
   SELECT id, UNNEST(g) AS genre, UNNEST(range(1, len(g) + 1)) AS genre_pos FROM (
     SELECT id, list_filter(list_transform(pieces, lambda x: trim(x)), lambda x: x <> '') AS g FROM (
       SELECT id, CASE
@@ -71,15 +72,30 @@ def clean_ratings(spark, d):
           WHEN contains(s, '|') THEN string_split(s, '|')
           WHEN contains(s, ',') THEN string_split(s, ',')
           ELSE [s] END AS pieces
-      FROM (SELECT id, genre_tags AS s FROM v_raw_items WHERE genre_tags IS NOT NULL) a) b) c) e""",
-    "v_raw_items"))
-def genre_text_normalise(spark, d):
-    raw = V.raw_items(spark, d)
-    return raw.select("id", F.posexplode(TX.genres_from_tags("genre_tags")).alias("pos", "genre")).select(
+      FROM (SELECT id, genre_tags AS s FROM {source} WHERE genre_tags IS NOT NULL) a) b) c) e"""
+
+
+def _tags(df):
+    return df.select("id", F.posexplode(TX.genres_from_tags("genre_tags")).alias("pos", "genre")).select(
         "id", (F.col("pos") + 1).cast("bigint").alias("genre_pos"), "genre"
     )
 
 
+@register("genre_text_normalise", operators="X10 X8", sql=with_views(_tags_sql("v_raw_items"), "v_raw_items"))
+def genre_text_normalise(spark, d):
+    return _tags(V.raw_items(spark, d))
+
+
+@register("tag_counts", operators="X10 X8 A13 T7", sql=with_views(
+    f"""SELECT genre, count(*) AS n FROM ({_tags_sql("v_analysis")}) t GROUP BY genre
+ORDER BY n DESC, genre LIMIT 10""", "v_analysis"))
+def tag_counts(spark, d):
+    """Genre frequencies from delimited genre text over the analysis frame (the rating-factor panel's genre path)."""
+    from itemlens.operators.eda import value_counts
+
+    return value_counts(_tags(V.analysis_items(spark, d)), "genre", k=10)
+
+
 @register("json_props_parse", operators="X5 X9", sql="""SELECT event_id, event_type,
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_props_parse(spark, d):
