@@ -200,10 +200,26 @@ def als_unseen_top_k(
 
 def predict_unrated(model, unrated: DataFrame, k: int | None = 10, *, item_col: str = "item_id") -> DataFrame:
     """Q6: predicted ratings of one user's unrated items, best first (ties by id); top ``k``, or the full sorted
-    list (T1) when ``k`` is None. Items without factors are dropped (no NaN rows)."""
-    scored = als_scores(model, unrated, item_col=item_col)
-    valid = scored.filter(~F.isnan("prediction"))
-    ordered = valid.select(item_col, "prediction").orderBy(F.desc("prediction"), item_col)
+    list (T1) when ``k`` is None. Items without factors are dropped (no NaN rows).
+
+    ``unrated`` holds one user's rows. Joining them to the factor tables through ``ALSModel.transform`` would fold the
+    constant user id into a key-less (nested-loop) join, so the user's factor vector is a scalar subquery instead
+    and each item is scored by the same dot product of factors, via an equi-join to the item factors.
+    """
+    from itemlens.functions.vectors import dot
+
+    user_id = unrated.select(F.min("user_id")).scalar()
+    user_vec = model.userFactors.withColumn("_u", user_id).filter(F.col("id") == F.col("_u")).agg(
+        F.min_by("features", "id")
+    ).scalar()
+    items = unrated.select(F.col(item_col).cast("int").alias("id")).distinct()
+    scored = (
+        model.itemFactors.join(items, "id")
+        .withColumn("_uv", user_vec)
+        .filter(F.col("_uv").isNotNull())
+        .select(F.col("id").cast("long").alias(item_col), dot("features", "_uv").alias("prediction"))
+    )
+    ordered = scored.orderBy(F.desc("prediction"), item_col)
     return ordered.limit(k) if k else ordered
 
 

@@ -79,3 +79,19 @@ def test_unseen_top_k_matches_brute_force(ratings, model):
         # same items up to ties in float32 scores
         assert np.allclose(got_scores, want_scores, rtol=1e-5, atol=1e-6)
         assert set(i for _, i, _ in rows) == set(want_items) or np.isclose(want_scores[-1], scores[k][0] if len(scores) > k else -1)
+
+
+def test_predict_unrated_matches_transform(spark, ratings, model):
+    from itemlens.operators import joins
+
+    items = ratings.select("item_id").distinct()
+    unrated = joins.unrated_items(items, ratings, 3)
+    got = {r["item_id"]: r["prediction"] for r in recommend.predict_unrated(model, unrated, None).collect()}
+    want = {
+        r["item_id"]: r["prediction"]
+        for r in recommend.als_scores(model, unrated).filter(~F.isnan("prediction")).collect()
+    }
+    assert got.keys() == want.keys() and len(got) > 0
+    assert all(abs(got[i] - want[i]) < 1e-5 for i in got)
+    top = recommend.predict_unrated(model, unrated, 4).collect()
+    assert [r["item_id"] for r in top] == [i for i, _ in sorted(got.items(), key=lambda t: (-t[1], t[0]))[:4]]
