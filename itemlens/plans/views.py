@@ -1,6 +1,8 @@
 """Adapters from the driver's TPC-H-like tables to the logical tables of a ratings/catalogue workload.
 
-Each logical table is a lazy DataFrame derived from the source tables, so every query's work grows with them:
+Each logical table is derived from the source tables, so every query's work grows with them. The two hot
+aggregates (``ratings`` and the per-item sales behind ``items``) are written once per application to the shared
+checkpoint folder (see :func:`materialized`); everything else is a lazy plan:
 
 - ``ratings``  (user_id, item_id, rating): customers rate the parts they ordered, rating = avg quantity / 10.
 - ``items``    (item_id, title, budget, revenue, vote_count, vote_average, runtime, language, category,
