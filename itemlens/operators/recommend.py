@@ -70,20 +70,20 @@ def top_k_unseen(
     *,
     item_col: str = "item_id",
     score_col: str = "prediction",
+    seen_unique: bool = False,
 ) -> DataFrame:
     """For every user in ``users``, the ``k`` highest-scored items of ``scores`` not in ``seen`` (ties by item id).
 
     ``scores`` is (item, score) with one row per item; ``seen`` is (user_id, item); ``users`` is (user_id).
     Returns (user_id, pos, item, score) with ``pos`` in 1..k (fewer when a user has fewer unseen items). Exact;
-    see the module doc for the plan.
+    see the module doc for the plan. ``seen_unique=True`` skips deduplicating ``seen`` (a shuffle of all seen
+    pairs) when the caller guarantees one row per pair, e.g. ratings grouped by (user, item).
     """
     ranked = global_rank(scores.select(item_col, score_col), [F.desc(score_col), F.col(item_col)], rank_col="rank")
-    seen_ranks = (
-        seen.select("user_id", item_col)
-        .distinct()
-        .join(ranked.select(item_col, "rank"), item_col)
-        .select("user_id", "rank")
-    )
+    pairs = seen.select("user_id", item_col)
+    if not seen_unique:
+        pairs = pairs.distinct()
+    seen_ranks = pairs.join(ranked.select(item_col, "rank"), item_col).select("user_id", "rank")
     slots = unseen_slots(seen_ranks, users, k)
     return (
         slots.join(ranked.withColumnRenamed("rank", "target_rank"), "target_rank")
