@@ -132,3 +132,34 @@ def test_truncate_label(spark):
     df = spark.createDataFrame([("abcdef",), ("abc",)], "t string")
     assert col_values(df.select(truncate_label("t", 3).alias("t")), "t") == ["abc...", "abc"]
     assert col_values(df.select(F.col("t")), "t") == ["abcdef", "abc"]
+
+
+def _tags_rule(s):
+    """The X10 rule in plain Python: bracketed list, else '|', else ',', else the whole text; trim; drop empties."""
+    if s is None:
+        return []
+    if s.startswith("[") and s.endswith("]"):
+        pieces = s.strip("[]").replace("'", "").replace('"', "").split(",")
+    elif "|" in s:
+        pieces = s.split("|")
+    elif "," in s:
+        pieces = s.split(",")
+    else:
+        pieces = [s]
+    return [p.strip(" ") for p in pieces if p.strip(" ")]
+
+
+def test_genres_from_tags_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("ab[]'\"|, "))
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.text(alphabet, max_size=12), min_size=1, max_size=40))
+    def check(texts):
+        df = spark.createDataFrame([(t,) for t in texts], "g string")
+        got = [r[0] for r in df.select(TX.genres_from_tags("g")).collect()]
+        assert got == [_tags_rule(t) for t in texts]
+
+    check()
