@@ -163,3 +163,16 @@ def test_genres_from_tags_property(spark):
         assert got == [_tags_rule(t) for t in texts]
 
     check()
+
+
+def test_histogram_edges(spark):
+    from itemlens.operators.eda import density_grid, histogram
+
+    same = spark.createDataFrame([(2.0,), (2.0,), (None,)], "v double")
+    rows = histogram(same, "v", 4).collect()
+    assert [(r["bin"], r["n"]) for r in rows] == [(0, 2)]
+    spread = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (4.0,)], "v double")
+    got = {r["bin"]: r["n"] for r in histogram(spread, "v", 4).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 1}  # the maximum falls in the last bin
+    grid = density_grid(spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "x double, y double"), "x", "y", 2).collect()
+    assert sorted((r["x_bin"], r["y_bin"], r["n"]) for r in grid) == [(0, 0, 1), (1, 1, 1)]
