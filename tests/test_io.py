@@ -121,3 +121,14 @@ def test_streaming_restart_is_exactly_once(spark, sf_small):
     assert n1 == clean_ratings(first).count()
     assert got.count() == clean_ratings(raw).count()
     assert got.exceptAll(clean_ratings(raw)).count() == 0
+
+
+def test_csv_to_parquet_and_csv_catalog(spark, sf_small):
+    d = tempfile.mkdtemp(prefix="itemlens-csvcat-")
+    part = catalog.load(spark, sf_small, "part")
+    catalog.write_csv(part, d + "/part.csv")
+    back = catalog.load(spark, d, "part", fmt="csv")
+    assert back.schema == catalog.SCHEMAS["part"]
+    assert back.exceptAll(part).count() == 0 and back.count() == part.count()
+    pq = catalog.csv_to_parquet(spark, d + "/part.csv", d + "/part.parquet", catalog.SCHEMAS["part"])
+    assert pq.count() == part.count()
