@@ -68,25 +68,33 @@ def _lr(label):
     return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
 
 
+_COMPARE_CACHE: dict = {}
+
+
+def _compare(spark, d, label, features):
+    """Fit the three models once per (application, folder, target); later queries reuse the fitted pipelines."""
+    key = (spark.sparkContext.applicationId, d, label)
+    if key not in _COMPARE_CACHE:
+        _COMPARE_CACHE[key] = regress.compare_models(spark, V.analysis_items(spark, d), label, features, ["id"])
+    return _COMPARE_CACHE[key]
+
+
 @register("regression_compare_revenue", operators="M1 M5 M6 M7 M8 M9 M10 M11 P8 F1", sql=None)
 def regression_compare_revenue(spark, d):
-    table, _ = regress.compare_models(spark, V.analysis_items(spark, d), "revenue", REVENUE_FEATURES, ["id"])
+    table, _ = _compare(spark, d, "revenue", REVENUE_FEATURES)
     return table
 
 
 @register("regression_compare_vote", operators="M1 M5 M6 M7 M8 M9 M10 M11", sql=None)
 def regression_compare_vote(spark, d):
-    table, _ = regress.compare_models(spark, V.analysis_items(spark, d), "vote_average", VOTE_FEATURES, ["id"])
+    table, _ = _compare(spark, d, "vote_average", VOTE_FEATURES)
     return table
 
 
 @register("feature_importance", operators="M13 T8", sql=None)
 def feature_importance(spark, d):
-    data = V.analysis_items(spark, d).dropna(subset=["vote_average", *VOTE_FEATURES])
-    train, _ = split.hash_split(data, ["id"])
-    rf = regress.make_models("vote_average")["Random Forest"]
-    pipe = regress.fit_pipeline(train, [regress.assembler(VOTE_FEATURES), rf])
-    return regress.feature_importances(spark, pipe, VOTE_FEATURES)
+    _, fitted = _compare(spark, d, "vote_average", VOTE_FEATURES)
+    return regress.feature_importances(spark, fitted["Random Forest"], VOTE_FEATURES)
 
 
 @register("sample_predictions", operators="M12 P9 T4", sql=None)
