@@ -11,6 +11,9 @@
 - ALS wrappers: training with explicit seed (D17), an optional size cap (R3, off by default), scoring with
   ``coldStartStrategy='nan'`` so missing predictions can be counted (D4), and id narrowing to int with an overflow
   error instead of silent truncation.
+- :func:`als_unseen_top_k`: ALS top-k without seen items; users grouped by seen count ask MLlib for just enough
+  candidates, then the same bounded shift as :func:`top_k_unseen` skips the seen ones.
+- :func:`predict_unrated`: one user's predictions (Q6) as a dot product against a scalar-subquery user vector.
 """
 
 from __future__ import annotations
