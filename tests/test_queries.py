@@ -75,3 +75,11 @@ def test_query(spark, duck, sf_small, name):
     assert stypes == dtypes
     assert len(rows) == len(drows)
     assert _rows(df.columns, rows) == _rows(dcols, drows)
+
+
+def test_filters_pushed_and_columns_pruned(spark, sf_small):
+    sim = _plan_text(QUERIES["similar_vectors_topn"](spark, sf_small))
+    assert "PushedFilters: [IsNotNull(vec_id), EqualTo(vec_id,7)]" in sim
+    full_lineitem = "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int"
+    for name in ("regression_lr1", "vote_by_year", "ratings_with_titles"):
+        assert full_lineitem not in _plan_text(QUERIES[name](spark, sf_small)), name
