@@ -83,3 +83,19 @@ def test_filters_pushed_and_columns_pruned(spark, sf_small):
     full_lineitem = "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int"
     for name in ("regression_lr1", "vote_by_year", "ratings_with_titles"):
         assert full_lineitem not in _plan_text(QUERIES[name](spark, sf_small)), name
+
+
+def test_bench_prints_one_json_line(sf_small):
+    import json
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=sf_small, BENCH_RUNS="1", BENCH_QUERIES="similar_vectors_topn", BENCH_CPUS="2")
+    out = subprocess.run(
+        [sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True, text=True, timeout=600
+    )
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    rec = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= rec.keys() and rec["unit"] == "sec"
+    assert set(rec["queries"]) == {"similar_vectors_topn"}
