@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemlens.llm import lempel_ziv, minhash, packing, simple8b, wu_manber
+from itemlens.llm import hilbert, language, lempel_ziv, minhash, packing, quality, secrets, simple8b, wu_manber
 from itemlens.session import ensure_checkpoint_dir
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -55,8 +55,12 @@ def _over(*names: str):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": _over("documents")(packing.op1),
+    "op2_secrets": _over("documents")(secrets.op2),
+    "op3_language": _over("documents")(language.op3),
+    "op4_hilbert": _over("documents")(hilbert.op4),
     "op5_decontamination": _over("documents", "benchmark")(wu_manber.op5),
     "op7_simple8b": _over("documents")(simple8b.op7),
+    "op8_quality": _over("documents", "labels")(quality.op8),
     "op9_minhash": _over("documents")(minhash.op9),
     "op10_lempel_ziv": _over("documents")(lempel_ziv.op10),
 }
