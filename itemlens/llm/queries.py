@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemlens.llm import hilbert, language, lempel_ziv, minhash, packing, quality, secrets, simple8b, wu_manber
+from itemlens.llm import hilbert, language, lempel_ziv, licenses, minhash, packing, quality, secrets, simple8b, wu_manber
 from itemlens.session import ensure_checkpoint_dir
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -59,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": _over("documents")(language.op3),
     "op4_hilbert": _over("documents")(hilbert.op4),
     "op5_decontamination": _over("documents", "benchmark")(wu_manber.op5),
+    "op6_licenses": _over("documents")(licenses.op6),
     "op7_simple8b": _over("documents")(simple8b.op7),
     "op8_quality": _over("documents", "labels")(quality.op8),
     "op9_minhash": _over("documents")(minhash.op9),
@@ -66,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the query on whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_licenses": licenses.SQL}
