@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itemlens.llm import words as W
-from itemlens.llm.components import components
+from itemlens.llm.components import Joined, components
 from itemlens.session import write_scratch_table
 
 SHINGLE = 5
@@ -40,7 +40,7 @@ BANDS, ROWS = 40, 4
 #: Bits of an odd sketch.
 BITS = 512
 #: Rounds of links to one centre per bucket before the rest is compared completely.
-ROUNDS = 2
+ROUNDS = 1
 #: Nodes of a bucket, and bytes of a family's sets, that one block of a task holds.
 BLOCK_NODES = 4096
 BLOCK_SET_BYTES = 16 << 20
@@ -319,24 +319,6 @@ def _grouped(work):
     return run
 
 
-class _Union:
-    """Sets of labels that have been joined."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = self.up.get(y, y)
-            x = y
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.up[x] = y
-        return x != y
-
-
 def _columns(t: pa.Table) -> tuple[np.ndarray, ...]:
     return tuple(t.column(c).to_numpy() for c in ("side", "node", "component")) + (int(t.column("main")[0].as_py()),)
 
@@ -355,7 +337,7 @@ def _similar(percent: int, limit: int):
         side, node, component, main = _columns(t)
         n = t.column("n").to_numpy()
         words = t.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-        union, out = _Union(), []
+        union, out = Joined(), []
         for x, rows in _facing(side, component != main):
             fits = (component[rows] != component[x]) & (
                 np.minimum(n[rows], n[x]) * 100 >= np.maximum(n[rows], n[x]) * percent
@@ -382,7 +364,7 @@ def _links(percent: int):
                 flat, owner = np.concatenate([sets[r] for r in rows]), np.repeat(rows, size[rows])
                 order = np.argsort(flat, kind="stable")
                 index[s] = flat[order], owner[order]
-        one, union, out = len(index) == 1, _Union(), []
+        one, union, out = len(index) == 1, Joined(), []
         for x, rows in _facing(side, component != main):
             flat, owner = index[int(side[x]) if one else 1 - int(side[x])]
             lo = np.searchsorted(flat, sets[x])
