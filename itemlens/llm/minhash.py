@@ -123,6 +123,7 @@ def _signatures(shingle: int, bands: int, rows: int, bits: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
+                        batch.column(2).slice(i, j - i),
                         pa.array(low),
                         pa.array(high),
                         pa.array(np.diff(bounds)),
@@ -131,7 +132,7 @@ def _signatures(shingle: int, bands: int, rows: int, bits: int):
                             pa.array(np.arange(n + 1) * sketch.shape[1], pa.int32()), pa.array(sketch.reshape(-1))
                         ),
                     ],
-                    ["doc_id", "low", "high", "n_shingles", "bands", "sketch"],
+                    ["doc_id", "text_hash", "low", "high", "n_shingles", "bands", "sketch"],
                 )
 
     return run
@@ -389,17 +390,17 @@ def near_duplicates(
     rows: int = ROWS,
     bits: int = BITS,
 ) -> DataFrame:
-    """One row per document: its key as ``doc_id``, ``n_shingles``, ``component_id`` (the least key of its group) and
-    ``class_id`` (equal for equal word sequences)."""
+    """One row per document: its key as ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (the least key of its
+    group) and ``class_id`` (equal for equal word sequences)."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
-    fields = f"doc_id {kind}, low bigint, high bigint, n_shingles bigint, bands array<bigint>, sketch array<bigint>"
-    made = own.mapInArrow(_signatures(shingle, bands, rows, bits), fields)
+    fields = f"doc_id {kind}, text_hash bigint, low bigint, high bigint, n_shingles bigint, bands array<bigint>, sketch array<bigint>"
+    made = own.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_signatures(shingle, bands, rows, bits), fields)
     signatures = write_scratch_table(spark, made.withColumn("row", F.monotonically_increasing_id()), "signatures")
     found = _Search(own, signatures, percent, shingle, bands, rows, bits).run()
 
-    light = signatures.select("row", "doc_id", "low", "high", "n_shingles")
+    light = signatures.select("row", "doc_id", "text_hash", "low", "high", "n_shingles")
     classes = light.groupBy("low", "high").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = write_scratch_table(spark, classes, "classes")
@@ -408,6 +409,7 @@ def near_duplicates(
     empty = F.col("n_shingles") == 0
     return light.join(named, ["low", "high"]).select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(empty, F.col("row")).otherwise(F.col("node")).alias("class_id"),
@@ -417,11 +419,12 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that are the least of their group, with all their columns; of repeated equal rows one stays."""
     groups = near_duplicates(docs, id_col, text_col, **options)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct()
     names = [f"c{i}" for i in range(len(docs.columns))]
-    key = F.col(names[docs.columns.index(id_col)])
-    kept = docs.toDF(*names).join(gone.distinct(), key.eqNullSafe(F.col("gone_id")), "left_anti")
-    return kept.dropDuplicates().toDF(*docs.columns)
+    key, text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    same = key.eqNullSafe(F.col("gone_id")) & (F.xxhash64(text.cast("string")) == F.col("gone_text"))
+    return docs.toDF(*names).join(gone, same, "left_anti").dropDuplicates().toDF(*docs.columns)
 
 
 def op9(docs: DataFrame) -> DataFrame:

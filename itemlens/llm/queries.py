@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemlens.llm import hilbert, language, lempel_ziv, licenses, minhash, packing, quality, secrets, simple8b, wu_manber
+from itemlens.llm import hilbert, language, lempel_ziv, licenses, minhash, oracles, packing, quality, secrets, simple8b, wu_manber
 from itemlens.session import ensure_checkpoint_dir
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -67,4 +67,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the query on whole tables.
-SQL: dict[str, str] = {"op6_licenses": licenses.SQL}
+SQL: dict[str, str] = {
+    "op5_decontamination": oracles.DECONTAMINATION,
+    "op6_licenses": licenses.SQL,
+    "op9_minhash": oracles.NEAR_DUPLICATES,
+    "op10_lempel_ziv": oracles.REPEATED_SPANS,
+}
