@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GENRES_SCHEMA = "array<struct<id:int,name:string>>"
+GENRES_SCHEMA = "array<struct<name:string>>"
 
 
 def _c(c: Column | str) -> Column:
@@ -29,7 +29,7 @@ def release_year(c: Column | str, fmt: str = "yyyy-MM-dd", fill: int | None = No
 
 
 def genres_from_json(c: Column | str) -> Column:
-    """Names from a JSON array of ``{id, name}`` objects; malformed or missing text gives an empty list.
+    """Names from a JSON array of objects with a ``name``; malformed or missing text gives an empty list.
 
     ``from_json`` accepts single-quoted JSON and returns null on garbage, so the list is coalesced to ``[]`` (D15).
     """
@@ -41,7 +41,7 @@ def genres_from_tags(c: Column | str) -> Column:
     """Delimited genre text to a list.
 
     ``[a, b]`` (brackets stripped, quotes removed, split on commas), else split on ``|`` when present, else on commas,
-    else the whole text; every piece is trimmed and empty pieces are dropped. Null text gives ``[]``.
+    else the whole text; every piece is stripped of white space and empty pieces are dropped. Null text gives ``[]``.
     """
     s = _c(c)
     is_list = s.startswith("[") & s.endswith("]")
@@ -52,5 +52,5 @@ def genres_from_tags(c: Column | str) -> Column:
         .when(s.contains(","), F.split(s, ","))
         .otherwise(F.array(s))
     )
-    cleaned = F.filter(F.transform(pieces, lambda x: F.trim(x)), lambda x: x != F.lit(""))
+    cleaned = F.filter(F.transform(pieces, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != F.lit(""))
     return F.coalesce(cleaned, F.array().cast("array<string>"))

@@ -12,6 +12,9 @@ MIN_REVENUE = 1000
 MIN_BUDGET = 1000
 MIN_VOTES = 10
 
+MIN_POPULAR_VOTES = 50
+
+# Column types of the reference's catalogue cleaning.
 NUMERIC_TYPES = {
     "budget": "double",
     "revenue": "double",
@@ -55,8 +58,13 @@ def clean_items(
     )
 
 
+def popular_items(items: DataFrame, min_votes: int = MIN_POPULAR_VOTES) -> DataFrame:
+    """catalogue rows with more than ``min_votes`` votes (strict; a null count drops)."""
+    return items.filter(F.col("vote_count") > min_votes)
+
+
 def clean_items_for_regression(raw: DataFrame, *, fill_year: int | None = None) -> DataFrame:
-    """Q2: the script variant: numeric ids only, typed numbers, release year, then rows with any null dropped.
+    """Q2: the script variant: numeric ids only (an id of digits beyond 64 bits becomes null and drops with its row), typed numbers, release year, then rows with any null dropped.
 
     ``fill_year=0`` reproduces the reference script, which turns a missing year into 0 and keeps the row (D9); by
     default the year stays null and the row drops with the other incomplete rows.
@@ -64,7 +72,7 @@ def clean_items_for_regression(raw: DataFrame, *, fill_year: int | None = None)
     out = (
         raw.filter(TX.is_digits("id"))
         .select(
-            F.col("id").cast("long").alias("item_id"),
+            TX.safe_cast("id", "bigint").alias("item_id"),
             *[TX.safe_cast(c, "double").alias(c) for c in ("budget", "revenue", "vote_average", "vote_count")],
             TX.release_year("release_date", fill=fill_year).alias("release_year"),
         )

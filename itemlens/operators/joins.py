@@ -3,8 +3,7 @@
 Broadcasts: Spark's adaptive execution already turns a sort-merge join into a broadcast hash join when the runtime
 size of a side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; that is a size check made on the real
 shuffle output, with the shuffle join as the fallback. An explicit :func:`F.broadcast` is used only for sides whose
-size is bounded by construction (one row from a global aggregate, a fixed bin table) or after
-:func:`bounded_broadcast` has counted them.
+size is bounded by construction (one row from a global aggregate, a fixed bin table).
 """
 
 from __future__ import annotations
@@ -13,15 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when ``df`` has at most ``max_rows`` rows; otherwise leave the join to a shuffle.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early for plain scans and filters).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def map_ids(ratings: DataFrame, links: DataFrame, titles: DataFrame, *, item_col: str = "item_id") -> DataFrame:
     """Re-key ratings from the ratings id space to the catalogue id space and attach titles.
 

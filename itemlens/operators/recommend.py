@@ -6,9 +6,9 @@
   top ``k + max seen`` items still crosses users with items and puts a heavy user in one task. Here items get a
   global rank once, and a user's p-th unseen item is the item at rank ``p + c(p)``, where ``c(p)`` counts the user's
   seen items that have fewer than ``p`` unseen items ranked above them. ``c`` comes from group-bys over the seen
-  pairs (partial aggregation, skew-safe) and a join bounded by ``k * k`` rows per user, so total work is
+  pairs (partial aggregation, skew-safe) that leave at most ``k`` counts per user, so total work is
   O(ratings + users * k^2) whatever the skew.
-- ALS wrappers: training with explicit seed (D17), an optional size cap (R3, off by default), scoring with
+- ALS wrappers: training on the whole input with explicit seed (D17) and block counts, scoring with
   ``coldStartStrategy='nan'`` so missing predictions can be counted (D4), and id narrowing to int with an overflow
   error instead of silent truncation.
 - :func:`als_unseen_top_k`: ALS top-k without seen items; users grouped by seen count ask MLlib for just enough
@@ -46,23 +46,33 @@ def unseen_slots(seen_ranks: DataFrame, users: DataFrame, k: int) -> DataFrame:
 
     ``seen_ranks`` is (user_id, rank) for the seen candidates (ranks unique per user, 1-based). With ``j`` the
     ordinal of a seen candidate among the user's seen ones, ``rank - j`` unseen candidates precede it; the p-th
-    unseen candidate is at rank ``p + #{seen: rank - j < p}``. Ordinals are computed skew-safe; the join below
-    pairs each (user, pos) slot with at most ``k`` gap rows of the same user.
+    unseen candidate is at rank ``p + #{seen: rank - j < p}``. A user with ``s`` seen candidates never needs a rank
+    above ``k + s``, so only seen ranks up to that bound are numbered (skew-safe); what remains per user is at most
+    ``k`` counts, summed up inside the row.
     """
-    ordinals = ordinal_within_group(seen_ranks, "user_id", "rank", ordinal_col="j")
+    per_user = seen_ranks.groupBy("user_id").agg(F.count(F.lit(1)).alias("s"))
+    near = seen_ranks.join(per_user, "user_id").filter(F.col("rank") <= F.col("s") + k).select("user_id", "rank")
+    ordinals = ordinal_within_group(near, "user_id", "rank", ordinal_col="j")
     gaps = (
         ordinals.withColumn("d", F.col("rank") - F.col("j"))
         .filter(F.col("d") < k)
         .groupBy("user_id", "d")
         .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("user_id")
+        .agg(F.collect_list(F.struct("d", "c")).alias("gaps"))
     )
-    slots = users.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("pos"))
-    shift = (
-        slots.join(gaps, (slots.user_id == gaps.user_id) & (gaps.d < slots.pos), "left")
-        .groupBy(slots.user_id, slots.pos)
-        .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("shift"))
+    slots = (
+        users.select("user_id").distinct().join(gaps, "user_id", "left")
+        .select("user_id", "gaps", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("pos"))
     )
-    return shift.select("user_id", "pos", (F.col("pos") + F.col("shift")).alias("target_rank"))
+    shift = F.aggregate(
+        "gaps", F.lit(0).cast("bigint"), lambda a, g: a + F.when(g["d"] < F.col("pos"), g["c"]).otherwise(F.lit(0))
+    )
+    return slots.select("user_id", "pos", (F.col("pos") + F.coalesce(shift, F.lit(0))).alias("target_rank"))
+
+
+# Parts that one target rank is dealt to: nearly every user asks for the first ranks.
+RANK_SALTS = 16
 
 
 def top_k_unseen(
@@ -87,9 +97,15 @@ def top_k_unseen(
     if not seen_unique:
         pairs = pairs.distinct()
     seen_ranks = pairs.join(ranked.select(item_col, "rank"), item_col).select("user_id", "rank")
-    slots = unseen_slots(seen_ranks, users, k)
+    slots = unseen_slots(seen_ranks, users, k).withColumn("salt", F.pmod(F.xxhash64("user_id"), F.lit(RANK_SALTS)))
+    most = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("s")).agg(F.coalesce(F.max("s"), F.lit(0))).scalar()
+    wanted = (
+        ranked.filter(F.col("rank") <= most + k)
+        .withColumnRenamed("rank", "target_rank")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(RANK_SALTS - 1).cast("bigint"))))
+    )
     return (
-        slots.join(ranked.withColumnRenamed("rank", "target_rank"), "target_rank")
+        slots.join(wanted, ["target_rank", "salt"])
         .select("user_id", F.col("pos").cast("int").alias("pos"), item_col, score_col)
     )
 
@@ -116,18 +132,17 @@ def train_als(
     max_iter: int = ALS_ITER,
     seed: int = ALS_SEED,
     nonnegative: bool = True,
-    max_rows: int | None = None,
+    blocks: int | None = None,
 ):
-    """Fit ALS (explicit feedback). ``max_rows`` reproduces the reference's size cap as a Bernoulli sample;
-    by default the whole input is used. Returns the fitted ``ALSModel``."""
+    """Fit ALS (explicit feedback) on the whole input. ``blocks`` is the number of user blocks and of item
+    blocks, hence the width of every step; by default the session's parallelism. Returns the fitted ``ALSModel``."""
     from pyspark.ml.recommendation import ALS
 
-    from itemlens.operators.split import capped_sample
-
+    blocks = blocks or max(1, ratings.sparkSession.sparkContext.defaultParallelism)
     data = to_int_ids(ratings.select(user_col, item_col, rating_col), user_col, item_col)
-    if max_rows is not None:
-        data = capped_sample(data, max_rows)
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         userCol=user_col,
         itemCol=item_col,
         ratingCol=rating_col,
@@ -224,16 +239,3 @@ def predict_unrated(model, unrated: DataFrame, k: int | None = 10, *, item_col:
     )
     ordered = scored.orderBy(F.desc("prediction"), item_col)
     return ordered.limit(k) if k else ordered
-
-
-def factor_table(model, which: str = "item") -> DataFrame:
-    """The item or user factor table as a relation (id, features array<float>)."""
-    return model.itemFactors if which == "item" else model.userFactors
-
-
-def als_params(model, **settings) -> list[tuple[str, str]]:
-    """The fitted model's rank plus the training settings used (regularisation, iterations, non-negativity)."""
-    out = [("rank", str(model.rank))]
-    for name, value in settings.items():
-        out.append((name, str(value)))
-    return out

@@ -38,30 +38,18 @@ def rand_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) -> tu
     )
 
 
-def capped_sample(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
-    """Bernoulli sample with fraction ``max_rows / rows`` when the input is larger than ``max_rows``.
-
-    The result size is approximate. This is a sampling operator (the cap is its purpose); training paths do not
-    use it unless asked to.
-    """
-    n = df.count()
-    if n <= max_rows:
-        return df
-    return df.sample(withReplacement=False, fraction=max_rows / n, seed=seed)
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Every row with probability ``fraction``, whatever the input's size (depends on its partitioning)."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
 HASH_SPACE = 1 << 28  # md5 buckets of 7 hex digits
 
 
-def hash_capped_sample(df: DataFrame, key_cols: list[str], max_rows: int) -> DataFrame:
-    """R3 in the stable form of R4: keep a row when its 28-bit md5 key bucket is below ``max_rows * 2^28 // rows``.
+def sample_fraction(df: DataFrame, key_cols: list[str], fraction: float) -> DataFrame:
+    """R3 in the stable form of R4: the rows whose 28-bit md5 key bucket is below ``fraction`` of all buckets.
 
-    The expected size is ``max_rows`` (all rows when the input is smaller); membership depends only on the key, so
-    reruns, other partitionings and retried tasks keep the same rows.
+    Membership depends only on the key, so reruns, other partitionings and retried tasks keep the same rows. One narrow
+    filter: no count, no shuffle.
     """
-    from itemlens.functions.hashing import hash_bucket
-
-    n = df.count()
-    if n <= max_rows:
-        return df
-    return df.filter(hash_bucket(*key_cols, buckets=HASH_SPACE) < (max_rows * HASH_SPACE) // n)
+    return df.filter(hash_bucket(*key_cols, buckets=HASH_SPACE) < int(fraction * HASH_SPACE))

@@ -8,6 +8,46 @@ from __future__ import annotations
 
 from itemlens.plans import views as V
 
+def _raw_items(dirty: bool) -> str:
+    """``v_items`` as text; without dirt no row is changed."""
+    m = (lambda mod: f"item_id % {mod} = 0") if dirty else (lambda mod: "FALSE")
+    return f"""SELECT
+    CASE WHEN {m(V.BAD_ID_MOD)} THEN 'x' || CAST(item_id AS VARCHAR) ELSE CAST(item_id AS VARCHAR) END AS id,
+    CASE WHEN {m(V.NULL_TITLE_MOD)} THEN NULL ELSE title END AS title,
+    CASE WHEN {m(V.BAD_BUDGET_MOD)} THEN 'bad' ELSE CAST(budget AS VARCHAR) END AS budget,
+    CAST(revenue AS VARCHAR) AS revenue,
+    CAST(vote_average AS VARCHAR) AS vote_average,
+    CAST(vote_count AS VARCHAR) AS vote_count,
+    CAST(popularity AS VARCHAR) AS popularity,
+    CASE WHEN {m(V.NULL_RUNTIME_MOD)} THEN NULL ELSE CAST(runtime AS VARCHAR) END AS runtime,
+    CASE WHEN {m(V.BAD_DATE_MOD)} THEN 'n/a' ELSE CAST(release_date AS VARCHAR) END AS release_date,
+    CASE WHEN {m(V.BAD_GENRES_MOD)} THEN 'garbage'
+         WHEN {m(V.EMPTY_GENRES_MOD)} THEN '[]'
+         ELSE '[{{"id": ' || CAST(item_id % 6 AS VARCHAR) || ', "name": "' || category
+              || '"}}, {{"id": 100, "name": "' || split_part(title, ' ', 1) || '"}}]' END AS genres,
+    CASE WHEN item_id % 4 = 0 THEN category || '|' || split_part(title, ' ', 1)
+         WHEN item_id % 4 = 1 THEN category || ', ' || split_part(title, ' ', 1)
+         WHEN item_id % 4 = 2 THEN '[''' || category || ''', ''' || split_part(title, ' ', 1) || ''']'
+         ELSE category END AS genre_tags,
+    CASE WHEN {m(V.NULL_LANGUAGE_MOD)} THEN NULL ELSE language END AS original_language
+  FROM v_items"""
+
+
+def _clean_items(raw: str) -> str:
+    return f"""SELECT * FROM (
+    SELECT id, title,
+           TRY_CAST(budget AS DOUBLE) AS budget, TRY_CAST(revenue AS DOUBLE) AS revenue,
+           TRY_CAST(vote_average AS DOUBLE) AS vote_average, TRY_CAST(vote_count AS INTEGER) AS vote_count,
+           TRY_CAST(popularity AS DOUBLE) AS popularity, TRY_CAST(runtime AS DOUBLE) AS runtime,
+           CAST(year(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_year,
+           CASE WHEN json_valid(genres) THEN json_extract_string(genres, '$[*].name')
+                ELSE CAST([] AS VARCHAR[]) END AS genres_list,
+           genre_tags, original_language
+    FROM {raw}) t
+  WHERE budget IS NOT NULL AND revenue IS NOT NULL AND vote_average IS NOT NULL AND title IS NOT NULL
+    AND revenue > 1000 AND budget > 1000 AND vote_count > 10"""
+
+
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "v_ratings": (
         (),
@@ -35,39 +75,18 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
          s.popularity
   FROM part p JOIN v_sales s ON p.p_partkey = s.item_id""",
     ),
-    "v_raw_items": (
-        ("v_items",),
-        f"""SELECT
-    CASE WHEN item_id % {V.BAD_ID_MOD} = 0 THEN 'x' || CAST(item_id AS VARCHAR) ELSE CAST(item_id AS VARCHAR) END AS id,
-    CASE WHEN item_id % {V.NULL_TITLE_MOD} = 0 THEN NULL ELSE title END AS title,
-    CASE WHEN item_id % {V.BAD_BUDGET_MOD} = 0 THEN 'bad' ELSE CAST(budget AS VARCHAR) END AS budget,
-    CAST(revenue AS VARCHAR) AS revenue,
-    CAST(vote_average AS VARCHAR) AS vote_average,
-    CAST(vote_count AS VARCHAR) AS vote_count,
-    CAST(popularity AS VARCHAR) AS popularity,
-    CASE WHEN item_id % {V.NULL_RUNTIME_MOD} = 0 THEN NULL ELSE CAST(runtime AS VARCHAR) END AS runtime,
-    CASE WHEN item_id % {V.BAD_DATE_MOD} = 0 THEN 'n/a' ELSE CAST(release_date AS VARCHAR) END AS release_date,
-    CASE WHEN item_id % {V.BAD_GENRES_MOD} = 0 THEN 'garbage'
-         WHEN item_id % {V.EMPTY_GENRES_MOD} = 0 THEN '[]'
-         ELSE '[{{"id": ' || CAST(item_id % 6 AS VARCHAR) || ', "name": "' || category
-              || '"}}, {{"id": 100, "name": "' || split_part(title, ' ', 1) || '"}}]' END AS genres,
-    CASE WHEN item_id % 4 = 0 THEN category || '|' || split_part(title, ' ', 1)
-         WHEN item_id % 4 = 1 THEN category || ', ' || split_part(title, ' ', 1)
-         WHEN item_id % 4 = 2 THEN '[''' || category || ''', ''' || split_part(title, ' ', 1) || ''']'
-         ELSE category END AS genre_tags,
-    CASE WHEN item_id % {V.NULL_LANGUAGE_MOD} = 0 THEN NULL ELSE language END AS original_language
-  FROM v_items""",
-    ),
+    "v_raw_items": (("v_items",), _raw_items(True)),
+    "v_text_items": (("v_items",), _raw_items(False)),
     "v_links": (
         (),
-        f"""SELECT p_partkey AS movie_id,
-         CASE WHEN p_partkey % {V.NULL_TMDB_MOD} = 0 THEN NULL ELSE p_partkey * 7 + 3 END AS tmdb_id,
-         'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS imdb_id
-  FROM part""",
+        f"""SELECT p_partkey AS movie_id, p_partkey * 7 + 3 AS tmdb_id, 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS imdb_id
+  FROM part UNION ALL
+  SELECT -p_partkey, NULL, 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') FROM part WHERE p_partkey % {V.NULL_TMDB_MOD} = 0""",
     ),
-    "v_titles": (
+    "v_titles": (("v_items",), "SELECT item_id * 7 + 3 AS tmdb_id, title FROM v_items"),
+    "v_partial_titles": (
         ("v_items",),
-        f"""SELECT item_id * 7 + 3 AS tmdb_id, title FROM v_items WHERE item_id % {V.UNTITLED_MOD} <> 0""",
+        f"SELECT item_id * 7 + 3 AS tmdb_id, title FROM v_items WHERE item_id % {V.UNTITLED_MOD} <> 0",
     ),
     "v_raw_ratings": (
         ("v_ratings",),
@@ -75,24 +94,11 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
          CASE WHEN (user_id * 31 + item_id) % {V.BAD_RATING_MOD} = 0 THEN 'n/a' ELSE CAST(rating AS VARCHAR) END AS rating
   FROM v_ratings""",
     ),
-    "v_clean_items": (
-        ("v_raw_items",),
-        """SELECT * FROM (
-    SELECT id, title,
-           TRY_CAST(budget AS DOUBLE) AS budget, TRY_CAST(revenue AS DOUBLE) AS revenue,
-           TRY_CAST(vote_average AS DOUBLE) AS vote_average, TRY_CAST(vote_count AS INTEGER) AS vote_count,
-           TRY_CAST(popularity AS DOUBLE) AS popularity, TRY_CAST(runtime AS DOUBLE) AS runtime,
-           CAST(year(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_year,
-           CASE WHEN json_valid(genres) THEN json_extract_string(genres, '$[*].name')
-                ELSE CAST([] AS VARCHAR[]) END AS genres_list,
-           genre_tags, original_language
-    FROM v_raw_items) t
-  WHERE budget IS NOT NULL AND revenue IS NOT NULL AND vote_average IS NOT NULL AND title IS NOT NULL
-    AND revenue > 1000 AND budget > 1000 AND vote_count > 10""",
-    ),
+    "v_clean_items": (("v_raw_items",), _clean_items("v_raw_items")),
+    "v_whole_items": (("v_text_items",), _clean_items("v_text_items")),
     "v_analysis": (
-        ("v_clean_items",),
-        f"""SELECT * FROM v_clean_items WHERE vote_count > {V.EDA_MIN_VOTES}""",
+        ("v_whole_items",),
+        f"""SELECT * FROM v_whole_items WHERE vote_count > {V.EDA_MIN_VOTES}""",
     ),
     "v_doc_labels": (
         (),

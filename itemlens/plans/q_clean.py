@@ -65,7 +65,7 @@ def _tags_sql(source: str) -> str:
     """(id, genre_pos, genre) rows of the delimited genre text of ``source`` (the SQL twin of genres_from_tags)."""
     return f"""SELECT id, genre_pos, genre FROM (
   SELECT id, UNNEST(g) AS genre, UNNEST(range(1, len(g) + 1)) AS genre_pos FROM (
-    SELECT id, list_filter(list_transform(pieces, lambda x: trim(x)), lambda x: x <> '') AS g FROM (
+    SELECT id, list_filter(list_transform(pieces, lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS g FROM (
       SELECT id, CASE
           WHEN starts_with(s, '[') AND ends_with(s, ']')
             THEN string_split(translate(regexp_replace(s, '^[\\[\\]]+|[\\[\\]]+$', '', 'g'), '''"', ''), ',')

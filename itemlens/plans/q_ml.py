@@ -13,9 +13,11 @@ from itemlens.operators import evaluate as EV
 from itemlens.operators import joins, recommend, regress, similarity, split
 from itemlens.operators.topk import truncate_label
 from itemlens.plans import views as V
+from itemlens.plans.oracle_views import with_views
 from itemlens.plans.registry import register
 from itemlens.sources.catalog import load
 
+# Feature lists of the reference's models.
 REVENUE_FEATURES = ["budget", "vote_count", "popularity", "runtime"]
 VOTE_FEATURES = ["budget", "popularity", "runtime", "vote_count", "revenue"]
 SCRIPT_FEATURES = ["budget", "vote_count", "release_year"]
@@ -160,22 +162,83 @@ def _titles(spark, d):
     return V.titles(spark, d).groupBy("tmdb_id").agg(F.min("title").alias("title"))
 
 
-@register("als_train_eval", operators="M15 M16 M17 M18 M20 M9", sql=None)
-def als_train_eval(spark, d):
-    """Cold-start accounting and error metrics of ALS on the held-out side, one aggregation pass."""
+# The mapped ratings and their split, as SQL.
+_ALS_CTES = {
+    "v_mapped": "SELECT r.user_id, l.tmdb_id, r.rating FROM v_ratings r JOIN v_links l ON r.item_id = l.movie_id "
+    "JOIN (SELECT DISTINCT tmdb_id FROM v_titles) t ON l.tmdb_id = t.tmdb_id",
+    "v_als_split": "SELECT *, CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(tmdb_id AS VARCHAR)), 1, 7)) "
+    "AS BIGINT) % 100 AS bucket FROM v_mapped",
+    "v_als_train": "SELECT user_id, tmdb_id, rating FROM v_als_split WHERE bucket < 80",
+    "v_als_test": "SELECT user_id, tmdb_id, rating FROM v_als_split WHERE bucket >= 80",
+}
+
+
+def _als_errors(spark, d):
+    """One pass over the scored held-out side: cold-start accounting, error metrics, error statistics and shares."""
     model, _, test, _ = _als(spark, d)
     scored = recommend.als_scores(model, test, item_col="tmdb_id")
     ok = ~F.isnan("prediction")
     err = F.when(ok, F.col("rating") - F.col("prediction"))
+    rating = F.when(ok, F.col("rating"))
+    shares = [
+        (100 * F.count_if(ok & (F.abs(err) <= t)) / F.nullif(F.count_if(ok), F.lit(0))).alias("pct_within_" + str(t).replace(".", "_"))
+        for t in EV.ERROR_THRESHOLDS
+    ]
     return scored.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(ok).alias("valid"),
         F.count_if(~ok).alias("missing"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
+        (1 - F.sum(err * err) / F.nullif(F.var_pop(rating) * F.count(rating), F.lit(0.0))).alias("r2"),
+        F.min(F.abs(err)).alias("min_error"),
+        F.max(F.abs(err)).alias("max_error"),
+        F.stddev_samp(F.abs(err)).alias("std_error"),
+        *shares,
+        F.countDistinct("user_id").alias("users"),
+        F.countDistinct("tmdb_id").alias("items"),
     )
 
 
+@register("als_train_eval", operators="M15 M16 M17 M18 M20 M9 A5 A6", bench=True, sql=None)
+def als_train_eval(spark, d):
+    """Cold-start accounting, error metrics, error statistics and shares of ALS on the held-out side, in one pass."""
+    return _als_errors(spark, d)
+
+
+@register("als_test_counts", operators="M20 F15 M17", sql=with_views(
+    """SELECT count(*) AS total,
+       count(CASE WHEN u.user_id IS NOT NULL AND i.tmdb_id IS NOT NULL THEN 1 END) AS valid,
+       count(CASE WHEN u.user_id IS NULL OR i.tmdb_id IS NULL THEN 1 END) AS missing,
+       count(DISTINCT t.user_id) AS users, count(DISTINCT t.tmdb_id) AS items
+FROM v_als_test t LEFT JOIN (SELECT DISTINCT user_id FROM v_als_train) u ON t.user_id = u.user_id
+LEFT JOIN (SELECT DISTINCT tmdb_id FROM v_als_train) i ON t.tmdb_id = i.tmdb_id""",
+    "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
+def als_test_counts(spark, d):
+    """How many held-out ratings the model can score: a user or item without training rows has no factors."""
+    return _als_errors(spark, d).select("total", "valid", "missing", "users", "items")
+
+
+@register("als_ranked_slots", operators="M19 T9 (positions)", sql=with_views(
+    f"""SELECT u.user_id, CAST(p.pos AS INTEGER) AS pos FROM (SELECT DISTINCT user_id FROM v_als_train) u,
+  (SELECT unnest(range(1, 1 + least({recommend.RECS_PER_USER}, (SELECT count(DISTINCT tmdb_id) FROM v_als_train)))) AS pos) p""",
+    "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
+def als_ranked_slots(spark, d):
+    """Every training user gets the full list: (user, position) of the ALS recommendations."""
+    return _als_recs(spark, d).select("user_id", F.col("pos").cast("int").alias("pos"))
+
+
+@register("als_unrated_items", operators="Q6 J4 P5 M17 (items)", sql=with_views(
+    f"""SELECT DISTINCT tmdb_id FROM v_titles WHERE tmdb_id IN (SELECT tmdb_id FROM v_als_train)
+AND tmdb_id NOT IN (SELECT tmdb_id FROM v_mapped WHERE user_id = {LOOKUP_USER})
+AND {LOOKUP_USER} IN (SELECT user_id FROM v_als_train)""", "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
+def als_unrated_items(spark, d):
+    """The items that the unrated predictions of a user cover."""
+    model, _, _, rwt = _als(spark, d)
+    unrated = joins.unrated_items(_titles(spark, d), rwt, LOOKUP_USER, item_col="tmdb_id")
+    return recommend.predict_unrated(model, unrated, None, item_col="tmdb_id").select("tmdb_id")
+
+
 @register("train_test_gap", operators="M21 (D2)", sql=None)
 def train_test_gap(spark, d):
     """RMSE on the training side and on the held-out side (both RMSE, unlike the reference's mixed metric)."""
@@ -189,16 +252,9 @@ def train_test_gap(spark, d):
     ).withColumn("gap", F.col("test_rmse") - F.col("train_rmse"))
 
 
-@register("als_params", operators="M22", sql=None)
-def als_params(spark, d):
-    model, _, _, _ = _als(spark, d)
-    rows = recommend.als_params(
-        model, regParam=recommend.ALS_REG, maxIter=recommend.ALS_ITER, nonnegative=True, seed=recommend.ALS_SEED
-    )
-    return spark.createDataFrame(rows, "param string, value string")
-
-
-@register("factor_sizes", operators="A27 M23", sql=None)
+@register("factor_sizes", operators="A27 M23", sql=with_views(
+    f"""SELECT 'user' AS "table", count(DISTINCT user_id) AS rows, {recommend.ALS_RANK} AS rank FROM v_als_train
+UNION ALL SELECT 'item', count(DISTINCT tmdb_id), {recommend.ALS_RANK} FROM v_als_train""", "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
 def factor_sizes(spark, d):
     model, _, _, _ = _als(spark, d)
     u = model.userFactors.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("user").alias("table"), "rows")
@@ -255,11 +311,11 @@ def als_user_report(spark, d):
     model, _, test, _ = _als(spark, d)
     titles = _titles(spark, d)
     ids = [r[0] for r in test.select("user_id").distinct().orderBy("user_id").limit(REPORT_USERS).collect()]
-    held = None
+    held = test.select("user_id", "tmdb_id", "rating", F.lit(0).alias("pos")).limit(0)
     for u in ids:
         top5 = test.filter(F.col("user_id") == u).orderBy(F.desc("rating"), "tmdb_id").limit(5)
         top5 = top5.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rating"), "tmdb_id")))
-        held = top5 if held is None else held.unionByName(top5)
+        held = held.unionByName(top5.select("user_id", "tmdb_id", "rating", "pos"))
     held = joins.with_titles(held, titles, key="tmdb_id", default_prefix="Movie").select(
         "user_id", F.lit("held_out").alias("section"), "pos", "tmdb_id", "title", F.col("rating").alias("value")
     )
@@ -288,21 +344,22 @@ def als_precision_at_k(spark, d):
     return EV.precision_at_k(recs, _als_relevant(test), item_col="tmdb_id")
 
 
-@register("als_quality_report", operators="Q9 A24 A8 A7 M21 A27", sql=None)
+@register("als_quality_report", operators="Q9 A24 A8 A7 A5 A6 M9 M21 A27", sql=None)
 def als_quality_report(spark, d):
-    """Coverage, bias and prediction distribution of the ALS model as one tall (metric, value) frame."""
+    """Coverage, bias, prediction distribution, errors, train/test gap and factor sizes of the ALS model as one tall
+    (metric, value) frame. Each part is built once and unpivoted."""
     model, _, test, rwt = _als(spark, d)
     recs = _als_recs(spark, d)
-    cov = EV.coverage(recs, rwt, item_col="tmdb_id")
     scored = recommend.als_scores(model, test, item_col="tmdb_id")
-    bias = EV.bias_report(scored)
     bins = EV.prediction_bins(spark, scored)
+    sizes = factor_sizes(spark, d)
     parts = [
-        cov.select(F.lit("coverage").alias("metric"), F.col("coverage").cast("double").alias("value")),
-        bias.select(F.lit("avg_actual").alias("metric"), F.col("avg_actual").alias("value")),
-        bias.select(F.lit("avg_predicted").alias("metric"), F.col("avg_predicted").alias("value")),
-        bias.select(F.lit("bias").alias("metric"), F.col("bias").alias("value")),
+        _tall(EV.coverage(recs, rwt, item_col="tmdb_id").select("coverage")),
+        _tall(EV.bias_report(scored).select("avg_actual", "avg_predicted", "bias")),
         bins.select(F.concat(F.lit("pct_pred "), F.col("bin")).alias("metric"), F.col("pct").alias("value")),
+        _tall(_als_errors(spark, d)),
+        _tall(train_test_gap(spark, d)),
+        sizes.select(F.concat(F.col("table"), F.lit("_factors")).alias("metric"), F.col("rows").cast("double").alias("value")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -310,7 +367,13 @@ def als_quality_report(spark, d):
     return out
 
 
-@register("als_top_recommended", operators="Q10 A25 A26 J6 T5", sql=None)
+def _tall(wide):
+    """One row of figures as (metric, value) rows, in one pass."""
+    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in wide.columns)
+    return wide.selectExpr(f"stack({len(wide.columns)}, {pairs}) AS (metric, value)")
+
+
+@register("als_top_recommended", operators="Q10 A25 J6 T5", sql=None)
 def als_top_recommended(spark, d):
     model, _, _, _ = _als(spark, d)
     recs = _als_recs(spark, d)

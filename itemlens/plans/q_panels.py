@@ -155,30 +155,21 @@ def preview_rows(spark, d):
 # ------------------------------------------------------------------------------------------- Q15 run summary
 
 
-@register("run_summary", operators="Q15 Q9 M11 M9 Q8 A24 A6", sql=None)
+@register("run_summary", operators="Q15 Q9 M9 M11 M21 Q8 A5 A6 A24 A27", bench=True, sql=None)
 def run_summary(spark, d):
-    """End-of-run summary: both regression comparison tables, ALS metrics, precision, coverage and error shares."""
-    reg = []
+    """End-of-run summary: both regression comparison tables, and of the ALS model its error metrics and shares, sample
+    counts, train/test gap, factor sizes, coverage and precision. Each part is built once and unpivoted."""
+    parts = []
     for q in ("regression_compare_revenue", "regression_compare_vote"):
         t = REGISTRY[q].build(spark, d)
-        for m in ("rmse", "r2"):
-            reg.append(t.select(F.concat(F.lit("regression "), F.col("target")).alias("section"),
-                                F.concat(F.col("model"), F.lit(" " + m)).alias("metric"),
-                                F.col(m).cast("double").alias("value")))
-    als = q_ml.als_train_eval(spark, d)
-    for m in ("rmse", "mae", "total", "valid", "missing"):
-        reg.append(als.select(F.lit("als").alias("section"), F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")))
+        pairs = "concat(model, ' rmse'), cast(rmse as double), concat(model, ' r2'), cast(r2 as double)"
+        parts.append(t.selectExpr("concat('regression ', target) AS section", f"stack(2, {pairs}) AS (metric, value)"))
+    als = q_ml.als_quality_report(spark, d)
+    parts.append(als.select(F.lit("als").alias("section"), "metric", "value"))
     prec = q_ml.als_precision_at_k(spark, d)
-    reg.append(prec.select(F.lit("als").alias("section"), F.concat(F.lit("precision@"), F.col("k").cast("string")).alias("metric"),
-                           F.col("precision").cast("double").alias("value")))
-    shares = REGISTRY["error_shares"].build(spark, d)
-    reg.append(shares.select(F.lit("item_mean_errors").alias("section"),
-                             F.concat(F.lit("within "), F.col("threshold").cast("string")).alias("metric"),
-                             F.col("pct_within").cast("double").alias("value")))
-    cov = REGISTRY["coverage"].build(spark, d)
-    reg.append(cov.select(F.lit("baseline_recs").alias("section"), F.lit("coverage").alias("metric"),
-                          F.col("coverage").cast("double").alias("value")))
-    return _union(reg)
+    parts.append(prec.select(F.lit("als").alias("section"), F.concat(F.lit("precision@"), F.col("k").cast("string")).alias("metric"),
+                             F.col("precision").cast("double").alias("value")))
+    return _union(parts)
 
 
 # q_eda and q_recs are imported so the queries this module unions are registered before its SQL is composed.

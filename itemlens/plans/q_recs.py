@@ -18,8 +18,7 @@ LOOKUP_USER = 1
 TARGET_VEC = 7
 TOP_N = 10
 TRAIN_PCT = 80
-COLD_ITEM_BUCKETS = 1  # items whose md5 bucket is below this are held out of training (1 %)
-CAP_ROWS = 20000  # size cap of the sampling queries
+SAMPLE_FRACTION = 0.25  # share of the rows that the sampling queries keep
 
 
 def r6(c):
@@ -151,20 +150,18 @@ def hash_split(spark, d):
     )
 
 
-@register("capped_sample", operators="R3", sql=None)
-def capped_sample(spark, d):
-    """Bernoulli sample of the ratings capped near 20,000 rows (a sampling operator: rows-only check)."""
-    return split.capped_sample(V.ratings(spark, d), CAP_ROWS)
+@register("bernoulli_sample", operators="R3", sql=None)
+def bernoulli_sample(spark, d):
+    """A Bernoulli sample of the ratings (a sampling operator: rows-only check)."""
+    return split.bernoulli_sample(V.ratings(spark, d), SAMPLE_FRACTION)
 
 
-@register("capped_sample_hash", operators="R3 R4", sql=with_views(
+@register("sample_fraction", operators="R3 R4", sql=with_views(
     f"""SELECT user_id, item_id, rating FROM v_ratings
-WHERE (SELECT count(*) FROM v_ratings) <= {CAP_ROWS}
-   OR CAST(('0x' || substr(md5({_PAIR_KEY}), 1, 7)) AS BIGINT)
-      < (CAST({CAP_ROWS} AS BIGINT) * {split.HASH_SPACE}) // (SELECT count(*) FROM v_ratings)""", "v_ratings"))
-def capped_sample_hash(spark, d):
-    """The ratings capped near 20,000 rows by key hash (stable, SQL-checkable form of the capped sample)."""
-    return split.hash_capped_sample(V.ratings(spark, d), ["user_id", "item_id"], CAP_ROWS)
+WHERE CAST(('0x' || substr(md5({_PAIR_KEY}), 1, 7)) AS BIGINT) < {int(SAMPLE_FRACTION * split.HASH_SPACE)}""", "v_ratings"))
+def sample_fraction(spark, d):
+    """A fixed fraction of the ratings by key hash (stable, SQL-checkable form of the sample)."""
+    return split.sample_fraction(V.ratings(spark, d), ["user_id", "item_id"], SAMPLE_FRACTION)
 
 
 @register("random_split", operators="R1 R2 X19 P4", sql=None)
@@ -237,22 +234,11 @@ def bias_report(spark, d):
     return b.select(*[r6(F.col(c)).alias(c) for c in b.columns])
 
 
-_COLD_CTES = dict(SPLIT_CTES)
-_COLD_CTES["v_item_mean"] = (
-    "SELECT item_id, round(avg(rating), 6) AS prediction FROM v_train "
-    f"WHERE {_HASH.format(key='CAST(item_id AS VARCHAR)')} >= {COLD_ITEM_BUCKETS} GROUP BY item_id"
-)
-
-
 @register("cold_start_counts", operators="M20 F15", sql=with_views(
     """SELECT count(*) AS total, count(prediction) AS valid, count(*) - count(prediction) AS missing FROM v_scored""",
-    "v_ratings", extra=_COLD_CTES))
+    "v_ratings", extra=SPLIT_CTES))
 def cold_start_counts(spark, d):
-    from itemlens.functions.hashing import hash_bucket
-
-    train, test = _split(spark, d)
-    warm = train.filter(hash_bucket("item_id") >= COLD_ITEM_BUCKETS)
-    return EV.cold_start_counts(recommend.score_by_item_mean(warm, test))
+    return EV.cold_start_counts(_scored(spark, d))
 
 
 # ------------------------------------------------------------------------- list metrics (deterministic recommender)
@@ -330,10 +316,10 @@ def hits_semi_join(spark, d):
     f"""SELECT r.user_id, r.pos, r.item_id, l.tmdb_id,
        coalesce(t.title, 'Movie ' || CAST(r.item_id AS VARCHAR)) AS title
 FROM v_recs r LEFT JOIN v_links l ON r.item_id = l.movie_id
-LEFT JOIN (SELECT tmdb_id, min(title) AS title FROM v_titles GROUP BY tmdb_id) t ON l.tmdb_id = t.tmdb_id
-WHERE r.pos <= {TOP_N}""", "v_ratings", "v_links", "v_titles", extra=RECS_CTES))
+LEFT JOIN (SELECT tmdb_id, min(title) AS title FROM v_partial_titles GROUP BY tmdb_id) t ON l.tmdb_id = t.tmdb_id
+WHERE r.pos <= {TOP_N}""", "v_ratings", "v_links", "v_partial_titles", extra=RECS_CTES))
 def title_left_default(spark, d):
     recs = _recs(spark, d).filter(F.col("pos") <= TOP_N)
     linked = recs.join(V.links(spark, d).select(F.col("movie_id").alias("item_id"), "tmdb_id"), "item_id", "left")
-    titled = joins.with_titles(linked, V.titles(spark, d), key="tmdb_id", default_prefix="Movie", default_id="item_id")
+    titled = joins.with_titles(linked, V.partial_titles(spark, d), key="tmdb_id", default_prefix="Movie", default_id="item_id")
     return titled.select("user_id", "pos", "item_id", "tmdb_id", "title")

@@ -8,8 +8,8 @@ checkpoint folder (see :func:`materialized`); everything else is a lazy plan:
 - ``items``    (item_id, title, budget, revenue, vote_count, vote_average, runtime, language, category,
   release_date, popularity): the item catalogue, one row per part with sales.
 - ``raw_items``: ``items`` as dirty text (ids, numbers, dates, JSON and delimited genres) to exercise cleaning.
-- ``links``    (movie_id, tmdb_id, imdb_id): second id space with null and unmatched ids.
-- ``titles``   (tmdb_id, title): the catalogue keyed by the second id space, restricted to a subset.
+- ``links``    (movie_id, tmdb_id, imdb_id): second id space, with extra rows whose id is null.
+- ``titles``   (tmdb_id, title): the catalogue keyed by the second id space.
 - ``vectors``  (vec_id, embedding, label), ``doc_labels`` (documents with labels), ``events``.
 
 The SQL twins of these adapters (for the DuckDB oracle) live in :mod:`itemlens.plans.oracle_views`; the two must stay in
@@ -36,8 +36,8 @@ NULL_RUNTIME_MOD = 37
 NULL_TMDB_MOD = 17
 UNTITLED_MOD = 5
 BAD_RATING_MOD = 97
-# Popularity threshold of the analysis frame. The reference uses vote_count > 50 on its data; here vote counts are
-# lines per part (about 30 on average), so the cut sits at 30 to keep about half of the catalogue.
+# Popularity threshold of the analysis frame here: vote counts are lines per part (about 30 on average), so the cut sits
+# at 30 instead of the operator's default to keep about half of the catalogue.
 EDA_MIN_VOTES = 30
 
 
@@ -150,13 +150,13 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _when_mod(key, mod: int, value, otherwise):
-    return F.when(key % mod == 0, value).otherwise(otherwise)
+def raw_items(spark: SparkSession, d: str, dirty: bool = True) -> DataFrame:
+    """``items`` as text columns, like a movie-metadata CSV export; with dirt for the cleaning queries."""
+    it = items(spark, d)
 
+    def _when_mod(key, mod: int, value, otherwise):
+        return F.when(key % mod == 0, value).otherwise(otherwise) if dirty else otherwise
 
-def raw_items(spark: SparkSession, d: str) -> DataFrame:
-    """``items`` as text columns with dirt, like a movie-metadata CSV export."""
-    it = items(spark, d)
     k = F.col("item_id")
     word = F.split_part(F.col("title"), F.lit(" "), F.lit(1))
     cat = F.col("category")
@@ -180,10 +180,9 @@ def raw_items(spark: SparkSession, d: str) -> DataFrame:
         F.col("popularity").cast("string").alias("popularity"),
         _when_mod(k, NULL_RUNTIME_MOD, F.lit(None).cast("string"), F.col("runtime").cast("string")).alias("runtime"),
         _when_mod(k, BAD_DATE_MOD, F.lit("n/a"), F.col("release_date").cast("string")).alias("release_date"),
-        F.when(k % BAD_GENRES_MOD == 0, F.lit("garbage"))
-        .when(k % EMPTY_GENRES_MOD == 0, F.lit("[]"))
-        .otherwise(genres_json)
-        .alias("genres"),
+        _when_mod(
+            k, BAD_GENRES_MOD, F.lit("garbage"), _when_mod(k, EMPTY_GENRES_MOD, F.lit("[]"), genres_json)
+        ).alias("genres"),
         genre_tags.alias("genre_tags"),
         _when_mod(k, NULL_LANGUAGE_MOD, F.lit(None).cast("string"), F.col("language")).alias("original_language"),
     )
@@ -208,22 +207,35 @@ def clean_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def analysis_items(spark: SparkSession, d: str) -> DataFrame:
-    """The analysis frame of the exploratory queries: cleaned items above the popularity threshold."""
-    return clean_items(spark, d).filter(F.col("vote_count") > EDA_MIN_VOTES)
+    """The analysis frame of the exploratory queries: all items (none dirtied), cleaned, above the popularity cut."""
+    from itemlens.operators.clean import clean_items as _clean
+    from itemlens.operators.clean import popular_items
+
+    return popular_items(_clean(raw_items(spark, d, dirty=False)), EDA_MIN_VOTES)
 
 
 def links(spark: SparkSession, d: str) -> DataFrame:
-    """(movie_id, tmdb_id, imdb_id): id map from the ratings id space to the catalogue id space; some ids are null."""
+    """(movie_id, tmdb_id, imdb_id): id map from the ratings id space to the catalogue id space.
+
+    Every rated item is mapped; extra rows (negative ids, which nobody rates) have a null catalogue id.
+    """
     k = F.col("p_partkey")
-    return load(spark, d, "part").select(
-        k.alias("movie_id"),
-        F.when(k % NULL_TMDB_MOD == 0, F.lit(None).cast("long")).otherwise(k * 7 + 3).alias("tmdb_id"),
-        F.concat(F.lit("tt"), F.lpad(k.cast("string"), 7, "0")).alias("imdb_id"),
+    imdb = F.concat(F.lit("tt"), F.lpad(k.cast("string"), 7, "0"))
+    part = load(spark, d, "part").select("p_partkey")
+    mapped = part.select(k.alias("movie_id"), (k * 7 + 3).alias("tmdb_id"), imdb.alias("imdb_id"))
+    extra = part.filter(k % NULL_TMDB_MOD == 0)
+    return mapped.unionByName(
+        extra.select((-k).alias("movie_id"), F.lit(None).cast("long").alias("tmdb_id"), imdb.alias("imdb_id"))
     )
 
 
 def titles(spark: SparkSession, d: str) -> DataFrame:
-    """(tmdb_id, title): the catalogue re-keyed by the second id space; every fifth item is missing."""
+    """(tmdb_id, title): the catalogue re-keyed by the second id space."""
+    return items(spark, d).select((F.col("item_id") * 7 + 3).alias("tmdb_id"), F.col("title"))
+
+
+def partial_titles(spark: SparkSession, d: str) -> DataFrame:
+    """``titles`` with every fifth item missing, for the query whose feature is the default title."""
     it = items(spark, d)
     return it.filter(F.col("item_id") % UNTITLED_MOD != 0).select(
         (F.col("item_id") * 7 + 3).alias("tmdb_id"), F.col("title")

@@ -8,11 +8,12 @@ bench and the driver entry point, and for resolving the shared checkpoint folder
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Local fallback used only when the session does not name a shared checkpoint folder (tests, laptops).
+# Used only by local sessions that don't name a shared checkpoint folder (tests, laptops).
 _LOCAL_FALLBACK_DIR = "/tmp/itemlens-checkpoints"
 
 
@@ -44,11 +45,14 @@ def local_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``); a local fallback is used only when it is unset.
+    Read from the session (``spark.checkpoint.dir``). Only a local master may leave it unset: on a cluster a folder of
+    one machine would lose rows, so that is an error.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return conf_dir or _LOCAL_FALLBACK_DIR
 
 

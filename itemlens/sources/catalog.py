@@ -155,16 +155,18 @@ def read_csv(
     schema: T.StructType | None = None,
     *,
     escape_quotes: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    infer_types: bool = False,
 ) -> DataFrame:
     """CSV scan with header.
 
-    With a schema its types are applied by position; without one every column is text (no inference job).
+    With a schema its types are applied by position; without one every column is text, or with ``infer_types`` of the
+    type that an extra pass over the file finds.
     ``escape_quotes`` reads ``""`` inside a quoted field as one quote, so a quoted
-    field holding commas and quotes stays one field; ``multi_line`` keeps embedded newlines inside one field. A missing
-    path raises ``AnalysisException`` (PATH_NOT_FOUND) instead of returning None.
+    field holding commas and quotes stays one field; ``multi_line`` keeps embedded newlines inside one field, at
+    the price of one task per file; without it Spark splits large files. A missing path raises ``AnalysisException`` (PATH_NOT_FOUND) instead of returning None.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", infer_types and schema is None)
     if escape_quotes:
         reader = reader.option("quote", '"').option("escape", '"')
     if multi_line:
@@ -186,9 +188,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType) -> DataFrame:
-    """Read a (possibly multi-line, hence unsplittable) CSV once and persist it as splittable parquet."""
-    read_csv(spark, csv_path, schema).write.mode("overwrite").parquet(parquet_path)
+def csv_to_parquet(
+    spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType, *, multi_line: bool = False
+) -> DataFrame:
+    """Read a CSV once and persist it as splittable parquet."""
+    read_csv(spark, csv_path, schema, multi_line=multi_line).write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
 
@@ -211,7 +215,7 @@ def schema_report(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-# The five CSV exports of the movie workload and the columns its code reads (renamed to snake_case ids on load).
+# The five CSV exports of the movie workload (ids are renamed to snake_case on load).
 MOVIE_SOURCES = {
     "movies": "movies_metadata.csv",
     "keywords": "keywords.csv",
@@ -219,14 +223,16 @@ MOVIE_SOURCES = {
     "links": "links.csv",
     "ratings": "ratings.csv",
 }
+# Exports whose free-text fields may hold line ends; the others split.
+_MULTI_LINE = {"movies", "keywords", "credits"}
 _RENAMES = {
     "ratings": {"userId": "user_id", "movieId": "movie_id"},
     "links": {"movieId": "movie_id", "tmdbId": "tmdb_id", "imdbId": "imdb_id"},
 }
 
 
-def read_csv_text(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
-    """A CSV export read with its header, every column as text (no inference job), ``"``-escaped, multi-line.
+def read_csv_text(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """A CSV export read with its header, every column as text (no inference job), ``"``-escaped.
 
     Wide exports carry more columns than a pipeline uses; an explicit schema is applied by position and would
     mislabel them, so columns are taken by header name and typed later with ``try_cast`` by the cleaning operators.
@@ -238,18 +244,9 @@ def load_movie_sources(spark: SparkSession, base_dir: str, names=tuple(MOVIE_SOU
     """S3 for the movie exports: name -> text DataFrame, ids renamed (``userId`` -> ``user_id`` ...)."""
     out = {}
     for n in names:
-        df = read_csv_text(spark, f"{base_dir.rstrip('/')}/{MOVIE_SOURCES[n]}")
+        df = read_csv_text(spark, f"{base_dir.rstrip('/')}/{MOVIE_SOURCES[n]}", multi_line=n in _MULTI_LINE)
         for old, new in _RENAMES.get(n, {}).items():
             if old in df.columns:
                 df = df.withColumnRenamed(old, new)
         out[n] = df
     return out
-
-
-def movie_load_report(sources: dict[str, DataFrame]) -> DataFrame:
-    """S4 for already loaded sources: (table_name, row_count)."""
-    parts = [
-        df.groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n, df in sources.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)

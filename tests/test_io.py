@@ -14,7 +14,7 @@ def test_csv_quotes_commas_and_newlines(spark):
     d = tempfile.mkdtemp(prefix="itemlens-csv-")
     with open(f"{d}/x.csv", "w") as f:
         f.write('id,title\n1,"He said ""hi, there"""\n2,"two\nlines"\n')
-    df = catalog.read_csv(spark, d, "id int, title string")
+    df = catalog.read_csv(spark, d, "id int, title string", multi_line=True)
     got = {r["id"]: r["title"] for r in df.collect()}
     assert got == {1: 'He said "hi, there"', 2: "two\nlines"}
 
@@ -132,3 +132,17 @@ def test_csv_to_parquet_and_csv_catalog(spark, sf_small):
     assert back.exceptAll(part).count() == 0 and back.count() == part.count()
     pq = catalog.csv_to_parquet(spark, d + "/part.csv", d + "/part.parquet", catalog.SCHEMAS["part"])
     assert pq.count() == part.count()
+
+
+def test_csv_splits_and_infers_types(spark):
+    d = tempfile.mkdtemp(prefix="itemlens-csvsplit-")
+    spark.range(200_000).selectExpr("id", "id / 2 AS half", "concat('t', id) AS name").coalesce(1).write.option("header", True).csv(d + "/x")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        df = catalog.read_csv(spark, d + "/x", infer_types=True)
+        assert df.dtypes == [("id", "int"), ("half", "double"), ("name", "string")]
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 200_000
+        assert [t for _, t in catalog.read_csv(spark, d + "/x").dtypes] == ["string"] * 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

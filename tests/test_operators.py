@@ -202,15 +202,6 @@ def test_top_k_unseen_property(spark):
     check()
 
 
-def test_bounded_broadcast_hints_only_small_sides(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    plan_small = spark.range(1000).join(joins.bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    plan_big = spark.range(1000).join(joins.bounded_broadcast(big, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()
-
-
 def test_exact_quantiles_single_hot_value_spreads(spark):
     from itemlens.operators.quantiles import exact_quantiles
 
@@ -218,3 +209,14 @@ def test_exact_quantiles_single_hot_value_spreads(spark):
     df = spark.createDataFrame(rows, "g string, v double").repartition(4)
     got = {r["g"]: r["m"] for r in exact_quantiles(df, "v", [0.5], ["g"], names=["m"]).collect()}
     assert got == {"g": 2.0, "h": 2.0}
+
+
+def test_sample_fraction_keeps_the_same_keys_at_any_partitioning(spark):
+    from itemlens.operators import split
+
+    df = spark.range(20_000).selectExpr("id AS user_id", "id % 7 AS item_id")
+    one = {r.user_id for r in split.sample_fraction(df.coalesce(1), ["user_id", "item_id"], 0.25).collect()}
+    many = {r.user_id for r in split.sample_fraction(df.repartition(9), ["user_id", "item_id"], 0.25).collect()}
+    assert one == many and 4_500 < len(one) < 5_500
+    assert split.sample_fraction(df, ["user_id"], 1.0).count() == 20_000
+    assert 4_000 < split.bernoulli_sample(df, 0.25).count() < 6_000
