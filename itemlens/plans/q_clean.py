@@ -103,7 +103,7 @@ def json_props_parse(spark, d):
     return ev.select("event_id", "event_type", F.from_json("props", "k INT")["k"].alias("k"))
 
 
-@register("csv_scan_roundtrip", operators="S1 S2 S10", sql="SELECT * FROM part")
+@register("csv_scan_roundtrip", operators="S1 S2", sql="SELECT * FROM part")
 def csv_scan_roundtrip(spark, d):
     """Write ``part`` as quoted CSV into the shared scratch folder and read it back with the explicit schema."""
     path = scratch_path(spark, "part-csv")

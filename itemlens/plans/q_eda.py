@@ -89,7 +89,7 @@ def category_box(spark, d):
     )
 
 
-@register("language_stats", operators="A14 F13", sql=with_views(
+@register("language_stats", operators="A14", sql=with_views(
     """SELECT original_language AS language, round(avg(vote_average), 6) AS avg_rating, count(*) AS movie_count,
        avg(revenue) AS avg_revenue
 FROM v_analysis WHERE original_language IS NOT NULL GROUP BY original_language HAVING count(*) > 10""",
@@ -101,7 +101,7 @@ def language_stats(spark, d):
                     F.col("avg_revenue"))
 
 
-@register("doc_language_stats", operators="A14 A2 A3", sql=with_views(
+@register("doc_language_stats", operators="A14", sql=with_views(
     """SELECT lang, round(avg(quality), 6) AS avg_quality, count(*) AS n_docs, round(avg(n_chars), 6) AS avg_chars,
        round(avg(toxic), 6) AS toxic_share
 FROM v_doc_labels WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) > 10""", "v_doc_labels"))

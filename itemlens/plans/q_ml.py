@@ -36,7 +36,7 @@ _LR1_KEY = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
 _LR1_BUCKET = f"CAST(('0x' || substr(md5({_LR1_KEY}), 1, 7)) AS BIGINT) % 100"
 
 
-@register("regression_lr1", operators="M1 M5 M6 M9 M14", bench=True, sql=f"""WITH s AS (
+@register("regression_lr1", operators="M1 M5 M6 M9", bench=True, sql=f"""WITH s AS (
   SELECT l_quantity AS x, l_extendedprice AS y, {_LR1_BUCKET} AS bucket FROM lineitem),
 fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, count(*) AS n_train
         FROM s WHERE bucket < 80)
@@ -294,7 +294,7 @@ def als_recommend_all(spark, d):
     return recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
 
 
-@register("als_unseen_recs", operators="M19 (exclude_seen) §2.12", sql=None)
+@register("als_unseen_recs", operators="M19 (exclude_seen) §2.12", bench=True, sql=None)
 def als_unseen_recs(spark, d):
     model, train, _, _ = _als(spark, d)
     return recommend.als_unseen_top_k(model, train, recommend.RECS_PER_USER, item_col="tmdb_id")

@@ -11,11 +11,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from itemlens.functions import numeric as NX
+from itemlens.operators import eda
 from itemlens.operators.topk import truncate_label
 from itemlens.plans import q_eda, q_ml, q_recs
 from itemlens.plans import views as V
 from itemlens.plans.oracle_views import with_views
 from itemlens.plans.registry import REGISTRY, register
+from itemlens.session import scratch_path
+from itemlens.sources import sinks
 
 PREVIEW_ROWS = 5
 PREVIEW_WIDTH = 8
@@ -56,39 +60,88 @@ _EDA_PARTS = [
 ]
 
 
-@register("eda_panel", operators="Q11 F4 X11 A22 A10 A11", sql=" UNION ALL ".join(
-    _sql_part(q, "eda", s, **kw) for q, s, kw in _EDA_PARTS))
+_EDA_GRIDS = {"budget_vs_revenue": ("budget", "revenue"), "votes_vs_rating": ("vote_count", "vote_average")}
+_GRID_BINS = 20
+
+
+def _grid_sql(panel: str, series: str, x: str, y: str, source: str) -> str:
+    """One scatter chart as 2-D bins: x bin in ``x_value``, y bin in ``x_label``, points in ``y``."""
+    def place(v: str) -> str:
+        at = f"floor(({v} - {v}0) / nullif(({v}1 - {v}0) / {_GRID_BINS}, 0))"
+        return f"CAST(least(coalesce({at}, 0), {_GRID_BINS - 1}) AS INTEGER)"
+
+    return (
+        f"SELECT '{panel}' AS panel, '{series}' AS series, CAST({place('y')} AS VARCHAR) AS x_label, "
+        f"CAST({place('x')} AS DOUBLE) AS x_value, CAST(count(*) AS DOUBLE) AS y FROM "
+        f"(SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) p, "
+        f"(SELECT CAST(min({x}) AS DOUBLE) AS x0, CAST(max({x}) AS DOUBLE) AS x1, CAST(min({y}) AS DOUBLE) AS y0, "
+        f"CAST(max({y}) AS DOUBLE) AS y1 FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) r GROUP BY 1, 2, 3, 4"
+    )
+
+
+def _grids(df: DataFrame, panel: str, pairs: dict) -> DataFrame:
+    g = eda.density_grids(df, pairs, _GRID_BINS)
+    return g.select(
+        F.lit(panel).alias("panel"), "series", F.col("y_bin").cast("string").alias("x_label"),
+        F.col("x_bin").cast("double").alias("x_value"), F.col("n").cast("double").alias("y"),
+    )
+
+
+_MARGIN = "(SELECT *, least(greatest((revenue - budget) / greatest(revenue, 1), -1), 1) AS margin_clipped FROM v_analysis)"
+
+
+def _grids_sql(panel: str, pairs: dict, source: str) -> str:
+    return with_views(" UNION ALL ".join(_grid_sql(panel, s, x, y, source) for s, (x, y) in pairs.items()), "v_analysis")
+
+
+@register("eda_panel", operators="Q11 Q14 X11 A22 A10 A11", sql=" UNION ALL ".join(
+    [_sql_part(q, "eda", s, **kw) for q, s, kw in _EDA_PARTS]
+    + [f"SELECT * FROM ({_grids_sql('eda', _EDA_GRIDS, 'v_analysis')}) g"]))
 def eda_panel(spark, d):
-    return _union([_part(REGISTRY[q].build(spark, d), "eda", s, **kw) for q, s, kw in _EDA_PARTS])
+    parts = [_part(REGISTRY[q].build(spark, d), "eda", s, **kw) for q, s, kw in _EDA_PARTS]
+    return _union([*parts, _grids(V.analysis_items(spark, d), "eda", _EDA_GRIDS)])
 
 
 # ----------------------------------------------------------------------------------------- Q12 rating factor panel
 
 _BOX_STATS = ["min", "q1", "median", "q3", "max"]
 _FACTOR_PARTS = [
-    *[("category_box", f"genre_box_{st}", dict(y=st, x_label="genre")) for st in _BOX_STATS],
     ("runtime_bins", "rating_by_runtime", dict(y="avg_rating", x_label="runtime_bin")),
     ("vote_by_year", "rating_by_year", dict(y="avg_rating", x_value="release_year")),
     ("language_stats", "rating_by_language", dict(y="avg_rating", x_label="language")),
 ]
+_FACTOR_GRIDS = {
+    f"{x}_vs_rating": (x, "vote_average") for x in ("budget", "revenue", "vote_count", "margin_clipped", "popularity")
+}
 
 
 def _lang_top10_sql() -> str:
     return f"SELECT * FROM ({REGISTRY['language_stats'].sql}) l ORDER BY avg_rating DESC, language LIMIT 10"
 
 
-@register("rating_factor_panel", operators="Q12 A23 A15 X14 A9 A14", sql=" UNION ALL ".join(
-    _sql_part(q, "rating_factors", s, **kw) if q != "language_stats" else
-    _sql_part(q, "rating_factors", s, **kw).replace(f"FROM ({REGISTRY[q].sql}) t", f"FROM ({_lang_top10_sql()}) t")
-    for q, s, kw in _FACTOR_PARTS))
+@register("rating_factor_panel", operators="Q12 Q14 A23 A15 X13 X14 A9 A14", bench=True, sql=" UNION ALL ".join(
+    [_sql_part("category_box", "rating_factors", f"genre_box_{st}", y=st, x_label="genre") for st in _BOX_STATS]
+    + [_sql_part(q, "rating_factors", s, **kw) if q != "language_stats" else
+       _sql_part(q, "rating_factors", s, **kw).replace(f"FROM ({REGISTRY[q].sql}) t", f"FROM ({_lang_top10_sql()}) t")
+       for q, s, kw in _FACTOR_PARTS]
+    + [f"SELECT * FROM ({_grids_sql('rating_factors', _FACTOR_GRIDS, _MARGIN)}) g"]))
 def rating_factor_panel(spark, d):
-    parts = []
+    """Nine charts. Every part is built once; the box summary's five statistics are unpivoted from one row per genre, and
+    the five scatter charts share two passes."""
+    pairs = ", ".join(f"'genre_box_{st}', cast({st} as double)" for st in _BOX_STATS)
+    box = REGISTRY["category_box"].build(spark, d).selectExpr(
+        "'rating_factors' AS panel", "genre AS x_label", "cast(null as double) AS x_value",
+        f"stack({len(_BOX_STATS)}, {pairs}) AS (series, y)",
+    ).select("panel", "series", "x_label", "x_value", "y")
+    parts = [box]
     for q, s, kw in _FACTOR_PARTS:
         df = REGISTRY[q].build(spark, d)
         if q == "language_stats":
             df = df.orderBy(F.desc("avg_rating"), "language").limit(10)
         parts.append(_part(df, "rating_factors", s, **kw))
-    return _union(parts)
+    a = V.analysis_items(spark, d)
+    a = a.withColumn("margin_clipped", NX.clip(NX.profit_margin("revenue", "budget"), -1, 1))
+    return _union([*parts, _grids(a, "rating_factors", _FACTOR_GRIDS)])
 
 
 # -------------------------------------------------------------------------------------------- Q13 insight summary
@@ -100,6 +153,9 @@ _SUMMARY_METRICS = [
 ]
 
 
+_GENRE_COLUMNS = ["avg_rating", "movie_count", "total_votes", "avg_revenue"]
+
+
 def _insight_sql() -> str:
     parts = []
     for q, section, cols in _SUMMARY_METRICS:
@@ -112,30 +168,39 @@ def _insight_sql() -> str:
         "SELECT 'correlation' AS section, feature AS metric, CAST(corr AS DOUBLE) AS value "
         f"FROM ({REGISTRY['rating_correlations'].sql}) t"
     )
-    parts.append(
-        "SELECT 'top_genres' AS section, genre AS metric, CAST(avg_rating AS DOUBLE) AS value "
-        f"FROM ({REGISTRY['category_stats'].sql}) t"
-    )
+    for c in _GENRE_COLUMNS:
+        parts.append(
+            f"SELECT 'top_genres {c}' AS section, genre AS metric, CAST({c} AS DOUBLE) AS value "
+            f"FROM ({REGISTRY['category_stats'].sql}) t"
+        )
     return " UNION ALL ".join(parts)
 
 
 @register("insight_summary", operators="Q13 A12 A18 A19 A20 A21", sql=_insight_sql())
 def insight_summary(spark, d):
+    """Every part is built once and unpivoted."""
     parts = []
     for q, section, cols in _SUMMARY_METRICS:
-        df = REGISTRY[q].build(spark, d)
-        for c in cols:
-            parts.append(df.select(F.lit(section).alias("section"), F.lit(c).alias("metric"),
-                                   F.col(c).cast("double").alias("value")))
+        pairs = ", ".join(f"'{c}', cast({c} as double)" for c in cols)
+        parts.append(REGISTRY[q].build(spark, d).selectExpr(f"'{section}' AS section", f"stack({len(cols)}, {pairs}) AS (metric, value)"))
     corr = REGISTRY["rating_correlations"].build(spark, d)
-    parts.append(corr.select(F.lit("correlation").alias("section"), F.col("feature").alias("metric"),
-                             F.col("corr").cast("double").alias("value")))
-    gen = REGISTRY["category_stats"].build(spark, d)
-    parts.append(gen.select(F.lit("top_genres").alias("section"), F.col("genre").alias("metric"),
-                            F.col("avg_rating").cast("double").alias("value")))
+    parts.append(corr.selectExpr("'correlation' AS section", "feature AS metric", "cast(corr as double) AS value"))
+    pairs = ", ".join(f"'top_genres {c}', cast({c} as double)" for c in _GENRE_COLUMNS)
+    genres = REGISTRY["category_stats"].build(spark, d)
+    genres = genres.selectExpr("genre AS metric", f"stack({len(_GENRE_COLUMNS)}, {pairs}) AS (section, value)")
+    parts.append(genres.select("section", "metric", "value"))
     return _union(parts)
 
 
+@register("chart_series", operators="S10 Q11", sql=_sql_part("vote_by_year", "factors", "rating_by_year", y="avg_rating", x_value="release_year"))
+def chart_series(spark, d):
+    """A chart's data written through the sink and read back."""
+    path = scratch_path(spark, "chart-series")
+    part = _part(REGISTRY["vote_by_year"].build(spark, d), "factors", "rating_by_year", y="avg_rating", x_value="release_year")
+    sinks.write_series(part, path, partition_by=["panel"])
+    return spark.read.parquet(path).select("panel", "series", "x_label", "x_value", "y")
+
+
 # ------------------------------------------------------------------------------------------------- S6 preview
 
 
