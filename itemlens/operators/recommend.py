@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemlens.operators.topk import global_rank, ordinal_within_group
+from itemlens.session import write_scratch_table
 
 # ALS hyper-parameters of the reference.
 ALS_RANK = 10
@@ -209,8 +210,10 @@ def als_unseen_top_k(
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
+    # Scoring is the costly part and its result is read three times below: written once.
+    cand = write_scratch_table(seen.sparkSession, cand, "candidates")
     seen_ranks = cand.join(seen_pairs, ["user_id", "item_id"], "left_semi").select("user_id", "rank")
-    slots = unseen_slots(seen_ranks, cand.select("user_id"), k)
+    slots = unseen_slots(seen_ranks, per_user.select("user_id"), k)
     return slots.join(
         cand.withColumnRenamed("rank", "target_rank"), ["user_id", "target_rank"]
     ).select("user_id", F.col("pos").cast("int").alias("pos"), F.col("item_id").alias(item_col), "rating")

@@ -95,3 +95,28 @@ def test_predict_unrated_matches_transform(spark, ratings, model):
     assert all(abs(got[i] - want[i]) < 1e-5 for i in got)
     top = recommend.predict_unrated(model, unrated, 4).collect()
     assert [r["item_id"] for r in top] == [i for i, _ in sorted(got.items(), key=lambda t: (-t[1], t[0]))[:4]]
+
+
+def test_block_counts_follow_the_parameter_and_the_session(spark, ratings, model):
+    assert recommend.train_als(ratings, rank=2, max_iter=1, blocks=3).itemFactors.rdd.getNumPartitions() == 3
+    assert model.userFactors.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_unseen_slots_spread_hot_ranks(spark):
+    """Nearly every user asks for rank 1: the join deals it to several parts, also as a sort-merge join."""
+    scores = spark.range(50).selectExpr("id AS item_id", "CAST(50 - id AS double) AS prediction")
+    seen = spark.range(400).selectExpr("id AS user_id", "id % 3 AS item_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        top = recommend.top_k_unseen(scores, seen, seen.select("user_id"), 4)
+        got = {}
+        for r in top.collect():
+            got.setdefault(r["user_id"], {})[r["pos"]] = r["item_id"]
+        assert "hashpartitioning(target_rank" in top._jdf.queryExecution().toString()
+        assert "salt" in top._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for u in range(400):
+        want = [i for i in range(50) if i != u % 3][:4]
+        assert [got[u][p] for p in (1, 2, 3, 4)] == want
