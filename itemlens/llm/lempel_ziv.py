@@ -13,7 +13,7 @@ often it occurs, and no key is hot. Two levels keep the index small:
 1. Seeds. ``window`` words contain ``window - SEED + 1`` runs of ``SEED`` words; the one with the least hash is their
    seed. Equal windows have equal seeds, and seeds are one in about nine positions. A shuffle by seed shows which occur
    twice; the other windows can't repeat.
-2. Windows. Documents are joined with their repeated seeds; the windows with such a seed send 128-bit hashes, and a second
+2. Windows. Documents are joined with their repeated seeds; the windows with such a seed send 96-bit hashes, and a second
    shuffle shows which occur twice.
 
 A third join brings the repeated positions back to the documents. Partitions are read as sorted streams: equal keys are
@@ -168,7 +168,7 @@ def _window_rows(window: int, seed: int):
         starts, row = t.at[may], t.row[may]
         low = W.window_hashes(t.words, window, seed=22)[starts]
         again, lead = _repeated(low)
-        high = W.window_hashes(t.words, window, seed=23)[starts]
+        high = (W.window_hashes(t.words, window, seed=23)[starts] >> W.U64(32)).astype("<u4")
         pos = starts - t.first[row]
         ask = lead  # one of each kind asks or tells; the others of its kind are known repeats
         bounds = np.searchsorted(row[ask], np.arange(len(t.count) + 1))
@@ -226,7 +226,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 _signed(values(low, "<u8").copy()),
-                _signed(values(high, "<u8").copy()),
+                pa.array(values(high, "<u4").view("<i4")),
                 pa.array(np.repeat(row.to_numpy(), size)),
                 pa.array(values(at, "<i4")),
                 pa.array(values(again, "u1").view(bool)),
@@ -317,7 +317,7 @@ def repeated_spans(
     found = write_scratch_table(spark, found, "factors")
 
     asked = found.where(F.octet_length("at") > 0).select("row", "at", "again", "low", "high")
-    asked = asked.mapInArrow(_ask, "low bigint, high bigint, row bigint, at int, again boolean, lead boolean")
+    asked = asked.mapInArrow(_ask, "low bigint, high int, row bigint, at int, again boolean, lead boolean")
     asked = asked.repartition("low").sortWithinPartitions("low", "high")
     hits = asked.mapInArrow(_neighbours(["low", "high"], ["row", "at"]), "row bigint, at int")
     hits = hits.groupBy("row").agg(F.collect_list("at").alias("found"))  # at most the words of one document
