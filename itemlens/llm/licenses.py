@@ -7,7 +7,13 @@ licence by consecutive identifiers, takes its matches out, and leaves the rest t
 recognised before its single sentences are, and a sentence counts for one licence. Identifiers that no rule takes make the
 document ``unknown`` beside what was found.
 
-Only sentences of documents that hold a licence word are looked at. Everything is DataFrame functions, without a shuffle.
+A sentence ends at a closing mark or a blank line (one with only a comment sign is blank), so it may run over several
+lines. A line that is a known sentence by itself stands for itself, as a one-line notice does; the lines between such lines
+are matched joined, from the start of any of them. Licence words in the middle of a wrapped sentence ("copyright notice,
+...", "distributed under the License ...") count only where the joined lines are no other known sentence.
+
+Only sentences that hold a licence word are looked at. Everything is DataFrame functions, without a shuffle. ``SQL`` cuts
+at every line break: it gives the same rows where each notice stands on one line, and doesn't know wrapped ones.
 
 Null and empty texts have no sentences; null keys, repeated rows and repeated keys are documents of their own; an empty
 table gives no rows; other columns are not read.
@@ -18,12 +24,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Where ``SQL`` cuts: closing marks and line breaks.
 SENTENCE_END = "[.!?;:]+[\\x20\\t]+|[.!?;:]*[\\x20\\t]*[\\r\\n]+"
+SIGNS = "#*/%;!>|-"
+#: Closing marks, if they don't open a line as comment signs do, and blank lines.
+RUN_END = (
+    "[.!?;:](?<![\\r\\n][\\x20\\t]{0,40}[.!?;:])(?<![.!?;:]{2})[.!?;:]*[\\x20\\t\\r\\n]+"
+    f"|[\\x20\\t]*(?:\\r\\n|\\r(?!\\n)|\\n)[\\x20\\t]*[{SIGNS}]*[\\x20\\t]*[\\r\\n]+"
+)
+LINE_END = "[\\x20\\t]*[\\r\\n]+"
 #: Words without which a text holds no known sentence.
 HINT = (
     "(?i)licen[cs]e|copyright|permission|redistribut|warrant|reserved|public domain|gpl|creative commons|free software"
     "|\\x20cc[- ]by|cc0|general public|hereby granted|as is|liab|contributors"
 )
+#: The same words where a line may end between them.
+WRAPPED_HINT = HINT.replace("[- ]", "[-\\x20]").replace(" ", f"[\\s{SIGNS}]+").replace("[-\\x20]", "[- ]")
 
 # Known licence sentences after normalisation, first match wins; wording as in the published licences.
 SENTENCES = (
@@ -83,6 +99,11 @@ RULES = (
     ("copyright-notice", ("copyright",)),
 )
 
+#: A line that may be the middle of a sentence, as ``other_license`` may.
+MIDDLE = "^copyright (?:notices?|holders?|owners?|licenses?|laws?|statements?|interest|and|or)(?: .*)?$"
+#: Tried on joined lines only where no line of them is known by itself.
+LAST = ("reserved", "copyright", "other_license")
+
 
 def rule_pattern(parts: tuple[str, ...]) -> str:
     """A rule as a pattern over a sequence of identifiers, each written between ``<`` and ``>``."""
@@ -95,25 +116,69 @@ def normalised(sentence: Column) -> Column:
     return F.regexp_replace(plain, "^[ ./*#-]+|[ ./*#-]+$", "")
 
 
+def _over_lines(pattern: str) -> str:
+    """A sentence's pattern over lines with a line feed between, from the start of any line to the end of the last."""
+    start = "^" if pattern.startswith((".*", "(.* )?")) else "(?:^|\\n)"
+    return f"(?s){start}(?:{pattern.replace('[ -]', '[_-]').replace(' ', '[_]').replace('_', ' \\n')})$"
+
+
+def _first(s: Column, patterns: list[tuple[str, str]]) -> Column:
+    """The name of the first of ``patterns`` that is found in ``s``."""
+    name, pattern = patterns[0]
+    out = F.when(s.rlike(pattern), name)
+    for name, pattern in patterns[1:]:
+        out = out.when(s.rlike(pattern), name)
+    return out
+
+
+ALONE = [(name, f"^(?:{pattern})$") for name, pattern in SENTENCES]
+JOINED = [(name, _over_lines(pattern)) for name, pattern in SENTENCES if name not in LAST]
+JOINED_LAST = [(name, _over_lines(pattern)) for name, pattern in SENTENCES if name in LAST]
+
+
+def _lines(run: Column) -> Column:
+    return F.transform(F.split(run, LINE_END), lambda x: F.struct(x.rlike(HINT).alias("hint"), normalised(x).alias("plain")))
+
+
+def _marked(line: Column) -> Column:
+    """The line; if it is known, ``<1>=name<1>``, or, where it may be the middle of a sentence, the line and ``<2>name``;
+    <1> and <2> are control characters, which no normalised line holds."""
+    name, plain = line["name"], line["plain"]
+    middle = (name == "other_license") | ((name == "copyright") & plain.rlike(MIDDLE))
+    known = F.when(middle, F.concat(plain, F.lit("\x02"), name)).otherwise(F.concat(F.lit("\x01="), name, F.lit("\x01")))
+    return F.when(name.isNull(), plain).otherwise(known)
+
+
+def _names(group: Column) -> Column:
+    """The identifiers of one known line, or of the lines between two of them."""
+    own = F.regexp_extract_all(group["marked"], F.lit("\x02(\\w+)"), F.lit(1))
+    joined_last = F.array_compact(F.array(F.when(group["several"], _first(group["body"], JOINED_LAST))))
+    names = F.when(group["marked"].startswith("="), F.array(F.ltrim(group["marked"], F.lit("="))))
+    names = names.when(group["joined"].isNotNull(), F.array(group["joined"]))
+    return names.when(F.size(own) > 0, own).otherwise(joined_last)
+
+
+def _sentences(text: Column) -> Column:
+    """The identifiers of the known sentences of a text, in order."""
+    runs = F.transform(F.filter(F.split(text, RUN_END), lambda s: s.rlike(WRAPPED_HINT)), _lines)
+    name = lambda x: F.when(x["hint"], _first(x["plain"], ALONE))
+    runs = F.transform(runs, lambda r: F.transform(r, lambda x: F.struct(x["plain"].alias("plain"), name(x).alias("name"))))
+    groups = F.flatten(F.transform(runs, lambda r: F.split(F.array_join(F.transform(r, _marked), "\n"), "\x01")))
+    body = lambda g: F.regexp_replace(F.regexp_replace(g, "\x02\\w+", ""), "^\n+|\n+$", "")
+    groups = F.transform(groups, lambda g: F.struct(g.alias("marked"), body(g).alias("body")))
+    groups = F.transform(groups, lambda g: F.struct(g["marked"].alias("marked"), g["body"].alias("body"), g["body"].contains("\n").alias("several")))
+    joined = lambda g: F.when(g["several"], _first(g["body"], JOINED))
+    groups = F.transform(groups, lambda g: F.struct(*(g[c].alias(c) for c in ("marked", "body", "several")), joined(g).alias("joined")))
+    return F.flatten(F.transform(groups, _names))
+
+
 def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its key as ``doc_id``, ``sentences`` (identifiers in order), ``licenses`` (names, sorted and
     distinct) and ``unknown`` (whether identifiers are left that no rule takes)."""
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), body.alias("text"))
-    hinted = F.filter(F.split("text", SENTENCE_END), lambda s: s.rlike(HINT))
-    plain = F.transform(hinted, normalised)
     none = F.array().cast("array<string>")
-    rows = rows.select("doc_id", F.when(F.col("text").rlike(HINT), plain).otherwise(none).alias("plain"))
-
-    def named(s: Column) -> Column:
-        name, pattern = SENTENCES[0]
-        out = F.when(s.rlike(f"^(?:{pattern})$"), name)
-        for name, pattern in SENTENCES[1:]:
-            out = out.when(s.rlike(f"^(?:{pattern})$"), name)
-        return out
-
-    known = F.filter(F.transform("plain", named), lambda x: x.isNotNull())
-    rows = rows.select("doc_id", known.alias("sentences"))
+    rows = rows.select("doc_id", F.when(F.col("text").rlike(WRAPPED_HINT), _sentences(F.col("text"))).otherwise(none).alias("sentences"))
     rows = rows.select("doc_id", "sentences", F.array_join(F.transform("sentences", lambda s: F.concat(F.lit("<"), s, F.lit(">"))), "").alias("rest"))
     hits = []
     for k, (name, parts) in enumerate(RULES):

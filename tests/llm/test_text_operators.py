@@ -260,6 +260,104 @@ def test_licenses(frame):
     assert got == sorted(want, key=str)
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2021 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_TEXT = """Copyright (c) 2021, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS) HOWEVER CAUSED.
+"""
+GPL_TEXT = """Copyright (C) 2021  Jane Doe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+APACHE_TEXT = """Copyright 2021 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+
+
+def test_wrapped_licenses(frame):
+    bsd2 = BSD_TEXT[: BSD_TEXT.index("3. ")] + BSD_TEXT[BSD_TEXT.index("THIS SOFTWARE") :]
+    known = [
+        (MIT_TEXT, "MIT,copyright-notice"),
+        (BSD_TEXT, "BSD-3-Clause,all-rights-reserved"),
+        (bsd2, "BSD-2-Clause,all-rights-reserved"),
+        (GPL_TEXT, "GPL-3.0,copyright-notice"),
+        (APACHE_TEXT, "Apache-2.0,copyright-notice"),
+        ("Prose before it\nCopyright 2021 X\n" + MIT_TEXT[MIT_TEXT.index("Permission") :], "MIT,copyright-notice"),
+        ("A title\nLicensed under the MIT License\nCopyright 2021 X\nAll rights reserved", "MIT,all-rights-reserved"),
+        ("Licensed under the Apache License,\nVersion 2.0", "Apache-2.0"),
+        ("This work is released under the creative\ncommons zero waiver", "CC0-1.0"),
+        ("Available under\nthe MIT License\n\nMore", "MIT"),
+    ]
+    rows, want = [], {}
+    for sign in ("", "# ", " * ", "// ", "-- ", ";; ", "    "):
+        for end in ("\n", "\r\n"):
+            for text, names in known:
+                want[len(rows)] = (names, False)
+                rows.append((len(rows), "".join((sign + x).rstrip() + end for x in text.splitlines())))
+    assert {r.doc_id: (r.licenses, r.has_unknown) for r in licenses.op6(frame(rows)).collect()} == want
+
+
 def test_empty_tables(frame):
     none = frame([], SCHEMA + ", lang string, source string")
     labels = frame([], "doc_id long, quality int, toxic int")
