@@ -199,6 +199,17 @@ def test_pipeline(spark, sf_small):
     assert out.columns == docs.columns and out.where("n_chars <> char_length(text)").count() == 0
 
 
+def test_pipeline_returns_the_sequences(spark, frame):
+    import corpus_pipeline as P
+
+    texts = {1: "a b c", 2: "", 3: "word " * 3000}
+    got = P.STAGES[-1][1](spark, frame(list(texts.items())), "").collect()
+    for doc, text in texts.items():
+        ids = b"".join(bytes(r.ids) for r in sorted(got, key=lambda r: r.start) if r.doc_id == doc)
+        assert np.frombuffer(ids, "<u4").tolist() == list(full_ids("byte_bpe_50k.json", text))
+    assert all(len(r.ids) == 4 * r.length for r in got) and sum(r.length for r in got if r.sequence_id == got[0].sequence_id) <= 2048
+
+
 def test_filters_keep_the_schema_of_documents(spark, frame):
     rows = frame([(1, "a b", "en", "s", 3, "x")], SCHEMA + ", lang string, source string, n_chars bigint, kept string")
     labels, bench = frame([], "doc_id long, quality int, toxic int"), frame([], "item_id long, text string")
