@@ -209,6 +209,19 @@ def test_quality_rejects_what_the_target_lacks(frame):
     assert len(kept) >= 590
 
 
+def test_quality_withstands_wrong_labels(frame):
+    rng = random.Random(7)
+    text = lambda a, share: " ".join(f"{a if rng.random() < share else 'w'}{int(rng.random() ** 2 * 300)}" for _ in range(120))
+    good = [(i, text("w", 1)) for i in range(600)]
+    junk = [(1000 + i, text("j", 0.3 + 0.7 * rng.random())) for i in range(200)]
+    wrong = set(range(1000, 1010))  # junk labelled as good, and good labelled as junk
+    labels = [(i, 1, 0) for i in range(0, 600, 2)] + [(i, int(i in wrong), 0) for i in range(1000, 1100)] + [(i, 0, 0) for i in (1, 3)]
+    labels = frame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.op8(frame(good + junk), labels).where("kept").collect()}
+    assert sum(i >= 1000 for i in kept) <= 4
+    assert len(kept) >= 590
+
+
 def test_language(frame):
     rng = random.Random(5)
     syllables = {"aa": ["tha", "ing", "er", "ou"], "bb": ["che", "ung", "ich", "sch"], "cc": ["çã", "ñe", "los", "ría"]}
