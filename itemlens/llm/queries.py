@@ -10,7 +10,22 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemlens.llm import hilbert, language, lempel_ziv, licenses, minhash, oracles, packing, quality, secrets, simple8b, wu_manber
+from itemlens.llm import (
+    alignment,
+    divergence,
+    hilbert,
+    language,
+    lempel_ziv,
+    licenses,
+    minhash,
+    oracles,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    simple8b,
+    wu_manber,
+)
 from itemlens.session import ensure_checkpoint_dir
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -64,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": _over("documents", "labels")(quality.op8),
     "op9_minhash": _over("documents")(minhash.op9),
     "op10_lempel_ziv": _over("documents")(lempel_ziv.op10),
+    "op11_divergence": _over("documents")(divergence.op11),
+    "op12_alignment": _over("documents")(alignment.op12),
+    "op13_pieces": _over("documents")(pieces.op13),
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the query on whole tables.
@@ -72,4 +90,5 @@ SQL: dict[str, str] = {
     "op6_licenses": licenses.SQL,
     "op9_minhash": oracles.NEAR_DUPLICATES,
     "op10_lempel_ziv": oracles.REPEATED_SPANS,
+    "op11_divergence": divergence.SQL,
 }
