@@ -7,9 +7,10 @@ token that covers it, in both directions; the union of the two is the list of al
 tokens of both sides end cut the tokens into groups.
 
 Corpus counts. Each task turns its documents into blocks (one row per ``BLOCK_BYTES`` of text or one longer text): the
-block's distinct id pairs with their counts, and every link as an index into them. The blocks are written once to the shared
-scratch folder. Only distinct pairs of a block go through the shuffles that sum them up and bring the sums back, so a pair
-that every block holds costs one row per block, and no vocabulary-sized table is broadcast.
+block's distinct id pairs with their counts, most frequent first, and every link as an index into them, compressed. The
+blocks are written once to the shared scratch folder. Only distinct pairs of a block go through the shuffles that sum them
+up and bring the sums back, so a pair that every block holds costs one row per block, and no vocabulary-sized table is
+broadcast. Tokens are aligned ``ALIGN_BYTES`` of text at a time, which bounds a worker's memory.
 
 Null, empty and differing texts (whose joined token bytes are not the space and the text, as when the text holds U+2581)
 have no tokens: zeros, empty lists and an empty digest. Null and repeated keys keep their rows; an empty table gives no
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +36,9 @@ from itemlens.llm.pieces import MARKER, pieces, spaced
 from itemlens.llm.tokens import encoder, tokenizer_path
 from itemlens.session import write_scratch_table
 
-#: Text per block; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+#: Text per block, and text aligned at once; a longer text is a block of its own.
+BLOCK_BYTES = 4 << 20
+ALIGN_BYTES = 512 << 10
 
 
 def byte_entries(vocabulary: dict[str, int]) -> list[bytes]:
@@ -198,7 +201,7 @@ def _aligned(a_path: str, b_path: str):
         both = aligner(a_path, b_path)
         for batch in batches:
             raw, offsets = W.utf8(batch.column(1))
-            for i, j in W.slices(offsets, BLOCK_BYTES):
+            for i, j in W.slices(offsets, ALIGN_BYTES):
                 al = both.align(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
                 def from_first(values: np.ndarray, bounds: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -233,50 +236,94 @@ def align(
     return rows.mapInArrow(_aligned(*_paths(a, b)), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte by byte of the same weight, compressed: small ones cost little."""
+    return zstandard.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 _BLOCK = ["block", "doc_ids", "n_a", "n_b", "n_groups", "n_links", "digests", "pairs", "pair_links", "links"]
 
 
+class _Block:
+    """Aligned documents of one block, gathered piece by piece."""
+
+    def __init__(self, kind: pa.DataType):
+        self.kind, self.size = kind, 0
+        self.keys, self.digests, self.pairs, self.links, self.held = [], [], [], [], []
+        self.sizes: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, keys: pa.Array, al: Alignment, digests: list[str], size: int) -> None:
+        pair = al.a_ids[al.link_a].astype(np.int64) << 32 | al.b_ids[al.link_b]
+        pairs, link, held = np.unique(pair, return_inverse=True, return_counts=True)
+        ends = np.append(al.a_group[1:] != al.a_group[:-1], True) if len(al.a_ids) else np.zeros(0, bool)
+        groups = np.concatenate([[0], np.cumsum(ends)])[al.a_rows]
+        self.keys.append(keys)
+        self.digests += digests
+        self.pairs.append(pairs)
+        self.held.append(held)
+        self.links.append(link.reshape(-1).astype(np.uint32))
+        self.sizes.append(tuple(np.diff(x) for x in (al.a_rows, al.b_rows, groups, al.link_rows)))
+        self.size += size
+
+    def row(self, number: int) -> pa.RecordBatch:
+        pairs, place = np.unique(np.concatenate(self.pairs), return_inverse=True)
+        held = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(held, place, np.concatenate(self.held))
+        order = np.argsort(-held, kind="stable")
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        at = np.cumsum([0, *map(len, self.pairs)])
+        links = [rank[place[i:j]][link] for i, j, link in zip(at[:-1], at[1:], self.links)]
+
+        def one(values, item: pa.DataType) -> pa.Array:
+            flat = values if isinstance(values, pa.Array) else pa.array(values, item)
+            return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat.cast(item))
+
+        out = [
+            pa.array([number], pa.int64()),
+            one(pa.concat_arrays(self.keys), self.kind),
+            *(one(np.concatenate(x), pa.int64()) for x in zip(*self.sizes)),
+            one(self.digests, pa.string()),
+            one(pairs[order], pa.int64()),
+            one(held[order], pa.int64()),
+            pa.array([pack(np.concatenate(links))], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(out, _BLOCK)
+
+
 def _blocks(a_path: str, b_path: str, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, number = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        block = _Block(kind)
         for batch in batches:
             raw, offsets = W.utf8(batch.column(1))
-            for i, j in W.slices(offsets, BLOCK_BYTES):
+            for i, j in W.slices(offsets, ALIGN_BYTES):
                 al = both.align(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                pair = al.a_ids[al.link_a].astype(np.int64) << 32 | al.b_ids[al.link_b]
-                pairs, link, held = np.unique(pair, return_inverse=True, return_counts=True)
-                ends = np.append(al.a_group[1:] != al.a_group[:-1], True) if len(al.a_ids) else np.zeros(0, bool)
-                groups = np.concatenate([[0], np.cumsum(ends)])[al.a_rows]
-
-                def one(values, item: pa.DataType) -> pa.Array:
-                    flat = values if isinstance(values, pa.Array) else pa.array(values, item)
-                    return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat.cast(item))
-
-                out = [
-                    pa.array([number], pa.int64()),
-                    one(batch.column(0).slice(i, j - i), kind),
-                    *(one(np.diff(x), pa.int64()) for x in (al.a_rows, al.b_rows, groups, al.link_rows)),
-                    one(both.group_digests(al), pa.string()),
-                    one(pairs, pa.int64()),
-                    one(held, pa.int64()),
-                    one(link.reshape(-1).astype(np.int32), pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(out, _BLOCK)
-                number += 1
+                block.add(batch.column(0).slice(i, j - i), al, both.group_digests(al), int(offsets[j] - offsets[i]))
+                if block.size >= BLOCK_BYTES:
+                    yield block.row(number)
+                    block, number = _Block(kind), number + 1
+        if block.keys:
+            yield block.row(number)
 
     return run
 
 
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str | None = None, b: str | None = None) -> DataFrame:
     """The corpus aligned once and written in blocks: per block its documents' sizes and group digests, its distinct id
-    pairs (``a << 32 | b``) with their links, and every link as an index into the pairs."""
+    pairs (``a << 32 | b``) with their links, and every link as an index into the pairs (see ``pack``)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     key = rows.schema["doc_id"].dataType
     fields = (
         f"block bigint, doc_ids array<{key.simpleString()}>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
-        "n_links array<bigint>, digests array<string>, pairs array<bigint>, pair_links array<bigint>, links array<int>"
+        "n_links array<bigint>, digests array<string>, pairs array<bigint>, pair_links array<bigint>, links binary"
     )
     made = rows.mapInArrow(_blocks(*_paths(a, b), to_arrow_type(key)), fields)
     return write_scratch_table(docs.sparkSession, made, "alignment")
@@ -307,7 +354,7 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def flat(name: str) -> np.ndarray:
                 return col[name][i].values.to_numpy(zero_copy_only=False) if col[name][i].is_valid else np.zeros(0, np.int64)
 
-            place, links = flat("place"), flat("links")
+            place, links = flat("place"), unpack(col["links"][i].as_py())
             total, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
             total[place], best[place] = flat("total"), flat("best")
             bounds = np.concatenate([[0], np.cumsum(flat("n_links"))])
