@@ -198,12 +198,16 @@ def density_grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     )
 
 
-def density_grids(df: DataFrame, pairs: dict[str, tuple[str, str]], bins: int = 20) -> DataFrame:
-    """Q11/Q12/Q14: 2-D histograms of several scatter charts at once, as (series, x_bin, y_bin, n).
+def density_grids(
+    df: DataFrame, pairs: dict[str, tuple[str, str]], bins: int = 20, colours: dict[str, str] | None = None
+) -> DataFrame:
+    """Q11/Q12/Q14: 2-D histograms of several scatter charts at once, as (series, x_bin, y_bin, n, colour).
 
     One aggregation finds the ranges of all charts, a second pass bins the points of all of them (``stack``), and the
-    counts combine partially before the shuffle.
+    counts combine partially before the shuffle. ``colours`` names, for charts whose points are coloured by a third column,
+    that column; ``colour`` is its mean in the cell, null for other charts.
     """
+    colours = colours or {}
     ends = []
     for i, (x, y) in enumerate(pairs.values()):
         both = F.col(x).isNotNull() & F.col(y).isNotNull()
@@ -211,10 +215,11 @@ def density_grids(df: DataFrame, pairs: dict[str, tuple[str, str]], bins: int =
             ends += [f(F.when(both, F.col(v).cast("double"))).alias(f"{c}{i}_{n}") for f, n in ((F.min, "lo"), (F.max, "hi"))]
     ranges = df.agg(*ends).select(F.struct("*")).scalar()
     rows = ", ".join(
-        f"'{s}', cast(`{x}` as double), cast(`{y}` as double), r.x{i}_lo, r.x{i}_hi, r.y{i}_lo, r.y{i}_hi"
+        f"'{s}', cast(`{x}` as double), cast(`{y}` as double), r.x{i}_lo, r.x{i}_hi, r.y{i}_lo, r.y{i}_hi, "
+        f"cast({f'`{colours[s]}`' if s in colours else 'null'} as double)"
         for i, (s, (x, y)) in enumerate(pairs.items())
     )
-    points = df.withColumn("r", ranges).selectExpr(f"stack({len(pairs)}, {rows}) AS (series, x, y, x0, x1, y0, y1)")
+    points = df.withColumn("r", ranges).selectExpr(f"stack({len(pairs)}, {rows}) AS (series, x, y, x0, x1, y0, y1, c)")
     points = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
 
     def place(v: str, lo: str, hi: str) -> Column:
@@ -222,5 +227,5 @@ def density_grids(df: DataFrame, pairs: dict[str, tuple[str, str]], bins: int =
         return F.least(F.coalesce(F.floor(at), F.lit(0)).cast("int"), F.lit(bins - 1))
 
     return points.groupBy("series", place("x", "x0", "x1").alias("x_bin"), place("y", "y0", "y1").alias("y_bin")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("n"), F.avg("c").alias("colour")
     )

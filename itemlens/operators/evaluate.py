@@ -111,6 +111,49 @@ def bias_report(scored: DataFrame, label: str = "rating", pred: str = "predictio
     )
 
 
+def scored_report(scored: DataFrame, label: str = "rating", pred: str = "prediction", side: str = "side") -> DataFrame:
+    """A5-A8, M9, M18, M20, M21 of scored rows in one aggregation, hence one pass over them: one row.
+
+    ``side`` says ``'train'`` or ``'test'``; all figures but ``train_rmse`` and ``gap`` are of the test side. Columns: total,
+    valid, missing, rmse, mae, r2, min_error, max_error, std_error, a ``pct_within_*`` per threshold, a ``pct_pred *`` per
+    prediction bin, avg_actual, avg_predicted, bias, train_rmse, test_rmse, gap.
+    """
+    test, p = F.col(side) == "test", F.col(pred)
+    usable = p.isNotNull() & ~F.isnan(p)
+    ok = test & usable
+    err = F.when(ok, F.col(label) - p)
+    size, rating = F.abs(err), F.when(ok, F.col(label))
+    n_ok = F.nullif(F.count_if(ok), F.lit(0))
+    train_err = F.when((F.col(side) == "train") & usable, F.col(label) - p)
+    shares = [
+        (100 * F.count_if(ok & (size <= t)) / n_ok).alias("pct_within_" + str(t).replace(".", "_")) for t in ERROR_THRESHOLDS
+    ]
+    bins = [(f"[{lo:g}, {hi:g})", (p >= lo) & (p < hi)) for lo, hi in NX.PREDICTION_BINS]
+    top = NX.PREDICTION_BINS[-1][1]
+    bins.append((f">= {top:g}", p >= top))
+    actual, predicted = F.avg(F.when(test, F.col(label))), F.avg(F.when(ok, p))
+    train_rmse, rmse = F.sqrt(F.avg(train_err * train_err)), F.sqrt(F.avg(err * err))
+    return scored.agg(
+        F.count_if(test).alias("total"),
+        F.count_if(ok).alias("valid"),
+        F.count_if(test & ~F.coalesce(usable, F.lit(False))).alias("missing"),
+        rmse.alias("rmse"),
+        F.avg(size).alias("mae"),
+        (1 - F.sum(err * err) / F.nullif(F.var_pop(rating) * F.count(rating), F.lit(0.0))).alias("r2"),
+        F.min(size).alias("min_error"),
+        F.max(size).alias("max_error"),
+        F.stddev_samp(size).alias("std_error"),
+        *shares,
+        *((100 * F.count_if(ok & inside) / n_ok).alias(f"pct_pred {name}") for name, inside in bins),
+        actual.alias("avg_actual"),
+        predicted.alias("avg_predicted"),
+        (predicted - actual).alias("bias"),
+        train_rmse.alias("train_rmse"),
+        rmse.alias("test_rmse"),
+        (rmse - train_rmse).alias("gap"),
+    )
+
+
 def precision_at_k(recs: DataFrame, relevant: DataFrame, ks=PRECISION_KS, *, item_col: str = "item_id") -> DataFrame:
     """Q8: per K, total hits and total list length over all users with recommendations.
 

@@ -11,20 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemlens.operators.skew import salted_join
+
 
 def map_ids(ratings: DataFrame, links: DataFrame, titles: DataFrame, *, item_col: str = "item_id") -> DataFrame:
     """Re-key ratings from the ratings id space to the catalogue id space and attach titles.
 
     ``links`` maps ``movie_id -> tmdb_id``; ``titles`` is deduplicated on ``tmdb_id`` first (lowest title wins) so a
     duplicated catalogue id cannot fan out ratings (D14). Null ``tmdb_id`` rows drop at the inner join.
+
+    The two catalogue-sized tables are joined first, so the ratings are shuffled once; that join is salted where an item
+    holds a large share of the ratings (:func:`itemlens.operators.skew.salted_join`).
     """
     dedup_titles = titles.groupBy("tmdb_id").agg(F.min("title").alias("title"))
-    return (
-        ratings.withColumnRenamed(item_col, "movie_id")
-        .join(links.select("movie_id", "tmdb_id"), "movie_id")
-        .join(dedup_titles, "tmdb_id")
-        .select("user_id", "tmdb_id", "title", "rating")
-    )
+    named = links.select("movie_id", "tmdb_id").join(dedup_titles, "tmdb_id")
+    rated = ratings.withColumnRenamed(item_col, "movie_id")
+    return salted_join(rated, named, "movie_id", ["user_id"]).select("user_id", "tmdb_id", "title", "rating")
 
 
 def unrated_items(items: DataFrame, ratings: DataFrame, user_id, *, item_col: str = "item_id") -> DataFrame:

@@ -11,8 +11,8 @@
 - ALS wrappers: training on the whole input with explicit seed (D17) and block counts, scoring with
   ``coldStartStrategy='nan'`` so missing predictions can be counted (D4), and id narrowing to int with an overflow
   error instead of silent truncation.
-- :func:`als_unseen_top_k`: ALS top-k without seen items; users grouped by seen count ask MLlib for just enough
-  candidates, then the same bounded shift as :func:`top_k_unseen` skips the seen ones.
+- :func:`als_top_n` and :func:`als_unseen_top_k`: every user's ALS top-k, with or without seen items, by pruned inner
+  products (:mod:`itemlens.operators.inner_product`), and :func:`als_optimality`, an audit of the fitted factors.
 - :func:`predict_unrated`: one user's predictions (Q6) as a dot product against a scalar-subquery user vector.
 """
 
@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from itemlens.operators.inner_product import top_items
+from itemlens.operators.skew import salted_join
 from itemlens.operators.topk import global_rank, ordinal_within_group
 from itemlens.session import write_scratch_table
 
@@ -72,10 +74,6 @@ def unseen_slots(seen_ranks: DataFrame, users: DataFrame, k: int) -> DataFrame:
     return slots.select("user_id", "pos", (F.col("pos") + F.coalesce(shift, F.lit(0))).alias("target_rank"))
 
 
-# Parts that one target rank is dealt to: nearly every user asks for the first ranks.
-RANK_SALTS = 16
-
-
 def top_k_unseen(
     scores: DataFrame,
     seen: DataFrame,
@@ -90,24 +88,20 @@ def top_k_unseen(
 
     ``scores`` is (item, score) with one row per item; ``seen`` is (user_id, item); ``users`` is (user_id).
     Returns (user_id, pos, item, score) with ``pos`` in 1..k (fewer when a user has fewer unseen items). Exact;
-    see the module doc for the plan. ``seen_unique=True`` skips deduplicating ``seen`` (a shuffle of all seen
+    see the module doc for the plan. An item that a third of the users have seen, and the first ranks, which nearly every
+    user asks for, are salted by their counts. ``seen_unique=True`` skips deduplicating ``seen`` (a shuffle of all seen
     pairs) when the caller guarantees one row per pair, e.g. ratings grouped by (user, item).
     """
     ranked = global_rank(scores.select(item_col, score_col), [F.desc(score_col), F.col(item_col)], rank_col="rank")
     pairs = seen.select("user_id", item_col)
     if not seen_unique:
         pairs = pairs.distinct()
-    seen_ranks = pairs.join(ranked.select(item_col, "rank"), item_col).select("user_id", "rank")
-    slots = unseen_slots(seen_ranks, users, k).withColumn("salt", F.pmod(F.xxhash64("user_id"), F.lit(RANK_SALTS)))
+    seen_ranks = salted_join(pairs, ranked.select(item_col, "rank"), item_col, ["user_id"]).select("user_id", "rank")
+    slots = write_scratch_table(seen.sparkSession, unseen_slots(seen_ranks, users, k), "slots")
     most = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("s")).agg(F.coalesce(F.max("s"), F.lit(0))).scalar()
-    wanted = (
-        ranked.filter(F.col("rank") <= most + k)
-        .withColumnRenamed("rank", "target_rank")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(RANK_SALTS - 1).cast("bigint"))))
-    )
-    return (
-        slots.join(wanted, ["target_rank", "salt"])
-        .select("user_id", F.col("pos").cast("int").alias("pos"), item_col, score_col)
+    wanted = ranked.filter(F.col("rank") <= most + k).withColumnRenamed("rank", "target_rank")
+    return salted_join(slots, wanted, "target_rank", ["user_id"]).select(
+        "user_id", F.col("pos").cast("int").alias("pos"), item_col, score_col
     )
 
 
@@ -166,7 +160,8 @@ def als_scores(model, df: DataFrame, *, user_col: str = "user_id", item_col: str
 
 
 def als_recommend_all(model, k: int = RECS_PER_USER, *, user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
-    """Top-k items for every user, flattened to (user_id, pos, item, rating) with 1-based positions.
+    """M19 by MLlib, which scores every pair; :func:`als_top_n` gives the same lists with less work. Flattened to (user_id,
+    pos, item, rating) with 1-based positions (T9).
 
     MLlib blocks the user and item factor tables and scores block pairs, keeping a bounded top-k per user.
     """
@@ -179,44 +174,79 @@ def als_recommend_all(model, k: int = RECS_PER_USER, *, user_col: str = "user_id
     )
 
 
+def _als_lists(model, k: int, seen: DataFrame | None, user_col: str, item_col: str) -> tuple[DataFrame, DataFrame]:
+    if seen is not None:
+        seen = seen.select(F.col(user_col).alias("user_id"), F.col(item_col).alias("item_id"))
+    lists, work = top_items(model.userFactors, model.itemFactors, k, seen)
+    return lists.select(
+        "user_id", F.col("pos").cast("int").alias("pos"), F.col("item_id").alias(item_col), F.col("score").alias("rating")
+    ), work
+
+
+def als_top_n(model, k: int = RECS_PER_USER, *, user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
+    """Top-k items for every user as (user_id, pos, item, rating), by score, ties by item id. Exact, without
+    scoring the pairs that the factors' norms rule out (:mod:`itemlens.operators.inner_product`)."""
+    return _als_lists(model, k, None, user_col, item_col)[0]
+
+
 def als_unseen_top_k(
     model, seen: DataFrame, k: int = RECS_PER_USER, *, user_col: str = "user_id", item_col: str = "item_id"
 ) -> DataFrame:
     """M19 with ``exclude_seen``: every user's top-k ALS items that the user has not rated, exactly.
 
-    A user with ``s`` seen items needs at most ``k + s`` candidates. Users are grouped by ``b = ceil(log2(s + 1))``
-    (at most 64 groups, a bounded collect) and each group asks MLlib for ``k + 2^b`` candidates with
-    ``recommendForUserSubset``; total candidates stay below ``k * users + 2 * ratings``. Seen candidates are then
-    skipped with :func:`unseen_slots` (no per-user window over a heavy user's list).
+    Seen items are struck out where they are scored, so a user's queue holds k items, however many were seen.
     """
-    seen_pairs = seen.select(F.col(user_col).alias("user_id"), F.col(item_col).alias("item_id")).distinct()
-    per_user = seen_pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    per_user = per_user.withColumn("b", F.ceil(F.log2(F.col("n") + 1)).cast("int"))
-    buckets = sorted(r[0] for r in per_user.select("b").distinct().collect())
-    parts = []
-    for b in buckets:
-        users_b = per_user.filter(F.col("b") == b).select(F.col("user_id").cast("int").alias(user_col))
-        recs = model.recommendForUserSubset(users_b, k + 2**b)
-        parts.append(
-            recs.select(user_col, F.posexplode("recommendations").alias("p", "rec")).select(
-                F.col(user_col).cast("long").alias("user_id"),
-                (F.col("p") + 1).alias("rank"),
-                F.col(f"rec.{item_col}").cast("long").alias("item_id"),
-                F.col("rec.rating").cast("double").alias("rating"),
-            )
-        )
-    if not parts:
-        return seen_pairs.select("user_id", F.lit(0).alias("pos"), "item_id", F.lit(0.0).alias("rating")).limit(0)
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # Scoring is the costly part and its result is read three times below: written once.
-    cand = write_scratch_table(seen.sparkSession, cand, "candidates")
-    seen_ranks = cand.join(seen_pairs, ["user_id", "item_id"], "left_semi").select("user_id", "rank")
-    slots = unseen_slots(seen_ranks, per_user.select("user_id"), k)
-    return slots.join(
-        cand.withColumnRenamed("rank", "target_rank"), ["user_id", "target_rank"]
-    ).select("user_id", F.col("pos").cast("int").alias("pos"), F.col("item_id").alias(item_col), "rating")
+    return _als_lists(model, k, seen, user_col, item_col)[0]
+
+
+def als_pair_work(
+    model, seen: DataFrame | None = None, k: int = RECS_PER_USER, *, user_col: str = "user_id", item_col: str = "item_id"
+) -> DataFrame:
+    """How many (user, item) pairs the lists score: users, items, pairs (all there are), pairs_scored."""
+    return _als_lists(model, k, seen, user_col, item_col)[1]
+
+
+def als_optimality(
+    model,
+    train: DataFrame,
+    *,
+    reg: float = ALS_REG,
+    user_col: str = "user_id",
+    item_col: str = "item_id",
+    rating_col: str = "rating",
+    tolerance: float = 1e-2,
+) -> DataFrame:
+    """Audit of a non-negative ALS fit: per training user the worst violation of its optimality conditions.
+
+    The last half-step of a fit solves, for each user u with item factors V and ratings r of its n rated items, the
+    least squares |V x - r|^2 + reg n |x|^2 over x >= 0. At its solution the gradient g = (V'V + reg n I) x - V'r is 0
+    where x > 0 and not negative where x = 0. V'V and V'r are sums over a user's ratings, rank (rank + 3) / 2 numbers
+    that combine partially before the shuffle by user. Each component is compared with the size of the terms it is the
+    difference of; ``violations`` counts those beyond ``tolerance`` (factors are stored in single precision).
+    """
+    rank = model.rank
+    items = model.itemFactors.select(F.col("id").cast("long").alias(item_col), F.col("features").cast("array<double>").alias("v"))
+    rows = salted_join(train.select(user_col, item_col, rating_col), items, item_col, [user_col])
+    v = [F.get("v", F.lit(i)) for i in range(rank)]
+    sums = [F.sum(v[i] * v[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i, rank)]
+    sums += [F.sum(v[i] * F.col(rating_col)).alias(f"b{i}") for i in range(rank)]
+    normal = rows.groupBy(user_col).agg(F.count(F.lit(1)).alias("n"), *sums)
+    users = model.userFactors.select(F.col("id").cast("long").alias(user_col), F.col("features").cast("array<double>").alias("x"))
+    both = normal.join(users, user_col, "left")
+    checks = []
+    for i in range(rank):
+        x = F.get("x", F.lit(i))
+        terms = [F.col(f"a{min(i, j)}_{max(i, j)}") * F.get("x", F.lit(j)) for j in range(rank)]
+        terms += [F.lit(reg) * F.col("n") * x, -F.col(f"b{i}")]
+        gradient, size = sum(terms[1:], terms[0]), sum((F.abs(t) for t in terms[1:]), F.abs(terms[0])) + F.lit(1e-9)
+        off = F.when(x > 0, F.abs(gradient)).otherwise(F.greatest(-gradient, F.lit(0.0))) / size
+        checks.append(F.coalesce(off, F.lit(float("inf"))))  # a training user without factors violates everything
+    off = F.array(*checks)
+    return both.select(
+        user_col,
+        F.array_max(off).alias("worst"),
+        F.size(F.filter(off, lambda c: c > tolerance)).alias("violations"),
+    )
 
 
 def predict_unrated(model, unrated: DataFrame, k: int | None = 10, *, item_col: str = "item_id") -> DataFrame:

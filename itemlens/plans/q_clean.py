@@ -12,6 +12,9 @@ from itemlens.plans.registry import register
 from itemlens.session import scratch_path
 from itemlens.sources import catalog
 
+# The part keys whose line is broken in the query about rejected lines.
+BAD_LINE_MOD = 13
+
 _CLEAN_COLS = (
     "id, title, budget, revenue, vote_average, vote_count, popularity, runtime, release_year, "
     "array_to_string(genres_list, '|') AS genres, len(genres_list) AS n_genres, original_language"
@@ -109,3 +112,24 @@ def csv_scan_roundtrip(spark, d):
     path = scratch_path(spark, "part-csv")
     catalog.write_csv(catalog.load(spark, d, "part"), path)
     return catalog.read_csv(spark, path, catalog.SCHEMAS["part"])
+
+
+@register("csv_inferred_types", operators="S1", sql="""SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size,
+  p_retailprice FROM part""")
+def csv_inferred_types(spark, d):
+    """``part`` as quoted CSV, read back with a header and the types that Spark infers (32-bit numbers where they fit)."""
+    path = scratch_path(spark, "part-inferred")
+    catalog.write_csv(catalog.load(spark, d, "part"), path)
+    return catalog.read_csv(spark, path, infer_types=True)
+
+
+@register("csv_rejects", operators="S1 S2 S4", sql=f"""SELECT 'part' AS table_name, count(*) AS row_count,
+  count(CASE WHEN p_partkey % {BAD_LINE_MOD} = 0 THEN 1 END) AS rejected FROM part""")
+def csv_rejects(spark, d):
+    """Lines of a CSV that don't fit the schema are kept aside as text and counted, not dropped unseen."""
+    path = scratch_path(spark, "part-rejects")
+    part = catalog.load(spark, d, "part")
+    bad = F.when(F.col("p_partkey") % BAD_LINE_MOD == 0, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    catalog.write_csv(part.withColumn("p_size", bad), path)
+    read = catalog.read_csv(spark, path, catalog.SCHEMAS["part"], rejects="_rejected")
+    return catalog.reject_report({"part": read}, "_rejected")

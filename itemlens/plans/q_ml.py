@@ -10,10 +10,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from itemlens.operators import evaluate as EV
-from itemlens.operators import joins, recommend, regress, similarity, split
+from itemlens.operators import gram, joins, recommend, regress, similarity, split
 from itemlens.operators.topk import truncate_label
 from itemlens.plans import views as V
 from itemlens.plans.oracle_views import with_views
+from itemlens.plans.q_clean import _Q2_SQL, _YEAR
 from itemlens.plans.registry import register
 from itemlens.sources.catalog import load
 
@@ -21,6 +22,7 @@ from itemlens.sources.catalog import load
 REVENUE_FEATURES = ["budget", "vote_count", "popularity", "runtime"]
 VOTE_FEATURES = ["budget", "popularity", "runtime", "vote_count", "revenue"]
 SCRIPT_FEATURES = ["budget", "vote_count", "release_year"]
+SCRIPT_TARGETS = ("revenue", "vote_average")
 LOOKUP_USER = 1
 LOOKUP_TITLE = "red widget"
 REPORT_USERS = 3
@@ -120,19 +122,135 @@ def regression_categorical(spark, d):
     return m
 
 
-@register("regression_script", operators="M14 Q2 (D9)", sql=None)
-def regression_script(spark, d):
+def sig7(c):
+    """A figure to seven significant digits, so that the last bits of sums don't matter."""
+    return F.format_string("%.6e", c).cast("double")
+
+
+def _script_sql(label: str) -> str:
+    """Least squares on the three script features from covariances, solved by determinants, and its held-out metrics."""
+    x = SCRIPT_FEATURES
+    cov = [f"covar_pop({u}, {v}) AS c{i}{j}" for i, u in enumerate([*x, label]) for j, v in enumerate([*x, label]) if j >= i]
+    c = lambda i, j: f"c{min(i, j)}{max(i, j)}"
+
+    def det(columns: list) -> str:
+        m = [[columns[j](i) for j in range(3)] for i in range(3)]
+        return " + ".join(
+            f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3)
+        )
+
+    side = [lambda i, j=j: c(i, j) for j in range(3)]
+    solved = ", ".join(
+        f"({det([side[j] if j != k else (lambda i: c(i, 3)) for j in range(3)])}) / ({det(side)}) AS w{k}" for k in range(3)
+    )
+    line = "m3 + " + " + ".join(f"w{k} * ({f} - m{k})" for k, f in enumerate(x))
+    figure = lambda e: f"CAST(printf('%.6e', {e}) AS DOUBLE)"
+    return f"""SELECT '{label}' AS target, {figure('sqrt(avg(err * err))')} AS rmse, {figure('avg(abs(err))')} AS mae,
+  {figure(f'1 - sum(err * err) / (count(*) * var_pop({label}))')} AS r2, count(*) AS n
+FROM (SELECT {label}, {label} - ({line}) AS err FROM v_script,
+  (SELECT *, {solved} FROM (SELECT {', '.join(f'avg({f}) AS m{i}' for i, f in enumerate([*x, label]))}, {', '.join(cov)}
+    FROM v_script WHERE bucket < 80) f) w WHERE bucket >= 80) e"""
+
+
+_SCRIPT_CTES = {
+    "v_script_rows": _Q2_SQL.format(year=f"coalesce({_YEAR}, 0)"),
+    "v_script": "SELECT *, CAST(('0x' || substr(md5(CAST(item_id AS VARCHAR)), 1, 7)) AS BIGINT) % 100 AS bucket FROM v_script_rows",
+}
+_SCRIPT_SQL = with_views(" UNION ALL ".join(_script_sql(t) for t in SCRIPT_TARGETS), "v_raw_items", extra=_SCRIPT_CTES)
+
+
+def _script_metrics(spark, d, train):
     from itemlens.operators.clean import clean_items_for_regression
 
     data = clean_items_for_regression(V.raw_items(spark, d), fill_year=0)
     out = None
-    for label in ("revenue", "vote_average"):
-        _, m = regress.train_regression(data, SCRIPT_FEATURES, label, ["item_id"])
-        m = m.select(F.lit(label).alias("target"), "rmse", "mae", "r2", "n")
+    for label in SCRIPT_TARGETS:
+        _, m = train(data, SCRIPT_FEATURES, label, ["item_id"])
+        m = m.select(F.lit(label).alias("target"), *(sig7(F.col(c)).alias(c) for c in ("rmse", "mae", "r2")), "n")
         out = m if out is None else out.unionByName(m)
     return out
 
 
+@register("regression_script", operators="M14 M1 M6 M9 Q2 (D9)", sql=_SCRIPT_SQL)
+def regression_script(spark, d):
+    """The script's two regressions on three features, fitted by MLlib."""
+    return _script_metrics(spark, d, regress.train_regression)
+
+
+@register("regression_gram", operators="M14 M6 M9", sql=_SCRIPT_SQL)
+def regression_gram(spark, d):
+    """The same regressions in closed form from one aggregation each."""
+    return _script_metrics(spark, d, gram.train)
+
+
+@register("feature_table", operators="P8 F1 P1", sql=with_views(
+    f"SELECT id, revenue, {', '.join(REVENUE_FEATURES)} FROM v_analysis WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in ["revenue", *REVENUE_FEATURES]), "v_analysis"))
+def feature_table(spark, d):
+    """The rows and columns that the revenue models are fitted on."""
+    return V.analysis_items(spark, d).dropna(subset=["revenue", *REVENUE_FEATURES]).select("id", "revenue", *REVENUE_FEATURES)
+
+
+_ID_BUCKET = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 7)) AS BIGINT) % 100"
+
+
+def _complete(columns) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in columns)
+
+
+@register("tree_expressions", operators="M7 M8 M13 P8", sql=with_views(" UNION ALL ".join(
+    f"""SELECT '{m}' AS model, count(*) AS n_rows, CAST(0 AS BIGINT) AS mismatches, 1.0::DOUBLE AS importances
+FROM v_analysis WHERE {_complete(["vote_average", *VOTE_FEATURES])} AND {_ID_BUCKET} >= 80""" for m in ("Random Forest", "Gradient Boosting")),
+    "v_analysis"))
+def tree_expressions(spark, d):
+    """Both tree models as expressions: held-out rows on which they differ from the fitted pipeline, and the importances' sum."""
+    _, fitted = _compare(spark, d, "vote_average", VOTE_FEATURES)
+    data = V.analysis_items(spark, d).dropna(subset=["vote_average", *VOTE_FEATURES])
+    _, test = split.hash_split(data, ["id"])
+    out = None
+    for name in ("Random Forest", "Gradient Boosting"):
+        model = fitted[name].stages[-1]
+        own = fitted[name].transform(test).withColumn("own", regress.tree_expression(model, VOTE_FEATURES))
+        off = F.abs(F.col("own") - F.col("prediction")) > 1e-9 * (1 + F.abs(F.col("prediction")))
+        part = own.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("mismatches")).select(
+            F.lit(name).alias("model"), "n_rows", "mismatches",
+            F.lit(round(float(model.featureImportances.toArray().sum()), 9)).alias("importances"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("category_slots", operators="M2 M3 M4 T7", sql=with_views(
+    """SELECT a.original_language AS category, CAST(coalesce(x.idx, k.n) AS BIGINT) AS idx,
+  CAST(x.idx AS BIGINT) AS slot, count(*) AS n_rows
+FROM v_analysis a LEFT JOIN x ON a.original_language = x.category, (SELECT count(*) AS n FROM x) k
+GROUP BY ALL""", "v_analysis", extra={"x": f"""SELECT category, row_number() OVER (ORDER BY n DESC, category) - 1 AS idx FROM (
+  SELECT original_language AS category, count(*) AS n FROM v_analysis WHERE original_language IS NOT NULL AND {_ID_BUCKET} < 80
+  GROUP BY 1) c"""}))
+def category_slots(spark, d):
+    """Each language's index and one-hot slot as the fitted encoder gives them, with its rows; unseen and null ones share the
+    index after the last and have no slot."""
+    from pyspark.ml.functions import vector_to_array
+
+    data = V.analysis_items(spark, d)
+    train, _ = split.hash_split(data, ["id"])
+    pipe = regress.fit_pipeline(train, regress.encoder_stages(["original_language"]))
+    coded = pipe.transform(data.select("original_language"))
+    place = F.array_position(vector_to_array("original_language_enc"), 1.0)
+    return coded.groupBy(
+        F.col("original_language").alias("category"),
+        F.col("original_language_idx").cast("bigint").alias("idx"),
+        F.when(place > 0, place - 1).alias("slot"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("category_index", operators="M2 T7", sql=with_views(
+    """SELECT category, row_number() OVER (ORDER BY n DESC, category) - 1 AS idx, n FROM (
+  SELECT original_language AS category, count(*) AS n FROM v_analysis WHERE original_language IS NOT NULL GROUP BY 1) c""", "v_analysis"))
+def category_index(spark, d):
+    return regress.category_index(V.analysis_items(spark, d), "original_language")
+
+
 # -------------------------------------------------------------------------------------------------------- ALS
 
 _ALS_CACHE: dict = {}
@@ -154,7 +272,7 @@ def _als_recs(spark, d):
     """Top-20 ALS recommendations for every user, written once per application and shared by the list metrics."""
     model, _, _, _ = _als(spark, d)
     return V.materialized(
-        spark, d, "als_recs", lambda: recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+        spark, d, "als_recs", lambda: recommend.als_top_n(model, recommend.RECS_PER_USER, item_col="tmdb_id")
     )
 
 
@@ -173,37 +291,26 @@ _ALS_CTES = {
 }
 
 
-def _als_errors(spark, d):
-    """One pass over the scored held-out side: cold-start accounting, error metrics, error statistics and shares."""
-    model, _, test, _ = _als(spark, d)
-    scored = recommend.als_scores(model, test, item_col="tmdb_id")
-    ok = ~F.isnan("prediction")
-    err = F.when(ok, F.col("rating") - F.col("prediction"))
-    rating = F.when(ok, F.col("rating"))
-    shares = [
-        (100 * F.count_if(ok & (F.abs(err) <= t)) / F.nullif(F.count_if(ok), F.lit(0))).alias("pct_within_" + str(t).replace(".", "_"))
-        for t in EV.ERROR_THRESHOLDS
-    ]
-    return scored.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(ok).alias("valid"),
-        F.count_if(~ok).alias("missing"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.avg(F.abs(err)).alias("mae"),
-        (1 - F.sum(err * err) / F.nullif(F.var_pop(rating) * F.count(rating), F.lit(0.0))).alias("r2"),
-        F.min(F.abs(err)).alias("min_error"),
-        F.max(F.abs(err)).alias("max_error"),
-        F.stddev_samp(F.abs(err)).alias("std_error"),
-        *shares,
-        F.countDistinct("user_id").alias("users"),
-        F.countDistinct("tmdb_id").alias("items"),
-    )
+def _als_scored(spark, d):
+    """Both sides of the split with their predictions and the column ``side``, scored and written once per application."""
+    model, train, test, _ = _als(spark, d)
+    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return V.materialized(spark, d, "als_scored", lambda: recommend.als_scores(model, both, item_col="tmdb_id"))
+
+
+def _als_report(spark, d):
+    """All figures of the scored sides: one row from one pass (:func:`itemlens.operators.evaluate.scored_report`)."""
+    return EV.scored_report(_als_scored(spark, d))
+
+
+_ERROR_COLUMNS = ["total", "valid", "missing", "rmse", "mae", "r2", "min_error", "max_error", "std_error"]
 
 
 @register("als_train_eval", operators="M15 M16 M17 M18 M20 M9 A5 A6", bench=True, sql=None)
 def als_train_eval(spark, d):
     """Cold-start accounting, error metrics, error statistics and shares of ALS on the held-out side, in one pass."""
-    return _als_errors(spark, d)
+    report = _als_report(spark, d)
+    return report.select(*_ERROR_COLUMNS, *(c for c in report.columns if c.startswith("pct_within")))
 
 
 @register("als_test_counts", operators="M20 F15 M17", sql=with_views(
@@ -216,7 +323,9 @@ LEFT JOIN (SELECT DISTINCT tmdb_id FROM v_als_train) i ON t.tmdb_id = i.tmdb_id"
     "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
 def als_test_counts(spark, d):
     """How many held-out ratings the model can score: a user or item without training rows has no factors."""
-    return _als_errors(spark, d).select("total", "valid", "missing", "users", "items")
+    held = _als_scored(spark, d).filter("side = 'test'")
+    distinct = [held.agg(F.countDistinct(c)).scalar().alias(n) for c, n in (("user_id", "users"), ("tmdb_id", "items"))]
+    return EV.cold_start_counts(held).select("total", "valid", "missing", *distinct)
 
 
 @register("als_ranked_slots", operators="M19 T9 (positions)", sql=with_views(
@@ -242,14 +351,7 @@ def als_unrated_items(spark, d):
 @register("train_test_gap", operators="M21 (D2)", sql=None)
 def train_test_gap(spark, d):
     """RMSE on the training side and on the held-out side (both RMSE, unlike the reference's mixed metric)."""
-    model, train, test, _ = _als(spark, d)
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    scored = recommend.als_scores(model, both, item_col="tmdb_id").filter(~F.isnan("prediction"))
-    sq = (F.col("rating") - F.col("prediction")) ** 2
-    return scored.agg(
-        F.sqrt(F.avg(F.when(F.col("side") == "train", sq))).alias("train_rmse"),
-        F.sqrt(F.avg(F.when(F.col("side") == "test", sq))).alias("test_rmse"),
-    ).withColumn("gap", F.col("test_rmse") - F.col("train_rmse"))
+    return _als_report(spark, d).select("train_rmse", "test_rmse", "gap")
 
 
 @register("factor_sizes", operators="A27 M23", sql=with_views(
@@ -290,8 +392,30 @@ def als_predict_unrated_all(spark, d):
 
 @register("als_recommend_all", operators="M19 X8 X9 T9", sql=None)
 def als_recommend_all(spark, d):
-    model, _, _, _ = _als(spark, d)
-    return recommend.als_recommend_all(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    """Every user's top 20 with their scores."""
+    return _als_recs(spark, d)
+
+
+@register("als_optimality", operators="M15 M16", sql=with_views(
+    "SELECT user_id, CAST(0 AS INTEGER) AS violations FROM (SELECT DISTINCT user_id FROM v_als_train) u",
+    "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
+def als_optimality(spark, d):
+    """Every training user's factors solve the user's non-negative least squares: components that violate it, none expected."""
+    model, train, _, _ = _als(spark, d)
+    return recommend.als_optimality(model, train, item_col="tmdb_id").select("user_id", "violations")
+
+
+@register("als_pair_work", operators="M19 A1 A2", sql=with_views(
+    """SELECT u.n AS users, i.n AS items, u.n * i.n AS pairs, TRUE AS within
+FROM (SELECT count(DISTINCT user_id) AS n FROM v_als_train) u, (SELECT count(DISTINCT tmdb_id) AS n FROM v_als_train) i""",
+    "v_ratings", "v_links", "v_titles", extra=_ALS_CTES))
+def als_pair_work(spark, d):
+    """How many pairs there are to score for the lists without seen items, and whether the pruned scoring stays within them
+    and covers every user at least once."""
+    model, train, _, _ = _als(spark, d)
+    work = recommend.als_pair_work(model, train, recommend.RECS_PER_USER, item_col="tmdb_id")
+    inside = (F.col("pairs_scored") <= F.col("pairs")) & (F.col("pairs_scored") >= F.col("users"))
+    return work.select("users", "items", "pairs", inside.alias("within"))
 
 
 @register("als_unseen_recs", operators="M19 (exclude_seen) §2.12", bench=True, sql=None)
@@ -347,24 +471,16 @@ def als_precision_at_k(spark, d):
 @register("als_quality_report", operators="Q9 A24 A8 A7 A5 A6 M9 M21 A27", sql=None)
 def als_quality_report(spark, d):
     """Coverage, bias, prediction distribution, errors, train/test gap and factor sizes of the ALS model as one tall
-    (metric, value) frame. Each part is built once and unpivoted."""
-    model, _, test, rwt = _als(spark, d)
-    recs = _als_recs(spark, d)
-    scored = recommend.als_scores(model, test, item_col="tmdb_id")
-    bins = EV.prediction_bins(spark, scored)
+    (metric, value) frame. Everything about predictions comes from one pass over the scored sides."""
+    _, _, _, rwt = _als(spark, d)
     sizes = factor_sizes(spark, d)
-    parts = [
-        _tall(EV.coverage(recs, rwt, item_col="tmdb_id").select("coverage")),
-        _tall(EV.bias_report(scored).select("avg_actual", "avg_predicted", "bias")),
-        bins.select(F.concat(F.lit("pct_pred "), F.col("bin")).alias("metric"), F.col("pct").alias("value")),
-        _tall(_als_errors(spark, d)),
-        _tall(train_test_gap(spark, d)),
-        sizes.select(F.concat(F.col("table"), F.lit("_factors")).alias("metric"), F.col("rows").cast("double").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (
+        _tall(EV.coverage(_als_recs(spark, d), rwt, item_col="tmdb_id").select("coverage"))
+        .unionByName(_tall(_als_report(spark, d)))
+        .unionByName(
+            sizes.select(F.concat(F.col("table"), F.lit("_factors")).alias("metric"), F.col("rows").cast("double").alias("value"))
+        )
+    )
 
 
 def _tall(wide):

@@ -61,45 +61,59 @@ _EDA_PARTS = [
 
 
 _EDA_GRIDS = {"budget_vs_revenue": ("budget", "revenue"), "votes_vs_rating": ("vote_count", "vote_average")}
+# A chart's points are coloured by the mean of a third column: a second series over the same cells.
+_EDA_COLOURS = {"votes_vs_rating": "revenue"}
 _GRID_BINS = 20
 
 
-def _grid_sql(panel: str, series: str, x: str, y: str, source: str) -> str:
-    """One scatter chart as 2-D bins: x bin in ``x_value``, y bin in ``x_label``, points in ``y``."""
+def _grid_sql(panel: str, series: str, x: str, y: str, source: str, colour: str | None = None) -> str:
+    """One scatter chart as 2-D bins: x bin in ``x_value``, y bin in ``x_label``, points (or the mean ``colour``) in ``y``."""
+    shown, more = (f"avg({colour})", f", CAST({colour} AS DOUBLE) AS {colour}") if colour else ("CAST(count(*) AS DOUBLE)", "")
+    series = f"{series}_{colour}" if colour else series
     def place(v: str) -> str:
         at = f"floor(({v} - {v}0) / nullif(({v}1 - {v}0) / {_GRID_BINS}, 0))"
         return f"CAST(least(coalesce({at}, 0), {_GRID_BINS - 1}) AS INTEGER)"
 
     return (
         f"SELECT '{panel}' AS panel, '{series}' AS series, CAST({place('y')} AS VARCHAR) AS x_label, "
-        f"CAST({place('x')} AS DOUBLE) AS x_value, CAST(count(*) AS DOUBLE) AS y FROM "
-        f"(SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) p, "
+        f"CAST({place('x')} AS DOUBLE) AS x_value, {shown} AS y FROM "
+        f"(SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y{more} FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) p, "
         f"(SELECT CAST(min({x}) AS DOUBLE) AS x0, CAST(max({x}) AS DOUBLE) AS x1, CAST(min({y}) AS DOUBLE) AS y0, "
         f"CAST(max({y}) AS DOUBLE) AS y1 FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) r GROUP BY 1, 2, 3, 4"
     )
 
 
-def _grids(df: DataFrame, panel: str, pairs: dict) -> DataFrame:
-    g = eda.density_grids(df, pairs, _GRID_BINS)
-    return g.select(
-        F.lit(panel).alias("panel"), "series", F.col("y_bin").cast("string").alias("x_label"),
-        F.col("x_bin").cast("double").alias("x_value"), F.col("n").cast("double").alias("y"),
+def _grids(df: DataFrame, panel: str, pairs: dict, colours: dict | None = None) -> DataFrame:
+    g = eda.density_grids(df, pairs, _GRID_BINS, colours)
+    shown = F.array(F.struct(F.lit("").alias("end"), F.col("n").cast("double").alias("y")))
+    for series, colour in (colours or {}).items():
+        more = F.array(F.struct(F.lit(f"_{colour}").alias("end"), F.col("colour").alias("y")))
+        shown = F.when(F.col("series") == series, F.concat(shown, more)).otherwise(shown)
+    return g.withColumn("shown", F.explode(shown)).select(
+        F.lit(panel).alias("panel"), F.concat("series", "shown.end").alias("series"), F.col("y_bin").cast("string").alias("x_label"),
+        F.col("x_bin").cast("double").alias("x_value"), F.col("shown.y").alias("y"),
     )
 
 
-_MARGIN = "(SELECT *, least(greatest((revenue - budget) / greatest(revenue, 1), -1), 1) AS margin_clipped FROM v_analysis)"
+_MARGIN = (
+    "(SELECT *, least(greatest((revenue - budget) / greatest(revenue, 1), -1), 1) AS margin_clipped, "
+    + ", ".join(f"ln(1 + {c}) AS {c}_log" for c in ("budget", "revenue", "vote_count", "popularity"))
+    + " FROM v_analysis)"
+)
 
 
-def _grids_sql(panel: str, pairs: dict, source: str) -> str:
-    return with_views(" UNION ALL ".join(_grid_sql(panel, s, x, y, source) for s, (x, y) in pairs.items()), "v_analysis")
+def _grids_sql(panel: str, pairs: dict, source: str, colours: dict | None = None) -> str:
+    parts = [_grid_sql(panel, s, x, y, source) for s, (x, y) in pairs.items()]
+    parts += [_grid_sql(panel, s, *pairs[s], source, colour) for s, colour in (colours or {}).items()]
+    return with_views(" UNION ALL ".join(parts), "v_analysis")
 
 
 @register("eda_panel", operators="Q11 Q14 X11 A22 A10 A11", sql=" UNION ALL ".join(
     [_sql_part(q, "eda", s, **kw) for q, s, kw in _EDA_PARTS]
-    + [f"SELECT * FROM ({_grids_sql('eda', _EDA_GRIDS, 'v_analysis')}) g"]))
+    + [f"SELECT * FROM ({_grids_sql('eda', _EDA_GRIDS, 'v_analysis', _EDA_COLOURS)}) g"]))
 def eda_panel(spark, d):
     parts = [_part(REGISTRY[q].build(spark, d), "eda", s, **kw) for q, s, kw in _EDA_PARTS]
-    return _union([*parts, _grids(V.analysis_items(spark, d), "eda", _EDA_GRIDS)])
+    return _union([*parts, _grids(V.analysis_items(spark, d), "eda", _EDA_GRIDS, _EDA_COLOURS)])
 
 
 # ----------------------------------------------------------------------------------------- Q12 rating factor panel
@@ -110,8 +124,9 @@ _FACTOR_PARTS = [
     ("vote_by_year", "rating_by_year", dict(y="avg_rating", x_value="release_year")),
     ("language_stats", "rating_by_language", dict(y="avg_rating", x_label="language")),
 ]
+# Heavy-tailed columns are shown by their logarithm; the margin is clipped.
 _FACTOR_GRIDS = {
-    f"{x}_vs_rating": (x, "vote_average") for x in ("budget", "revenue", "vote_count", "margin_clipped", "popularity")
+    f"{x}_vs_rating": (x, "vote_average") for x in ("budget_log", "revenue_log", "vote_count_log", "margin_clipped", "popularity_log")
 }
 
 
@@ -141,6 +156,7 @@ def rating_factor_panel(spark, d):
         parts.append(_part(df, "rating_factors", s, **kw))
     a = V.analysis_items(spark, d)
     a = a.withColumn("margin_clipped", NX.clip(NX.profit_margin("revenue", "budget"), -1, 1))
+    a = a.withColumns({f"{c}_log": F.log1p(c) for c in ("budget", "revenue", "vote_count", "popularity")})
     return _union([*parts, _grids(a, "rating_factors", _FACTOR_GRIDS)])
 
 

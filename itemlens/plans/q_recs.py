@@ -4,10 +4,11 @@ metrics on an item-mean predictor (M9, A5-A8, M20), and list metrics on a determ
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from itemlens.operators import evaluate as EV
-from itemlens.operators import joins, recommend, similarity, split
+from itemlens.operators import joins, recommend, similarity, split, topk
 from itemlens.plans import views as V
 from itemlens.plans.oracle_views import with_views
 from itemlens.plans.registry import register
@@ -17,6 +18,9 @@ from itemlens.plans.registry import register
 LOOKUP_USER = 1
 TARGET_VEC = 7
 TOP_N = 10
+LOOKUP_TITLE = "label 3"
+NO_TITLE = "no such label"
+REPORT_USERS, REPORT_HELD = 3, 5
 TRAIN_PCT = 80
 SAMPLE_FRACTION = 0.25  # share of the rows that the sampling queries keep
 
@@ -135,6 +139,42 @@ def similar_vectors_topn(spark, d):
     return top.select("vec_id", "label", r6(F.col("similarity")).alias("similarity"))
 
 
+_LABEL_TITLES = "SELECT vec_id, 'label ' || CAST(label AS VARCHAR) AS title FROM embeddings"
+
+
+def _by_title_sql(title: str) -> str:
+    return f"""SELECT vec_id, title, sim FROM (SELECT e.vec_id, n.title, {_COS} AS sim
+  FROM embeddings e JOIN ({_LABEL_TITLES}) n ON e.vec_id = n.vec_id,
+    (SELECT vec_id AS target, embedding AS tv FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM ({_LABEL_TITLES}) m WHERE title = '{title}')) t
+  WHERE e.vec_id <> t.target) x ORDER BY sim DESC, vec_id LIMIT {TOP_N}"""
+
+
+def _by_title(spark, d, title):
+    v = V.vectors(spark, d)
+    titles = v.select("vec_id", F.concat(F.lit("label "), F.col("label").cast("string")).alias("title"))
+    return similarity.similar_items_by_title(v, titles, title, TOP_N, id_col="vec_id", vec_col="embedding")
+
+
+@register("similar_by_title", operators="Q5 J9 J3 F6 F7 T2 T5 (D3 D14)", sql=f"""SELECT vec_id, title, round(sim, 6) AS similarity
+FROM ({_by_title_sql(LOOKUP_TITLE)}) y""")
+def similar_by_title(spark, d):
+    """Similar items of a title that many items bear: the lowest id is the target."""
+    top = _by_title(spark, d, LOOKUP_TITLE)
+    return top.select("vec_id", "title", r6(F.col("similarity")).alias("similarity"))
+
+
+@register("title_lookup", operators="F14 Q5", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS title, count(*) AS n_similar, count(*) > 0 AS found FROM ({_by_title_sql(t)}) y" for t in (LOOKUP_TITLE, NO_TITLE)))
+def title_lookup(spark, d):
+    """Whether a title has similar items: an unknown one gives an empty result, not an error."""
+    out = None
+    for title in (LOOKUP_TITLE, NO_TITLE):
+        part = _by_title(spark, d, title).agg(F.count(F.lit(1)).alias("n_similar"))
+        part = part.select(F.lit(title).alias("title"), "n_similar", (F.col("n_similar") > 0).alias("found"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------------------------------------------------------ splits
 
 
@@ -178,6 +218,30 @@ def random_split(spark, d):
     )
 
 
+@register("split_invariants", operators="R1 R2 X19 P4", sql=with_views(" UNION ALL ".join(
+    f"SELECT '{m}' AS method, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_both, CAST(0 AS BIGINT) AS n_lost, 3::INTEGER AS n_columns FROM v_ratings"
+    for m in ("randomSplit", "rand", "hash")), "v_ratings"))
+def split_invariants(spark, d):
+    """Of every kind of split: its rows, keys on both sides, input keys on neither, and columns (the drawn one is dropped)."""
+    r = V.ratings(spark, d)
+    sides = {"randomSplit": split.random_split(r), "rand": split.rand_split(r), "hash": _split(spark, d)}
+    out = None
+    for method, (train, test) in sides.items():
+        keys = r.select("user_id", "item_id", F.lit("input").alias("side"))
+        for name, part in (("train", train), ("test", test)):
+            keys = keys.unionByName(part.select("user_id", "item_id", F.lit(name).alias("side")))
+        held = keys.groupBy("user_id", "item_id").agg(
+            F.count_if(F.col("side") == "train").alias("a"), F.count_if(F.col("side") == "test").alias("b")
+        )
+        part = held.agg(
+            F.coalesce(F.sum(F.col("a") + F.col("b")), F.lit(0)).alias("n_rows"),
+            F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("n_both"),
+            F.count_if(F.col("a") + F.col("b") == 0).alias("n_lost"),
+        ).select(F.lit(method).alias("method"), "*", F.lit(len(train.columns)).alias("n_columns"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # -------------------------------------------------------------------------------- prediction metrics (item mean)
 
 
@@ -312,6 +376,33 @@ def hits_semi_join(spark, d):
     )
 
 
+@register("user_report", operators="Q7 T1 T4 F6 J6 J7 X18 T6 T9", sql=with_views(
+    f"""SELECT s.user_id, s.section, s.pos, s.item_id, coalesce(t.title, 'Movie ' || CAST(s.item_id AS VARCHAR)) AS title, round(s.value, 6) AS value FROM (
+  SELECT user_id, 'held_out' AS section, CAST(row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS INTEGER) AS pos, item_id, rating AS value
+  FROM v_test WHERE user_id IN (SELECT user_id FROM u)
+  UNION ALL SELECT user_id, 'recommended', pos, item_id, prediction FROM v_recs WHERE user_id IN (SELECT user_id FROM u)) s
+LEFT JOIN (SELECT item_id, min(title) AS title FROM v_items WHERE item_id % {V.UNTITLED_MOD} <> 0 GROUP BY item_id) t ON s.item_id = t.item_id
+WHERE s.pos <= CASE WHEN s.section = 'held_out' THEN {REPORT_HELD} ELSE {TOP_N} END""",
+    "v_ratings", "v_items", extra=RECS_CTES | {"u": f"SELECT DISTINCT user_id FROM v_test ORDER BY user_id LIMIT {REPORT_USERS}"}))
+def user_report(spark, d):
+    """Q7 on the deterministic recommender: of the first test users the best held-out ratings, fully sorted, and the best
+    recommendations, titled ('Movie <id>' by default). A user's held-out rows come from a top-k of their own."""
+    _, test = _split(spark, d)
+    users = [r[0] for r in test.select("user_id").distinct().orderBy("user_id").limit(REPORT_USERS).collect()]
+    rows = None
+    for u in users:
+        best = topk.top_k(test.filter(F.col("user_id") == u), REPORT_HELD, [F.desc("rating"), "item_id"])
+        placed = best.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rating"), "item_id")))  # at most REPORT_HELD rows
+        part = placed.select("user_id", F.lit("held_out").alias("section"), "pos", "item_id", F.col("rating").alias("value"))
+        rows = part if rows is None else rows.unionByName(part)
+    recs = _recs(spark, d).filter(F.col("user_id").isin(users) & (F.col("pos") <= TOP_N))
+    recs = recs.select("user_id", F.lit("recommended").alias("section"), "pos", "item_id", F.col("prediction").alias("value"))
+    rows = recs if rows is None else rows.unionByName(recs)
+    items = V.items(spark, d).filter(F.col("item_id") % V.UNTITLED_MOD != 0).select("item_id", "title")
+    titled = joins.with_titles(rows, items, key="item_id", default_prefix="Movie")
+    return titled.select("user_id", "section", "pos", "item_id", "title", r6(F.col("value")).alias("value"))
+
+
 @register("title_left_default", operators="J7 X18 T9 T6 Q7", sql=with_views(
     f"""SELECT r.user_id, r.pos, r.item_id, l.tmdb_id,
        coalesce(t.title, 'Movie ' || CAST(r.item_id AS VARCHAR)) AS title

@@ -157,6 +157,7 @@ def read_csv(
     escape_quotes: bool = True,
     multi_line: bool = False,
     infer_types: bool = False,
+    rejects: str | None = None,
 ) -> DataFrame:
     """CSV scan with header.
 
@@ -164,7 +165,8 @@ def read_csv(
     type that an extra pass over the file finds.
     ``escape_quotes`` reads ``""`` inside a quoted field as one quote, so a quoted
     field holding commas and quotes stays one field; ``multi_line`` keeps embedded newlines inside one field, at
-    the price of one task per file; without it Spark splits large files. A missing path raises ``AnalysisException`` (PATH_NOT_FOUND) instead of returning None.
+    the price of one task per file; without it Spark splits large files. With ``rejects`` and a schema, a line that does
+    not fit is kept as text in the column of that name, which is null for good lines. A missing path raises ``AnalysisException`` (PATH_NOT_FOUND) instead of returning None.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", infer_types and schema is None)
     if escape_quotes:
@@ -172,10 +174,25 @@ def read_csv(
     if multi_line:
         reader = reader.option("multiLine", True)
     if schema is not None:
+        if rejects:
+            schema = T.StructType([*schema.fields, T.StructField(rejects, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", rejects)
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def reject_report(sources: dict[str, DataFrame], rejects: str) -> DataFrame:
+    """S4 for text sources read with ``rejects``: (table_name, row_count, rejected) per source, one pass over each."""
+    parts = [
+        # Every column is asked for: a parser that is asked for fewer looks at fewer.
+        df.select(F.col(rejects), F.struct(*df.columns).alias("row")).groupBy().agg(
+            F.count("row").alias("row_count"), F.count(F.when(F.col(rejects).isNotNull(), F.col("row"))).alias("rejected")
+        ).select(F.lit(name).alias("table_name"), "row_count", "rejected")
+        for name, df in sources.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a table as CSV with header and ``"``-escaping (the inverse of :func:`read_csv`)."""
     (
@@ -199,7 +216,7 @@ def csv_to_parquet(
 def load_report(spark: SparkSession, base_dir: str, names=TABLES) -> DataFrame:
     """Row count per source as one relation ``(table_name, row_count)``.
 
-    Each count is a metadata-only parquet aggregate; the per-table one-row results are unioned.
+    No column is read for a count (the scan's schema is empty); the per-table one-row results are unioned.
     """
     parts = [
         load(spark, base_dir, n).groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(

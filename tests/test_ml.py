@@ -114,7 +114,7 @@ def test_unseen_slots_spread_hot_ranks(spark):
         for r in top.collect():
             got.setdefault(r["user_id"], {})[r["pos"]] = r["item_id"]
         assert "hashpartitioning(target_rank" in top._jdf.queryExecution().toString()
-        assert "salt" in top._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in top._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     for u in range(400):
