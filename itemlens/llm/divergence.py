@@ -9,8 +9,9 @@ sums. A term that every document holds costs one row per spill, not one per occu
 Divergences. Kept stripes (document frequency of ``MIN_DOCS`` or more) are dealt by term over tasks; behind a copy of
 the totals (one row per language: its sources, their counts, the number of kept terms) each task turns its stripes
 into shares and adds up a matrix of sources by sources, and its leading terms per source. Matrices and leaders are small and
-merged by key. The totals are as long as a language's list of sources, whose square is the result's length; matrices
-are cut into blocks of ``SOURCE_BLOCK`` sources, so a task holds at most that many rows of one.
+merged by key. The number of tasks follows from the work (kept terms times pairs of sources, ``TASK_WORK`` for each), not
+from the number of partitions, so matrices stay few. The totals are as long as a language's list of sources, whose square is
+the result's length; matrices are cut into blocks of ``SOURCE_BLOCK`` sources, so a task holds at most that many rows of one.
 
 Shares are whole numbers, p = 1 + floor(SCALE * (count + 2) / (N + 2 V)), found by long division in steps of 1000, so that
 nothing overflows below 9e15 counted words; a term's divergence is floor((p - q)**2 / (p + q)).
@@ -23,6 +24,7 @@ term of any length is a term.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +41,10 @@ TERMS = 400_000
 ENTRIES = 3_000_000
 #: Text folded at once.
 FOLD_BYTES = 4 << 20
-#: Rows of a matrix of sources that one task adds up, and cells handled at once.
+#: Rows of a matrix of sources that one task adds up, cells handled at once, and divergences that one task works out.
 SOURCE_BLOCK = 512
 CELLS = 1 << 20
+TASK_WORK = 1 << 26
 
 # Documents that keep a term, leading terms per group, scale of the shares, added count, and the bytes of terms.
 MIN_DOCS = 10
@@ -295,9 +298,11 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
         "lang", F.col("e.source").alias("sources"), F.col("e.n").alias("counts"), "kept"
     )
     totals = write_scratch_table(spark, totals, "totals")
-    most = totals.agg(F.max(F.size("sources"))).first()[0] or 0
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((max(1, most) - 1) // SOURCE_BLOCK))).alias("block")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wide = F.size("sources").cast("double")
+    work = F.sum(F.col("kept") * wide * F.least(wide, F.lit(float(SOURCE_BLOCK))))
+    most, work = totals.agg(F.max(F.size("sources")), work).first()
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((max(1, most or 0) - 1) // SOURCE_BLOCK))).alias("block")
+    parts = max(1, math.ceil((work or 0) / TASK_WORK))
     columns = ["part", "block", "lang", "term", "sources", "counts", "kept"]
     head = totals.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "*").select("*", blocks)
     head = head.withColumn("term", F.lit(None).cast("string")).select(columns)

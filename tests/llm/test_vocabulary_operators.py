@@ -160,8 +160,22 @@ def test_op12_against_all_pairs(frame):
 
 def test_small_blocks_give_the_same_counts(frame, monkeypatch):
     rows = keyed(odd_texts(120, 4, ALPHABET))
-    monkeypatch.setattr(alignment, "BLOCK_BYTES", 300)
-    assert rows_of(alignment.op12(frame(rows))) == op12_plain(rows)
+    want = op12_plain(rows)
+    for block, once in ((300, 300), (2000, 300)):
+        monkeypatch.setattr(alignment, "BLOCK_BYTES", block)
+        monkeypatch.setattr(alignment, "ALIGN_BYTES", once)
+        blocks = alignment.blocks(frame(rows))
+        assert blocks.count() > 4
+        assert rows_of(alignment.op12(frame(rows))) == want
+        counts = {(r.a_id, r.b_id): r.links for r in alignment.pair_counts(blocks).collect()}
+        assert sum(counts.values()) == sum(k[4] * n for k, n in want.items())
+
+
+def test_packed_numbers_round_trip():
+    import numpy as np
+
+    for x in ([], [0], [2**32 - 1, 5, 0], range(70_000)):
+        assert alignment.unpack(alignment.pack(np.array(x, dtype=np.uint32))).tolist() == list(x)
 
 
 def test_aligned_tokens_groups_and_links(frame):
@@ -271,6 +285,12 @@ def test_spilled_stripes_add_up(corpus, spark, monkeypatch):
     assert docs == want_docs and +count == want
 
 
+def test_tasks_share_the_work(frame, corpus, monkeypatch):
+    monkeypatch.setattr(divergence, "TASK_WORK", 100)
+    monkeypatch.setattr(divergence, "SOURCE_BLOCK", 3)
+    assert rows_of(divergence.op11(frame(corpus))) == divergences(corpus)
+
+
 def test_merged_stripes(frame, corpus):
     got = {(r.lang, r.term): r for r in divergence.stripes(frame(corpus)).collect()}
     for lang in ("en", "de", ""):
