@@ -4,11 +4,13 @@ Three base kinds are patterns (``assign``, ``access``, ``hex``). Two more come f
 candidates are the runs of its characters of at least a window's length. A window slides over the candidate; the counts
 of its characters change by the one that enters and the one that leaves, and with them the sum of n log2 n that gives the
 window's entropy. Windows at or above the class's threshold that overlap or touch make one span. Candidates on the allow
-list (plain words, identifiers in words, UUIDs, counting sequences, digests of package locks, examples) give none.
+list (plain words, identifiers in words, UUIDs, digests of package locks) give none, and spans that are no longer than a
+window beside counting sequences and examples are dropped.
 
 Everything is DataFrame functions. A text's matches and the gaps between them come from extracting and splitting by the
 same pattern, so offsets (code points, end exclusive) are running sums over them. Only kinds, lengths and candidates are
-shuffled, no texts.
+shuffled, no texts. All patterns run in loops over single characters, so a candidate or text of any length is matched in
+linear time and constant stack.
 
 Null texts are empty; null keys, repeated rows and repeated keys are documents of their own; an empty table gives no rows;
 other columns aren't read by ``scan`` and stay in ``redact``.
@@ -48,16 +50,21 @@ CLASSES = (
 )
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
 
-#: Candidates that match one of these are no secrets.
+#: Candidates that match one of these are no secrets. Repeated groups are possessive: the matcher then runs through a candidate
+#: of any length in a loop, where a greedy group would take a call per repetition. Nothing is given up by it, as a separator
+#: ends each repetition.
 ALLOWED = (
     "[A-Za-z_-]+",  # words
     "[0-9_-]+",  # numbers
     "[a-z]+[0-9]{1,4}",  # a word with a number
-    "([A-Za-z]+[0-9]{0,3}[_/-])+[A-Za-z]*[0-9]{0,3}",  # identifiers and paths made of words
+    "(?:[A-Za-z]++[0-9]{0,3}+[_/-])++[A-Za-z]*[0-9]{0,3}",  # identifiers and paths made of words
     "[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",  # UUIDs
     "sha(1|256|384|512)-.*",  # digests of package locks
-    ".*(EXAMPLE|example|0123456789|1234567890|abcdefghij|ABCDEFGHIJ).*",
 )
+#: A span that holds the first is the example of some manual. The second are no part of a secret: a span needs a window's
+#: length of characters in a row beside them, so a key that follows an example's path in the same candidate stays.
+EXAMPLE = "EXAMPLE"
+COUNTING = "example|0123456789|1234567890|abcdefghij|ABCDEFGHIJ"
 
 
 def _found(text: Column, kind: int, pattern: str, length: int = 0) -> Column:
@@ -131,14 +138,18 @@ def high_entropy(candidate: Column, c: CharacterClass) -> Column:
     return F.aggregate(moves, start, step, finish)
 
 
-def _placed(spans: Column, kind: int) -> Column:
-    """Spans of a candidate as spans of its text."""
+def _placed(candidate: Column, spans: Column, kind: int, window: int) -> Column:
+    """Spans of a candidate, without examples, as spans of its text."""
+
+    def secret(s: Column) -> Column:
+        held = F.substring(candidate, s["first"] + 1, s["last"] - s["first"])
+        return ~held.contains(EXAMPLE) & F.exists(F.split(held, COUNTING), lambda x: F.char_length(x) >= window)
 
     def place(s: Column) -> Column:
         first, last = F.col("start") + s["first"], F.col("start") + s["last"]
         return F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"))
 
-    return F.transform(spans, place)
+    return F.transform(F.filter(spans, secret), place)
 
 
 def _of_kind(kind: int) -> Column:
@@ -165,7 +176,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spans = F.when(F.col("f.kind") < len(BASE_KINDS), whole)
     for k, c in enumerate(CLASSES):
         kind = len(BASE_KINDS) + k
-        spans = spans.when((F.col("f.kind") == kind) & ~allowed, _placed(high_entropy(F.col("f.text"), c), kind))
+        spans = spans.when((F.col("f.kind") == kind) & ~allowed, _placed(F.col("f.text"), high_entropy(F.col("f.text"), c), kind, c.window))
     rows = rows.select("row", "doc_id", "text_hash", spans.alias("spans"))
     one = rows.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.flatten(F.collect_list("spans")).alias("spans")
