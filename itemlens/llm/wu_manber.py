@@ -12,9 +12,11 @@ length form a ``Matcher``:
 
 The tables hold the benchmark, not the documents. They are sent to the executors in blocks of items of at most
 ``BLOCK_BYTES`` bytes of text (one longer item is a block alone); documents stream through one block after the other
-without a shuffle, so a benchmark of any size needs bounded memory.
+without a shuffle. Between two blocks the documents are written to the shared scratch folder and the block's tables are
+destroyed, so a benchmark of any size needs the memory of one block.
 
-Null or empty texts have no words and no hits; items without words are no patterns; repeated items and documents count as
+Null or empty texts have no words and no hits; items without words are no patterns; an item without an id has windows, which
+hit, and no id to list; repeated items and documents count as
 they are (an item id counts once per document); an empty benchmark leaves every document clean; other columns aren't read
 by ``find_passages`` and pass unchanged through ``decontaminate``.
 """
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemlens.llm import words as W
+from itemlens.session import write_scratch_table
 
 #: Words of a window.
 WINDOW = 10
@@ -48,7 +51,7 @@ class Matcher:
     def __init__(self, m: int, patterns: dict[bytes, list[str]]):
         self.m, self.block = m, min(2, m)
         self.texts = list(patterns)
-        self.items = [sorted(set(x)) for x in patterns.values()]
+        self.items = [sorted(set(x) - {None}) for x in patterns.values()]
         words = np.concatenate([_hashes(t) for t in self.texts]).reshape(-1, m)
         places = m - self.block + 1
         blocks = [self._blocks(words[:, i : i + self.block]) for i in range(places)]
@@ -104,9 +107,9 @@ def _hashes(text: bytes) -> np.ndarray:
     return W.word_hashes(raw, starts, ends, fold=True)
 
 
-def matchers(items: list[tuple[str, str | None]], window: int = WINDOW) -> list[Matcher]:
+def matchers(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> list[Matcher]:
     """One matcher per pattern length over the windows of ``items`` (id, text)."""
-    found: dict[int, dict[bytes, list[str]]] = {}
+    found: dict[int, dict[bytes, list[str | None]]] = {}
     for item, text in items:
         raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
         starts, ends, _ = W.spans(raw, np.array([0, len(raw)]), W.ALNUM_WORDS)
@@ -186,14 +189,16 @@ def _clean(tables):
 
 
 def _blocks(bench: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> Iterator:
-    """Broadcast tables of the items, block by block; each block's size is checked before it is fetched."""
+    """(broadcast tables, whether they are the last) of the items, block by block; each block's size is checked before it is
+    fetched."""
     items = bench.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    items = items.where("id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("id"))).first()[0] or 0
+    items = items.where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0)))).first()[0] or 0
     n, spark = -(-2 * total // block_bytes) if total > block_bytes else 1, bench.sparkSession
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield spark.sparkContext.broadcast(matchers([(r[0], r[1]) for r in part.toLocalIterator()], window))
+        tables = matchers([(r[0], r[1]) for r in part.toLocalIterator()], window)
+        yield spark.sparkContext.broadcast(tables), k == n - 1
 
 
 def find_passages(
@@ -215,8 +220,11 @@ def find_passages(
         F.expr("cast(array() as array<struct<first:bigint,last:bigint>>)").alias("hits"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
-    for tables in _blocks(bench, item_col, item_text_col, window, block_bytes):
+    for tables, last in _blocks(bench, item_col, item_text_col, window, block_bytes):
         state = state.mapInArrow(_find(tables), state.schema)
+        if not last:
+            state = write_scratch_table(docs.sparkSession, state, "passages")
+            tables.destroy()
     return state.drop("text")
 
 
@@ -232,10 +240,14 @@ def decontaminate(
     """The documents in which no item window occurs, with all their columns."""
     names = [f"c{i}" for i in range(len(docs.columns))]  # any names, clashing ones too, pass
     text = F.col(names[docs.columns.index(text_col)]).cast("string").alias("searched")
-    for tables in _blocks(bench, item_col, item_text_col, window, block_bytes):
-        state = docs.toDF(*names).select(*names, text)
-        docs = state.mapInArrow(_clean(tables), state.schema).drop("searched").toDF(*docs.columns)
-    return docs
+    kept, columns = docs.toDF(*names), docs.columns
+    for tables, last in _blocks(bench, item_col, item_text_col, window, block_bytes):
+        state = kept.select(*names, text)
+        kept = state.mapInArrow(_clean(tables), state.schema).drop("searched")
+        if not last:
+            kept = write_scratch_table(docs.sparkSession, kept, "clean")
+            tables.destroy()
+    return kept.toDF(*columns)
 
 
 def op5(docs: DataFrame, bench: DataFrame) -> DataFrame:
