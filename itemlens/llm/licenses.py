@@ -12,8 +12,8 @@ lines. A line that is a known sentence by itself stands for itself, as a one-lin
 are matched joined, from the start of any of them. Licence words in the middle of a wrapped sentence ("copyright notice,
 ...", "distributed under the License ...") count only where the joined lines are no other known sentence.
 
-Only sentences that hold a licence word are looked at. Everything is DataFrame functions, without a shuffle. ``SQL`` cuts
-at every line break: it gives the same rows where each notice stands on one line, and doesn't know wrapped ones.
+Only sentences that hold a licence word are looked at. Everything is DataFrame functions, without a shuffle. Patterns are
+written so that matching takes time linear in a sentence of any length (see ``linear``). ``SQL`` cuts at every line break: it gives the same rows where each notice stands on one line, and doesn't know wrapped ones.
 
 Null and empty texts have no sentences; null keys, repeated rows and repeated keys are documents of their own; an empty
 table gives no rows; other columns are not read.
@@ -30,9 +30,9 @@ SIGNS = "#*/%;!>|-"
 #: Closing marks, if they don't open a line as comment signs do, and blank lines.
 RUN_END = (
     "[.!?;:](?<![\\r\\n][\\x20\\t]{0,40}[.!?;:])(?<![.!?;:]{2})[.!?;:]*[\\x20\\t\\r\\n]+"
-    f"|[\\x20\\t]*(?:\\r\\n|\\r(?!\\n)|\\n)[\\x20\\t]*[{SIGNS}]*[\\x20\\t]*[\\r\\n]+"
+    f"|(?<![\\x20\\t])[\\x20\\t]*+(?:\\r\\n|\\r(?!\\n)|\\n)[\\x20\\t]*+[{SIGNS}]*+[\\x20\\t]*+[\\r\\n]+"
 )
-LINE_END = "[\\x20\\t]*[\\r\\n]+"
+LINE_END = "(?<![\\x20\\t])[\\x20\\t]*+[\\r\\n]+"
 #: Words without which a text holds no known sentence.
 HINT = (
     "(?i)licen[cs]e|copyright|permission|redistribut|warrant|reserved|public domain|gpl|creative commons|free software"
@@ -113,13 +113,55 @@ def rule_pattern(parts: tuple[str, ...]) -> str:
 def normalised(sentence: Column) -> Column:
     """Lower case; words, version numbers and the signs inside them, with one space between."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(sentence), "licence", "license"), "[^a-z0-9./+-]+", " ")
-    return F.regexp_replace(plain, "^[ ./*#-]+|[ ./*#-]+$", "")
+    return F.regexp_replace(plain, "^[ ./*#-]+|(?<![ ./*#-])[ ./*#-]+$", "")
+
+
+#: What may stand before a sentence that names a licence.
+LEAD = "(this .*|the .*)?"
+
+
+def _gaps(pattern: str) -> list[str]:
+    """The pattern cut at every ``.*`` outside of groups."""
+    out, depth, at, start = [], 0, 0, 0
+    while at < len(pattern):
+        depth += (pattern[at] == "(") - (pattern[at] == ")")
+        if not depth and pattern.startswith(".*", at):
+            out.append(pattern[start:at])
+            at = start = at + 2
+        else:
+            at += 1
+    return [*out, pattern[start:]]
+
+
+def linear(pattern: str, joined: bool) -> str:
+    """A sentence's pattern that is matched in time linear in the sentence, from its start or, ``joined``, the start of any of
+    its lines, to its end.
+
+    Between gaps that hold anything, the first place of each part leaves most room for the next, so it is enough: each part
+    with the gap before it is an atomic group that takes its first place and isn't tried again.
+    """
+    lead, body = (True, pattern.removeprefix(LEAD)) if pattern.startswith(LEAD) else (False, pattern)
+    parts = _gaps(body)
+    start = "^(?:.*?\\n)??" if joined else "^"
+    if len(parts) == 1 or parts[-1]:  # one place only, or a part that must be the end
+        if lead:
+            return f"{start}(?:this|the) .*?{body}$|{'(?:^|\\n)' if joined else '^'}{body}$"
+        return f"{'(?:^|\\n)' if joined and not body.startswith('(.* )?') else '^'}(?:{body})$"
+    later = "".join(f"(?>.*?(?:{p}))" for p in parts[1:-1]) + ".*$"
+    if not parts[0]:
+        return f"^{later}"
+    if not lead:
+        return f"(?>{start}(?:{parts[0]})){later}"
+    ways = (f"(?>{start}(?:this|the) ).*?{parts[0]}", f"{'(?:^|\\n)' if joined else '^'}{parts[0]}")
+    if len(parts) > 2:
+        ways = (f"(?>{start}(?:this|the) )(?>.*?(?:{parts[0]}))", f"(?>{start}(?:{parts[0]}))")
+    return "|".join(w + later for w in ways)
 
 
 def _over_lines(pattern: str) -> str:
     """A sentence's pattern over lines with a line feed between, from the start of any line to the end of the last."""
-    start = "^" if pattern.startswith((".*", "(.* )?")) else "(?:^|\\n)"
-    return f"(?s){start}(?:{pattern.replace('[ -]', '[_-]').replace(' ', '[_]').replace('_', ' \\n')})$"
+    spaced = linear(pattern, True).replace("[ -]", "[_-]").replace(" ", "[_]").replace("_", " \\n")
+    return f"(?s){spaced}"
 
 
 def _first(s: Column, patterns: list[tuple[str, str]]) -> Column:
@@ -131,7 +173,7 @@ def _first(s: Column, patterns: list[tuple[str, str]]) -> Column:
     return out
 
 
-ALONE = [(name, f"^(?:{pattern})$") for name, pattern in SENTENCES]
+ALONE = [(name, linear(pattern, False)) for name, pattern in SENTENCES]
 JOINED = [(name, _over_lines(pattern)) for name, pattern in SENTENCES if name not in LAST]
 JOINED_LAST = [(name, _over_lines(pattern)) for name, pattern in SENTENCES if name in LAST]
 

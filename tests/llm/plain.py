@@ -71,14 +71,14 @@ def contamination(rows, items):
         w = ALNUM.findall(fold(text))
         m = min(10, len(w))
         for k in range(len(w) - m + 1 if m else 0):
-            windows.setdefault(tuple(w[k : k + m]), set()).add(str(item))
+            windows.setdefault(tuple(w[k : k + m]), set()).update([] if item is None else [str(item)])
     sizes = {len(w) for w in windows}
     out = []
     for doc, text in rows:
         w, hit, ids = ALNUM.findall(fold(text)), set(), set()
         for m in sizes:
             for i in range(len(w) - m + 1):
-                if found := windows.get(tuple(w[i : i + m])):
+                if (found := windows.get(tuple(w[i : i + m]))) is not None:
                     hit.update(range(i, i + m))
                     ids |= found
         out.append((doc, len(w), len(hit), len(ids), sha(",".join(sorted(ids))), bool(hit)))
@@ -106,7 +106,10 @@ def entropy_spans(text, classes, allowed):
                         mine[-1][1] = i + c.window
                     else:
                         mine.append([i, i + c.window])
-            out += [(m.start() + a, 3 + k, m.start() + b) for a, b in mine]
+            for a, b in mine:
+                parts = re.split("example|0123456789|1234567890|abcdefghij|ABCDEFGHIJ", s[a:b])
+                if "EXAMPLE" not in s[a:b] and max(map(len, parts)) >= c.window:
+                    out.append((m.start() + a, 3 + k, m.start() + b))
     return out
 
 
@@ -132,3 +135,28 @@ def base_quality(doc, text):
     symbols = sum(c in "#*$%&|<>" for c in text)
     failed = len(w) < 50 or 100 * len(again) > 50 * len(w)
     return doc, len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(again), failed
+
+
+def likelihood_ratios(grams, target, buckets, smoothing):
+    """Mean log ratio of target share to raw share over the bucketed n-grams of each document; None without any."""
+    raw = Counter(g for x in grams for g in x)
+    good = Counter(g for x, t in zip(grams, target) if t for g in x)
+    n, m = sum(raw.values()), sum(good.values())
+
+    def ratio(g):
+        spread = smoothing * buckets
+        return math.log((good[g] + smoothing) / (m + spread)) - math.log((raw[g] + smoothing) / (n + spread))
+
+    return [sum(map(ratio, x)) / len(x) if x else None for x in grams]
+
+
+def quantile(ordered, q):
+    at = q * (len(ordered) - 1)
+    low = ordered[math.floor(at)]
+    return low + (at - math.floor(at)) * (ordered[math.ceil(at)] - low)
+
+
+def best_cut(good, bad, n_bad, lost, weight, prior):
+    """The first of the trusted quantiles with the largest share of bad scores below it, less the weighted loss."""
+    gain = [sum(b < g for b in bad) / len(bad) * n_bad / (n_bad + prior) - weight * x for g, x in zip(good, lost)]
+    return good[max(range(len(good)), key=lambda i: (gain[i], -i))]

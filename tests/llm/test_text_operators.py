@@ -116,7 +116,7 @@ def test_decontamination(frame, block_bytes):
     rows += edge_rows("zz " + (items[5][1] or "")) + [(8000, "a.b " * 3000)]
     bench = frame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     found = wu_manber.find_passages(frame(rows), bench, block_bytes=block_bytes)
-    want = plain.contamination(rows, [x for x in items if x[0] is not None])
+    want = plain.contamination(rows, items)
     got = [
         (r.doc_id, r.n_words, sum(h["last"] - h["first"] for h in r.hits), len(r.items), plain.sha(",".join(r.items)), bool(r.hits))
         for r in found.collect()
@@ -182,6 +182,79 @@ def test_secrets(frame):
     assert rows_of(got) == sorted(clean, key=str)
 
 
+def test_secrets_in_very_long_candidates(frame):
+    rng, n = random.Random(8), 2_000_000
+    base64 = "ABCDEFGHIKLMNOPQRSTUVWXYZabcdefghiklmnopqrstuvwxyz0123456789+/"
+    texts = ["ab/" * (n // 3), "ab1_" * (n // 4), "ab1_" * (n // 4) + "!", "x" * n, "a-" * (n // 2), "ab/cd-" * 2000 + "é" + "z" * n]
+    rows = list(enumerate(texts)) + [(len(texts), "".join(rng.choice(base64) for _ in range(20_000)))]
+    got = {r.doc_id: r.spans for r in secrets.op2(frame(rows)).collect()}
+    assert [got[i] for i in range(len(texts))] == [""] * len(texts)
+    want = plain.entropy_spans(rows[-1][1], secrets.CLASSES, secrets.ALLOWED)
+    assert got[len(texts)] == ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(want)) != ""
+    clean = {r.doc_id: r.text for r in secrets.redact(frame(rows)).collect()}
+    assert [clean[i] for i in range(len(texts))] == texts and len(clean[len(texts)]) < 2000
+
+
+def test_examples_hide_no_key_beside_them(frame):
+    key = "9fK2mQ7xL0pR4tZ8vB1nC6wY3sD5gH"
+    rows = [(1, f"/srv/example/{key}"), (2, "x_example_abcdefghij0123456789ABCDEFGHIJ"), (3, f"of {key}"), (4, key + "EXAMPLE")]
+    got = {r.doc_id: r.spans for r in secrets.op2(frame(rows)).collect()}
+    assert got[1].startswith("entropy_base64:") and got[1].endswith(f":{len(rows[0][1])}") and got[2] == got[4] == "" and got[3] != ""
+
+
+def quality_rows(seed=9):
+    rng = random.Random(seed)
+    text = lambda a, n: " ".join(f"{a if rng.random() < 0.7 else 'w'}{int(rng.random() ** 2 * 60)}" for _ in range(n))
+    rows = [(i, text("w", rng.randrange(40, 90))) for i in range(150)] + [(500 + i, text("j", 70)) for i in range(60)]
+    rows += edge_rows(text("w", 60)) + [(8000, "w1 w2 " * 3000), (8001, "one")]
+    labels = [(i, 1, 0) for i in range(0, 100)] + [(500 + i, 0, 0) for i in range(30)] + [(3, 0, 0), (4, 1, 1), (None, 1, 0)]
+    return rows, labels
+
+
+def test_quality_scores_and_verdicts_against_plain_counts(frame, spark):
+    from pyspark.sql import functions as F
+
+    rows, labels = quality_rows()
+    labels = frame(labels, "doc_id long, quality int, toxic int")
+    buckets = {}
+
+    def hashed(values):  # Spark's own hash, asked value by value
+        new = [v for v in set(values) if v not in buckets]
+        if new:
+            kind = "w string" if isinstance(new[0], str) else "a long, b long"
+            df = spark.createDataFrame([(v,) if isinstance(v, str) else v for v in new], kind)
+            buckets.update(zip(new, (r[0] for r in df.select(F.xxhash64(*df.columns)).collect())))
+        return [buckets[v] for v in values]
+
+    words = [plain.WORD.findall(t or "") for _, t in rows]
+    hashed([w for ws in words for w in ws])
+    single = [[buckets[w] for w in ws] for ws in words]
+    hashed([p for ws in single for p in zip(ws, ws[1:])])
+    grams = [[h % quality.BUCKETS for h in ws + [buckets[p] for p in zip(ws, ws[1:])]] for ws in single]
+    part = {r.trusted: r.part for r in quality.trusted_keys(labels).collect()}
+    assert set(part) == set(range(100)) - {3, 4} and set(part.values()) == {0, 1}
+    score = plain.likelihood_ratios(grams, [part.get(doc) == 0 for doc, _ in rows], quality.BUCKETS, quality.SMOOTHING)
+    judged = quality.judge(frame(rows), labels)
+    cut = None
+    got = {}
+    for r in judged.collect():
+        got.setdefault(r.doc_id, []).append(r)
+    base = [plain.base_quality(*r)[-1] for r in rows]
+    side = {k: sorted(s for (doc, _), s, b in zip(rows, score, base) if not b and s is not None and doc in keys)
+            for k, keys in (("good", {d for d, p in part.items() if p == 1}), ("bad", set(range(500, 530))))}
+    lost = [quality.FALSE_REJECTS + (1 - quality.FALSE_REJECTS) * i / quality.STEPS for i in range(quality.STEPS + 1)]
+    at = lambda v, q: plain.quantile(v, q)
+    cut = plain.best_cut([at(side["good"], q) for q in lost], [at(side["bad"], i / quality.STEPS) for i in range(quality.STEPS + 1)],
+                         len(side["bad"]), lost, quality.GOOD_WEIGHT, quality.BAD_PRIOR)
+    assert sum(s is not None and s < cut for s in score) > 40
+    for (doc, _), s, failed in zip(rows, score, base):
+        for r in got[doc]:
+            assert r.base_failed == failed
+            assert (r.score is None) == (s is None) and (s is None or abs(r.score - s) < 1e-9)
+            if s is None or abs(s - cut) > 1e-9:
+                assert r.kept == (not failed and (s is None or s >= cut))
+
+
 def test_quality_base_rules(frame):
     rng = random.Random(1)
     voc = ["a", "b", "é😀", "#", "x|y", "\n", "\t", "\x0b"]
@@ -371,6 +444,69 @@ def test_wrapped_licenses(frame):
     assert {r.doc_id: (r.licenses, r.has_unknown) for r in licenses.op6(frame(rows)).collect()} == want
 
 
+def test_windows_of_items_without_an_id_hit(frame):
+    text = "a b c d e f g h i j"
+    rows = [(1, f"x {text} y"), (2, "x y")]
+    bench = frame([(None, text)], "item_id long, text string")
+    got = rows_of(wu_manber.op5(frame(rows), bench))
+    assert got == [(1, 12, 10, 0, plain.sha(""), True), (2, 2, 0, 0, plain.sha(""), False)]
+    assert [r.doc_id for r in wu_manber.decontaminate(frame(rows), bench).collect()] == [2]
+
+
+LICENSE_WORDS = (
+    "licensed under|released under|the terms of|the|this|gnu general public license|gnu gpl|gpl|3|2|2.0|lgpl|agpl|license|"
+    "apache license version 2.0|mozilla public license|redistribute it|available|distributed|in no event shall|be liable|x|"
+    "creative commons|cc by|cc0|attribution-noncommercial|all rights reserved|copyright|bsd license|the mit license|subject to|"
+    "you should have received a copy of the gnu|general public license|distributed in the hope that it will be useful|"
+    "neither the name of|may be used to endorse or promote products|redistributions of source code must retain|under|"
+    "permission is hereby granted free of charge to any person obtaining a copy of this software"
+).split("|")
+
+
+def greedy(pattern, joined):
+    """The same sentence by a plain pattern, as the published rule reads."""
+    if not joined:
+        return f"^(?:{pattern})$"
+    start = "^" if pattern.startswith((".*", "(.* )?")) else "(?:^|\\n)"
+    return f"(?s){start}(?:{pattern.replace('[ -]', '[_-]').replace(' ', '[_]').replace('_', ' \\n')})$"
+
+
+def test_linear_patterns_know_the_same_sentences():
+    import re
+
+    rng = random.Random(10)
+    seen = set()
+    lines = [[" ".join(rng.choice(LICENSE_WORDS) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 4))] for _ in range(3000)]
+    for name, pattern in licenses.SENTENCES:
+        alone, over = dict(licenses.ALONE)[name], dict(licenses.JOINED + licenses.JOINED_LAST)[name]
+        for own in lines:
+            known = bool(re.search(greedy(pattern, False), own[0]))
+            assert bool(re.search(alone, own[0])) == known, (name, own[0])
+            body = "\n".join(own)
+            assert bool(re.search(over, body)) == bool(re.search(greedy(pattern, True), body)), (name, body)
+            seen |= {name} if known else set()
+    assert len(seen) >= 18
+
+
+@pytest.mark.parametrize("text", [
+    "licensed " * 300_000, "licensed under the gnu gpl " * 100_000, "released under " * 150_000 + "x", "the x\nthis y\n" * 100_000 + "license",
+    "copyright" + " " * 2_000_000 + "x", "license" + "-" * 2_000_000 + "x", "in no event shall\n" * 100_000, "license\n" + " \t" * 1_000_000 + "x",
+    "licensed under the mozilla public license " * 50_000,
+], ids=range(9))
+def test_long_sentences_take_linear_time(frame, text):
+    import time
+
+    start = time.time()
+    rows = licenses.op6(frame([(1, text)])).collect()
+    assert len(rows) == 1 and time.time() - start < 30
+
+
+def test_licenses_with_clashing_columns(frame):
+    rows = [(1, MIT_TEXT, 5, "q", "z"), (1, MIT_TEXT, 5, "q", "z"), (None, None, None, None, None)]
+    got = licenses.op6(frame(rows, SCHEMA + ", rest int, sentences string, hit_0 string"))
+    assert [(r.doc_id, r.licenses) for r in got.orderBy("doc_id").collect()] == [(None, ""), (1, "MIT,copyright-notice"), (1, "MIT,copyright-notice")]
+
+
 def test_empty_tables(frame):
     none = frame([], SCHEMA + ", lang string, source string")
     labels = frame([], "doc_id long, quality int, toxic int")
