@@ -29,6 +29,7 @@ def main() -> None:
 
     from itemlens.plans.registry import all_queries
     from itemlens.session import local_session
+    from itemlens.sources.hot import hot_tables
 
     extra = {}
     log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
@@ -65,6 +66,7 @@ def main() -> None:
         "runs": runs,
     }
     print(json.dumps(out))
+    hot_tables(spark).close()
     spark.stop()
 
 

@@ -17,6 +17,7 @@ from itemlens.plans.oracle_views import with_views
 from itemlens.plans.q_clean import _Q2_SQL, _YEAR
 from itemlens.plans.registry import register
 from itemlens.sources.catalog import load
+from itemlens.sources.hot import hot_tables
 
 # Feature lists of the reference's models.
 REVENUE_FEATURES = ["budget", "vote_count", "popularity", "runtime"]
@@ -72,15 +73,12 @@ def _lr(label):
     return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
 
 
-_COMPARE_CACHE: dict = {}
-
-
 def _compare(spark, d, label, features):
-    """Fit the three models once per (application, folder, target); later queries reuse the fitted pipelines."""
-    key = (spark.sparkContext.applicationId, d, label)
-    if key not in _COMPARE_CACHE:
-        _COMPARE_CACHE[key] = regress.compare_models(spark, V.analysis_items(spark, d), label, features, ["id"])
-    return _COMPARE_CACHE[key]
+    """The three models of a target, fitted once per state of the folder; later queries reuse the fitted pipelines."""
+    return hot_tables(spark).value(
+        d, f"compare {label}", ("part", "lineitem"),
+        lambda: regress.compare_models(spark, V.analysis_items(spark, d), label, features, ["id"]),
+    )
 
 
 @register("regression_compare_revenue", operators="M1 M5 M6 M7 M8 M9 M10 M11 P8 F1", sql=None)
@@ -253,26 +251,25 @@ def category_index(spark, d):
 
 # -------------------------------------------------------------------------------------------------------- ALS
 
-_ALS_CACHE: dict = {}
+_ALS_SOURCES = ("lineitem", "orders", "part")
 
 
 def _als(spark, d):
-    """Train once per (application, folder): ALS on the id-mapped ratings (user_id, tmdb_id, rating), hash split."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _ALS_CACHE:
-        rwt = joins.map_ids(V.ratings(spark, d), V.links(spark, d), V.titles(spark, d))
-        data = rwt.select("user_id", "tmdb_id", "rating")
-        train, test = split.hash_split(data, ["user_id", "tmdb_id"])
-        model = recommend.train_als(train, item_col="tmdb_id")
-        _ALS_CACHE[key] = (model, train, test, rwt)
-    return _ALS_CACHE[key]
+    """(model, train, test, ratings): ALS on the id-mapped ratings (user_id, tmdb_id, rating), hash split, trained once per
+    state of the folder. The mapped ratings are a hot table: the fit, the lists and every report read them."""
+    rwt = hot_tables(spark).table(
+        d, "mapped_ratings", _ALS_SOURCES, lambda: joins.map_ids(V.ratings(spark, d), V.links(spark, d), V.titles(spark, d))
+    )
+    train, test = split.hash_split(rwt.select("user_id", "tmdb_id", "rating"), ["user_id", "tmdb_id"])
+    model = hot_tables(spark).value(d, "als", _ALS_SOURCES, lambda: recommend.train_als(train, item_col="tmdb_id"))
+    return model, train, test, rwt
 
 
 def _als_recs(spark, d):
     """Top-20 ALS recommendations for every user, written once per application and shared by the list metrics."""
     model, _, _, _ = _als(spark, d)
-    return V.materialized(
-        spark, d, "als_recs", lambda: recommend.als_top_n(model, recommend.RECS_PER_USER, item_col="tmdb_id")
+    return hot_tables(spark).table(
+        d, "als_recs", _ALS_SOURCES, lambda: recommend.als_top_n(model, recommend.RECS_PER_USER, item_col="tmdb_id")
     )
 
 
@@ -295,7 +292,7 @@ def _als_scored(spark, d):
     """Both sides of the split with their predictions and the column ``side``, scored and written once per application."""
     model, train, test, _ = _als(spark, d)
     both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    return V.materialized(spark, d, "als_scored", lambda: recommend.als_scores(model, both, item_col="tmdb_id"))
+    return hot_tables(spark).table(d, "als_scored", _ALS_SOURCES, lambda: recommend.als_scores(model, both, item_col="tmdb_id"))
 
 
 def _als_report(spark, d):

@@ -1,8 +1,8 @@
 """Adapters from the driver's TPC-H-like tables to the logical tables of a ratings/catalogue workload.
 
 Each logical table is derived from the source tables, so every query's work grows with them. The two hot
-aggregates (``ratings`` and the per-item sales behind ``items``) are written once per application to the shared
-checkpoint folder (see :func:`materialized`); everything else is a lazy plan:
+aggregates (``ratings`` and the per-item sales behind ``items``) and the analysis frame are hot tables, written once to the
+shared checkpoint folder (see :mod:`itemlens.sources.hot`); everything else is a lazy plan:
 
 - ``ratings``  (user_id, item_id, rating): customers rate the parts they ordered, rating = avg quantity / 10.
 - ``items``    (item_id, title, budget, revenue, vote_count, vote_average, runtime, language, category,
@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemlens.session import scratch_path
 from itemlens.sources.catalog import load
+from itemlens.sources.hot import hot_tables
 
 # Fixed adapter parameters: which derived rows carry dirty or missing values.
 BAD_ID_MOD = 7
@@ -41,47 +41,12 @@ BAD_RATING_MOD = 97
 EDA_MIN_VOTES = 30
 
 
-_MATERIALIZED: dict = {}
-
-
-def materialized(spark: SparkSession, d: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
-    """A derived table written once per application as parquet under the shared checkpoint folder, then reused.
-
-    This is the durable form of caching a hot table (S9): every later query reads a columnar table with pruning and
-    pushdown instead of recomputing the joins and aggregations behind it, and its lineage is cut, so a lost executor
-    re-reads files instead of recomputing the whole plan. With ``bucket_by`` the table is bucketed on that key
-    (``spark.sql.shuffle.partitions`` buckets) and registered in the session catalog, so later aggregations and
-    joins on the key read it already partitioned: only the other side of a join is shuffled. Bucket only on a key
-    that is unique or evenly spread: a hot key makes one bucket, hence one task, hold all of its rows.
-    """
-    key = (spark.sparkContext.applicationId, d, name)
-    ref = _MATERIALIZED.get(key)
-    if ref is None:
-        path = scratch_path(spark, name)
-        if bucket_by:
-            table = f"itemlens_{name}_{path.rsplit('-', 1)[-1]}"
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            # Repartitioning on the bucket key first (same hash as bucketing) writes one file per bucket instead of
-            # one per (task, bucket).
-            (
-                build().repartition(n, bucket_by).write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
-                .option("path", path).saveAsTable(table)
-            )
-            ref = ("table", table)
-        else:
-            build().write.mode("overwrite").parquet(path)
-            ref = ("path", path)
-        _MATERIALIZED[key] = ref
-    kind, where = ref
-    return spark.table(where) if kind == "table" else spark.read.parquet(where)
-
-
 def ratings(spark: SparkSession, d: str) -> DataFrame:
-    """(user_id, item_id, rating), materialized once per application (see :func:`materialized`)."""
+    """(user_id, item_id, rating), a hot table (:mod:`itemlens.sources.hot`)."""
     # Not bucketed: one item may hold a third of all ratings, and a bucket per item would put that third in one
     # write task and one scan task. Plain parquet splits evenly; item-keyed aggregations combine partially first and
     # skewed item joins are split by adaptive execution.
-    return materialized(spark, d, "ratings", lambda: ratings_plan(spark, d))
+    return hot_tables(spark).table(d, "ratings", ("lineitem", "orders"), lambda: ratings_plan(spark, d))
 
 
 def ratings_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -106,12 +71,12 @@ def _cents(c: str):
 
 
 def item_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Per-part sales aggregates, materialized once per application (see :func:`materialized`).
+    """Per-part sales aggregates, a hot table (:mod:`itemlens.sources.hot`).
 
     One row per item, so buckets on ``item_id`` are even by construction and item-keyed joins skip this side's
     shuffle.
     """
-    return materialized(spark, d, "item_sales", lambda: item_sales_plan(spark, d), bucket_by="item_id")
+    return hot_tables(spark).table(d, "item_sales", ("lineitem",), lambda: item_sales_plan(spark, d), bucket_by="item_id")
 
 
 def item_sales_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -207,7 +172,14 @@ def clean_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def analysis_items(spark: SparkSession, d: str) -> DataFrame:
-    """The analysis frame of the exploratory queries: all items (none dirtied), cleaned, above the popularity cut."""
+    """The analysis frame of the exploratory queries: all items (none dirtied), cleaned, above the popularity cut.
+
+    A hot table: every chart and summary reads it, some several times, and none should parse and clean again.
+    """
+    return hot_tables(spark).table(d, "analysis_items", ("part", "lineitem"), lambda: analysis_plan(spark, d))
+
+
+def analysis_plan(spark: SparkSession, d: str) -> DataFrame:
     from itemlens.operators.clean import clean_items as _clean
     from itemlens.operators.clean import popular_items
 

@@ -89,20 +89,18 @@ def test_movie_exports_pipeline(spark):
     assert got == [(1, 862, "Toy Story", 4.0), (2, 862, "Toy Story", 5.0)]
 
 
-def test_materialized_tables_written_once(spark, sf_small):
-    from itemlens.plans.views import _MATERIALIZED
+def test_hot_tables_written_once(spark, sf_small):
+    from itemlens.plans import views as V
+    from itemlens.sources.hot import hot_tables
 
     a = V.ratings(spark, sf_small)
-    n = len(_MATERIALIZED)
+    n = len(hot_tables(spark).paths())
     b = V.ratings(spark, sf_small)
-    assert len(_MATERIALIZED) == n and a.count() == b.count()
-    V.item_sales(spark, sf_small)
-    key = (spark.sparkContext.applicationId, sf_small, "item_sales")
-    kind, name = _MATERIALIZED[key]
-    assert kind == "table"
-    desc = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
-    assert desc.get("Bucket Columns") == "[`item_id`]"
-    assert _MATERIALIZED[(spark.sparkContext.applicationId, sf_small, "ratings")][0] == "path"
+    assert len(hot_tables(spark).paths()) == n and a.count() == b.count()
+    sales = V.item_sales(spark, sf_small)
+    plan = sales.groupBy("item_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # the item table is bucketed on its key
+    assert a.groupBy("item_id").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") >= 1
 
 
 def test_streaming_restart_is_exactly_once(spark, sf_small):

@@ -271,3 +271,37 @@ def test_rejected_lines_are_kept_and_counted(spark, tmp_path):
     kept = {r.p_partkey: r["_why"] for r in read.cache().collect()}
     assert kept[1] is None and "bad,x,b,t,2,3.5" in kept.values()
     assert [tuple(r) for r in catalog.reject_report({"part": read}, "_why").collect()] == [("part", 3, 2)]
+
+
+# Hot tables
+
+
+def test_hot_tables_follow_their_sources_and_leave_nothing(spark, tmp_path):
+    import os
+
+    from itemlens.sources.hot import HotTables
+
+    folder, built = str(tmp_path), []
+
+    def write(n):
+        spark.range(n).write.mode("overwrite").parquet(f"{folder}/part.parquet")
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(f"{folder}/part.parquet").selectExpr("id * 2 AS id")
+
+    write(10)
+    with HotTables(spark) as hot:
+        for bucket in (None, "id"):
+            name = f"doubled_{bucket}".lower()
+            assert hot.table(folder, name, ("part",), build, bucket).count() == 10
+            assert hot.table(folder, name, ("part",), build, bucket).count() == 10
+        assert len(built) == 2 and hot.value(folder, "n", ("part",), lambda: 1) == 1 == hot.value(folder, "n", ("part",), lambda: 2)
+        old = hot.paths()
+        write(25)
+        for bucket in (None, "id"):
+            assert hot.table(folder, f"doubled_{bucket}".lower(), ("part",), build, bucket).count() == 25
+        assert len(built) == 4 and hot.value(folder, "n", ("part",), lambda: 3) == 3
+        assert not any(map(os.path.exists, old)) and all(map(os.path.exists, hot.paths()))
+        paths = hot.paths()
+    assert not any(map(os.path.exists, paths)) and not spark.catalog.listTables(pattern="itemlens_doubled*")

@@ -16,8 +16,8 @@ NOTES = {
     "S5": "`sources.catalog.schema_report` (metadata only; not a registered query: its work does not grow with data)",
     "S7": "re-aimed: no `toPandas`; every EDA result is a Spark aggregate (`operators.eda`)",
     "S8": "re-aimed: joins/aggregates instead of row collects; only bounded scalars are collected",
-    "S9": "`plans.views.materialized`: hot derived tables written once per application as parquet in the shared "
-    "checkpoint folder; `regress.compare_models` persists and releases its train side",
+    "S9": "`sources.hot.HotTables`: derived tables written once to the shared folder, renewed when their sources change, "
+    "removed on close; `regress.compare_models` persists and releases its train side",
     "S10": "`sources.sinks.write_series`, `sources.catalog.write_csv`",
     "U1": "`functions.vectors.cosine` (built-in higher-order functions instead of a Python UDF)",
     "U2": "`functions.vectors.cosine`",
@@ -25,7 +25,9 @@ NOTES = {
     "R4": "`functions.hashing.hash_bucket`, `operators.split.hash_split`",
     "T9": "`F.posexplode` + 1 in `operators.recommend`",
     "J9": "`operators.similarity`: target vector as a scalar subquery (no cross join)",
-    "M19": "`operators.recommend.als_recommend_all`, `als_unseen_top_k`, `top_k_unseen` (exact, skew-safe)",
+    "M19": "`operators.inner_product.top_items` behind `als_top_n` and `als_unseen_top_k`; `top_k_unseen` (exact, skew-safe)",
+    "A16": "`operators.quantiles.exact_quantiles`: distributed selection",
+    "J1": "`operators.skew.salted_join` for hot items",
 }
 
 
