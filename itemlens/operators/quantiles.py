@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemlens.session import write_scratch_table
+
 #: Bits of the key that the passes look at, from the top.
 PASS_BITS = (22, 21, 21)
 
@@ -105,7 +107,8 @@ def exact_quantiles(
         h = F.lit(float(p)) * (F.col("_n") - 1)
         for j, at in enumerate((F.floor(h), F.ceil(h))):
             ordinals.append(F.struct(F.lit(2 * i + j).alias("which"), at.cast("bigint").alias("rest")))
-    found = _holding(counts, groups, "_d0", F.array(*ordinals)).drop("_c")
+    spark = df.sparkSession
+    found = write_scratch_table(spark, _holding(counts, groups, "_d0", F.array(*ordinals)).drop("_c"), "ordinals")
     for k in range(1, len(digits)):
         prefix = [*groups, *digits[:k]]
         wanted = found.groupBy(*prefix).agg(
@@ -121,6 +124,7 @@ def exact_quantiles(
         lists = wanted.select(*(F.col(c).alias(f"_r{c}") for c in prefix), "_n", "_list")
         counts = counts.join(lists, same(counts, lists, prefix)).drop(*(f"_r{c}" for c in prefix))
         found = _holding(counts, prefix, digits[k], F.col("_list")).drop("_c", "_list")
+        found = found if last else write_scratch_table(spark, found, "ordinals")
     aggs = []
     for i, (p, name) in enumerate(zip(probs, names)):
         h = F.lit(float(p)) * (F.max("_n") - 1)

@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemlens.operators.inner_product import top_items
-from itemlens.operators.skew import salted_join
+from itemlens.operators.skew import FINENESS, salted_join
 from itemlens.operators.topk import global_rank, ordinal_within_group
-from itemlens.session import write_scratch_table
 
 # ALS hyper-parameters of the reference.
 ALS_RANK = 10
@@ -88,8 +87,9 @@ def top_k_unseen(
 
     ``scores`` is (item, score) with one row per item; ``seen`` is (user_id, item); ``users`` is (user_id).
     Returns (user_id, pos, item, score) with ``pos`` in 1..k (fewer when a user has fewer unseen items). Exact;
-    see the module doc for the plan. An item that a third of the users have seen, and the first ranks, which nearly every
-    user asks for, are salted by their counts. ``seen_unique=True`` skips deduplicating ``seen`` (a shuffle of all seen
+    see the module doc for the plan. An item that a third of the users have seen is salted by its count. A user asks
+    for k ranks, each once, so a rank holds at most one k-th of all that is asked for: ranks are dealt to as many parts as
+    that share needs. ``seen_unique=True`` skips deduplicating ``seen`` (a shuffle of all seen
     pairs) when the caller guarantees one row per pair, e.g. ratings grouped by (user, item).
     """
     ranked = global_rank(scores.select(item_col, score_col), [F.desc(score_col), F.col(item_col)], rank_col="rank")
@@ -97,10 +97,12 @@ def top_k_unseen(
     if not seen_unique:
         pairs = pairs.distinct()
     seen_ranks = salted_join(pairs, ranked.select(item_col, "rank"), item_col, ["user_id"]).select("user_id", "rank")
-    slots = write_scratch_table(seen.sparkSession, unseen_slots(seen_ranks, users, k), "slots")
+    salts = -(-FINENESS * int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions")) // k)
+    slots = unseen_slots(seen_ranks, users, k).withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(salts)).cast("int"))
     most = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("s")).agg(F.coalesce(F.max("s"), F.lit(0))).scalar()
     wanted = ranked.filter(F.col("rank") <= most + k).withColumnRenamed("rank", "target_rank")
-    return salted_join(slots, wanted, "target_rank", ["user_id"]).select(
+    wanted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return slots.join(wanted, ["target_rank", "_salt"]).select(
         "user_id", F.col("pos").cast("int").alias("pos"), item_col, score_col
     )
 
