@@ -111,7 +111,7 @@ def _seed_rows(window: int, seed: int):
                         pa.array(again[keep]),
                         pa.array(lead[keep]),
                     ],
-                    ["dealt", "seed", "doc_id", "again", "lead"],
+                    ["dealt", "seed", "own", "again", "lead"],
                 )
 
     return run
@@ -297,16 +297,19 @@ def repeated_spans(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    # Seeds come back by key and text, so rows that share a key (null or repeated) don't get each other's. Texts whose
+    # hashes collide would look up too many windows, no other.
+    rows = rows.withColumn("own", F.xxhash64("doc_id", "text"))
 
-    seeds = rows.mapInArrow(
-        _seed_rows(window, seed), f"dealt bigint, seed bigint, doc_id {kind}, again boolean, lead boolean"
+    seeds = rows.select("own", "text").mapInArrow(
+        _seed_rows(window, seed), "dealt bigint, seed bigint, own bigint, again boolean, lead boolean"
     )
     seeds = seeds.repartition("dealt").sortWithinPartitions("dealt", "lead")
-    seeds = seeds.mapInArrow(_neighbours(["dealt"], ["seed", "doc_id"]), f"seed bigint, doc_id {kind}")
-    seeds = seeds.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))  # at most the seeds of one document
+    seeds = seeds.mapInArrow(_neighbours(["dealt"], ["seed", "own"]), "seed bigint, own bigint")
+    seeds = seeds.groupBy("own").agg(F.collect_set("seed").alias("seeds"))  # at most the seeds of one document
 
     found = (
-        rows.join(seeds.withColumnRenamed("doc_id", "owner"), F.col("doc_id").eqNullSafe(F.col("owner")), "left")
+        rows.join(seeds, "own", "left")
         .select("doc_id", "text", "seeds")
         .mapInArrow(
             _window_rows(window, seed),

@@ -71,9 +71,10 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
 
 
 def minhash(values: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
-    """``k`` MinHash values of every non-empty row, one line per row."""
+    """``k`` MinHash values of every non-empty row, one line per row; they are of 32 bits, as the least of a row's are."""
     salt = W.mix(np.arange(1, k + 1, dtype=np.uint64) * W.U64(0x9E3779B97F4A7C15))
-    factor = W.mix(salt + W.U64(5)) | W.U64(1)
+    factor = (W.mix(salt + W.U64(5)) | W.U64(1)).astype(np.uint32)
+    salt, values = salt.astype(np.uint32), values.astype(np.uint32)
     rows = np.flatnonzero(np.diff(bounds))
     out = np.zeros((len(bounds) - 1, k), dtype=np.uint64)
     for i, j in W.slices(bounds[np.append(rows, len(bounds) - 1)], 1 << 15) if len(rows) else ():
@@ -199,20 +200,21 @@ class _Search:
         """(node, component) of the nodes that have a link and aren't the least of their component."""
         classes = self.signatures.where("n_shingles > 0").groupBy("low", "high").agg(F.min("row").alias("row"))
         nodes = self.signatures.join(classes.select("row"), "row", "left_semi").select(
-            F.col("row").alias("node"), "doc_id", "low", "high", F.col("n_shingles").alias("n"), "bands", "sketch"
+            F.col("row").alias("node"), "doc_id", "text_hash", "low", "high", F.col("n_shingles").alias("n"), "bands", "sketch"
         )
         keyed = nodes.select("node", F.explode("bands").alias("key"))
         shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
         members = write_scratch_table(self.spark, keyed.join(shared, "key"), "buckets")
         met = members.select("node").distinct()
         self.nodes = write_scratch_table(self.spark, nodes.drop("bands").join(met, "node", "left_semi"), "nodes")
-        asked = self.nodes.select("node", "doc_id", "low", "high")
-        texts = self.docs.select(F.col("doc_id").alias("own"), "text")
+        # Rows are found again by key and text, so those that share a key (null or repeated) don't meet each other.
+        asked = self.nodes.select("node", "low", "high", F.xxhash64("doc_id", "text_hash").alias("own"))
+        texts = self.docs.select("text", F.xxhash64("doc_id", F.xxhash64("text")).alias("own"))
         sets = (
-            texts.join(asked, F.col("own").eqNullSafe(F.col("doc_id")))
+            texts.join(asked, "own")
             .select("node", "text", "low", "high")
             .mapInArrow(_sets(self.shingle), "node bigint, shingles binary")
-            .dropDuplicates(["node"])  # repeated rows of one key
+            .dropDuplicates(["node"])  # repeated rows of one key and text
         )
         self.sets = write_scratch_table(self.spark, sets, "sets")
 

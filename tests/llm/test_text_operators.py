@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import time
 
 import pytest
 
@@ -91,6 +92,27 @@ def test_deduplicate_keeps_one_row_of_each_group(frame, copies):
     assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("operator,expected", [(minhash.op9, plain.groups), (lempel_ziv.op10, lambda r: plain.repeats(r, 35))])
+def test_rows_that_share_a_key_cost_no_more(frame, operator, expected):
+    rng = random.Random(12)
+    bases = [[str(rng.randrange(10**6)) for _ in range(80)] for _ in range(50)]
+    texts = [" ".join(rng.choice(bases)[: 40 + rng.randrange(40)] + [str(rng.randrange(99))] * 5) for _ in range(2000)]
+    took = []
+    for key in (lambda i: i, lambda i: None, lambda i: None if i % 3 else 7):
+        rows = [(key(i), t) for i, t in enumerate(texts)]
+        start = time.monotonic()
+        got = operator(frame(rows)).collect()
+        took.append(time.monotonic() - start)
+        assert sorted(map(tuple, got), key=str) == sorted(expected(rows), key=str)
+    assert max(took[1:]) < 2 * took[0] + 5
+
+
+def test_repeated_spans_with_clashing_columns(frame):
+    rows = [(1, "a " * 60, 5, "s"), (None, "b c", 6, None)]
+    got = lempel_ziv.op10(frame(rows, SCHEMA + ", own long, seeds string"))
+    assert rows_of(got) == sorted(plain.repeats([r[:2] for r in rows], 35), key=str)
+
+
 def test_odd_sketch_estimates_distance():
     import numpy as np
 
