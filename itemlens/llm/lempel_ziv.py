@@ -1,10 +1,15 @@
 """Substring dedup by relative Lempel-Ziv parsing: documents are factored against an index of the whole corpus.
 
-A factor is a run of at least ``window`` words in which every ``window`` words also start somewhere else, in the same or
-another document. Parsing goes from left to right: where the ``window`` words at a position are in the index, a factor
-begins and grows word by word while the next ``window`` words are in it too; elsewhere one word is a literal. The longest
-match that a factor follows may end inside a longer repeat that another reference continues, so the ``window`` words that
-cross a factor's end are looked up as well, and factors that touch become one span. All words of the spans are duplicates.
+A factor is a run of at least ``window`` words that also stands somewhere else, its reference: a row and a position in the
+same or another document. Parsing goes from left to right: where the ``window`` words at a position are in the index, a
+factor begins at the reference that the index names, and grows word by word while the next ``window`` words have the
+reference's next position; elsewhere one word is a literal. Where a reference ends, another may continue a longer repeat, so
+the ``window`` words that cross a factor's end are looked up as well and begin factors of their own, and factors that touch
+become one span. All words of the spans are duplicates.
+
+The index names one reference per ``window`` words, not all: the first occurrence in the block, or else the first of the
+other blocks, and for a first occurrence the next one. A factor is the longest run along these, not the longest of all
+possible matches; the spans are the same.
 
 The reference is the corpus, cut into blocks: a scan batch is a block with an index of its own, and the blocks' entries
 meet in a partitioned index. What repeats in a block is known there, so a block sends every distinct entry once, however
@@ -16,7 +21,7 @@ often it occurs, and no key is hot. Two levels keep the index small:
 2. Windows. Documents are joined with their repeated seeds; the windows with such a seed send 96-bit hashes, and a second
    shuffle shows which occur twice.
 
-A third join brings the repeated positions back to the documents. Partitions are read as sorted streams: equal keys are
+A third join brings the repeated positions and their references back to the documents. Partitions are read as sorted streams: equal keys are
 neighbours, and no group is held. Intermediate tables are in the shared scratch folder.
 
 Null texts have no words; a null key is a key; repeated rows repeat each other; texts of fewer than ``window`` words keep
@@ -87,6 +92,20 @@ def _repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (count > 1)[inverse], lead
 
 
+def _references(keys: np.ndarray) -> np.ndarray:
+    """Per key the index of another one of its kind: the first, or for the first the second; itself if it is alone."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
+    other = order[head]
+    followed = np.flatnonzero(new[:-1] & ~new[1:])
+    other[followed] = order[followed + 1]
+    out = np.empty(len(keys), dtype=np.int64)
+    out[order] = other
+    return out
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -146,6 +165,36 @@ def _neighbours(keys: list[str], out: list[str]):
     return run
 
 
+def _referred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that another block has too, from a stream sorted by their hashes: each with the first of its kind, and the first
+    with the next. Windows that repeat in their own block have a reference already."""
+    head, alone = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        carried = head is not None
+        if carried:
+            cols = [np.concatenate([h, c]) for h, c in zip(head, cols)]
+        low, high, row, at, again = cols
+        n = len(low)
+        new = np.ones(n, dtype=bool)
+        new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        other = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        last = int(other[-1])
+        followed = np.flatnonzero(new[:-1] & ~new[1:])
+        other[followed] = followed + 1
+        told = (other != np.arange(n)) & ~again
+        if carried and not alone:
+            told[0] = False  # it has its reference from an earlier batch
+        alone = last == n - 1 and (alone or not (carried and last == 0))
+        head = [c[last : last + 1] for c in cols]
+        told = np.flatnonzero(told)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (row[told], at[told], row[other[told]], at[other[told]])], ["row", "at", "ref", "ref_at"]
+        )
+
+
 def _window_rows(window: int, seed: int):
     """Documents with the windows that may repeat: those that repeat in the block, and hashes of the ones to look up."""
 
@@ -171,6 +220,7 @@ def _window_rows(window: int, seed: int):
         high = (W.window_hashes(t.words, window, seed=23)[starts] >> W.U64(32)).astype("<u4")
         pos = starts - t.first[row]
         ask = lead  # one of each kind asks or tells; the others of its kind are known repeats
+        ref = _references(low)[again]
         bounds = np.searchsorted(row[ask], np.arange(len(t.count) + 1))
         known_bounds = np.searchsorted(row[again], np.arange(len(t.count) + 1))
         needed = np.bincount(row, minlength=len(t.count)) > 0
@@ -183,12 +233,14 @@ def _window_rows(window: int, seed: int):
                 pa.array([full.get(r) for r in range(len(t.count))], pa.string()),
                 text,
                 W.binary_column(pos[again].astype("<i4"), known_bounds),
+                W.binary_column((row[ref] - row[again]).astype("<i4"), known_bounds),
+                W.binary_column(pos[ref].astype("<i4"), known_bounds),
                 W.binary_column(pos[ask].astype("<i4"), bounds),
                 W.binary_column(again[ask], bounds),
                 W.binary_column(low[ask], bounds),
                 W.binary_column(high[ask], bounds),
             ],
-            ["doc_id", "n_words", "kept_sha256", "text", "known", "at", "again", "low", "high"],
+            ["doc_id", "n_words", "kept_sha256", "text", "known", "known_ref", "known_ref_at", "at", "again", "low", "high"],
         )
 
     return run
@@ -230,27 +282,47 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.repeat(row.to_numpy(), size)),
                 pa.array(values(at, "<i4")),
                 pa.array(values(again, "u1").view(bool)),
-                pa.array(np.ones(int(size.sum()), dtype=bool)),
             ],
-            ["low", "high", "row", "at", "again", "lead"],
+            ["low", "high", "row", "at", "again"],
         )
 
 
-def factors(repeats: np.ndarray, n_words: int, window: int) -> list[tuple[int, int]]:
-    """Parses ``n_words`` words: spans (first, last + 1) of the factors, joined where they touch.
+def factors(at: np.ndarray, ref: np.ndarray, ref_at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Parses a document: first word, end, reference row and first word there of its factors, from left to right.
 
-    ``repeats`` are the positions whose ``window`` words are in the index.
+    At position ``at[i]`` (ascending) the ``window`` words also start at ``ref_at[i]`` of row ``ref[i]``. A factor grows by the
+    next word while that stands at the reference's next position.
     """
-    if not len(repeats):
+    grows = (np.diff(at) == 1) & (np.diff(ref) == 0) & (np.diff(ref_at) == 1)
+    first = np.flatnonzero(np.concatenate([[True], ~grows])) if len(at) else np.zeros(0, np.int64)
+    last = np.concatenate([first[1:], [len(at)]])[: len(first)] - 1
+    return at[first], at[last] + window, ref[first], ref_at[first]
+
+
+def joined(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
+    """Spans (first, end) of factors in order, those that touch or cross as one."""
+    if not len(first):
         return []
-    repeats = np.unique(repeats)
-    cut = np.flatnonzero(np.diff(repeats) > window) + 1  # a window that starts inside a factor crosses its end
-    first = repeats[np.concatenate([[0], cut])]
-    last = repeats[np.concatenate([cut - 1, [len(repeats) - 1]])] + window
-    return list(zip(first.tolist(), np.minimum(last, n_words).tolist()))
+    cut = np.flatnonzero(first[1:] > last[:-1])  # ends ascend, as all factors end a window after their last position
+    return list(zip(first[np.concatenate([[0], cut + 1])].tolist(), last[np.concatenate([cut, [len(last) - 1]])].tolist()))
+
+
+def _lists(rows: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.ListArray:
+    """A column of lists of structs, a tuple of equally long field arrays per row."""
+    bounds = np.concatenate([[0], np.cumsum([len(r[0]) for r in rows])])
+    fields = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*rows)]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(fields, names))
 
 
-_SPAN = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+def _positions(row: int, known: list[bytes | None], found: pa.Scalar) -> tuple[np.ndarray, ...]:
+    """Repeated positions of a document in order, with their references."""
+    at, ref, ref_at = (np.frombuffer(k or b"", "<i4").astype(np.int64) for k in known)
+    ref = ref + row  # rows of a block are numbered one after the other
+    if found.is_valid:
+        more = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "ref", "ref_at"))
+        at, ref, ref_at = (np.concatenate(x) for x in zip((at, ref, ref_at), more))
+    order = np.argsort(at, kind="stable")
+    return at[order].astype(np.int64), ref[order], ref_at[order].astype(np.int64)
 
 
 def _parse(window: int):
@@ -258,22 +330,21 @@ def _parse(window: int):
         from hashlib import sha256
 
         for batch in batches:
-            doc, count, full, text, known, found = batch.columns
+            row, doc, count, full, text, *known, found = batch.columns
             raw, offsets = W.utf8(text)
             for i, j in W.slices(offsets, BLOCK_BYTES):
                 part = raw[offsets[i] : offsets[j]]
                 starts, ends, first = W.spans(part, offsets[i : j + 1] - offsets[i], W.SPACE_WORDS)
-                spans, removed, sha = [], [], []
+                spans, parsed, removed, sha = [], [], [], []
                 for r in range(i, j):
                     n, a = count[r].as_py(), int(first[r - i])
-                    at = np.frombuffer(known[r].as_py() or b"", "<i4").astype(np.int64)
-                    if found[r].is_valid:
-                        at = np.concatenate([at, found[r].values.to_numpy(zero_copy_only=False)])
-                    own = factors(at, n, window)
+                    own = factors(*_positions(row[r].as_py(), [k[r].as_py() for k in known], found[r]), window)
+                    whole = joined(*own[:2])
                     keep = np.ones(n, dtype=bool)
-                    for s, e in own:
+                    for s, e in whole:
                         keep[s:e] = False
-                    spans.append([{"first": s, "last": e} for s, e in own])
+                    parsed.append(own)
+                    spans.append(tuple(np.array(whole, dtype=np.int64).reshape(-1, 2).T))
                     removed.append(int(n - keep.sum()))
                     if full[r].is_valid:
                         sha.append(full[r].as_py())
@@ -281,8 +352,16 @@ def _parse(window: int):
                         left = a + np.flatnonzero(keep)
                         sha.append(sha256(_joined(part, starts[left], ends[left])).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [doc.slice(i, j - i), count.slice(i, j - i), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, _SPAN)],
-                    ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"],
+                    [
+                        row.slice(i, j - i),
+                        doc.slice(i, j - i),
+                        count.slice(i, j - i),
+                        pa.array(removed, pa.int64()),
+                        pa.array(sha, pa.string()),
+                        _lists(spans, ("first", "last")),
+                        _lists(parsed, ("first", "last", "ref", "ref_first")),
+                    ],
+                    ["row", "doc_id", "n_words", "n_removed", "kept_sha256", "spans", "factors"],
                 )
 
     return run
@@ -291,8 +370,9 @@ def _parse(window: int):
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int | None = None
 ) -> DataFrame:
-    """One row per document: its key as ``doc_id``, ``n_words``, ``n_removed`` (words in duplicate spans),
-    ``kept_sha256`` (of the other words, joined by one space) and ``spans`` (of words, ``last`` exclusive)."""
+    """One row per document: its number as ``row``, its key as ``doc_id``, ``n_words``, ``n_removed`` (words in duplicate
+    spans), ``kept_sha256`` (of the other words, joined by one space), ``spans`` (of words, ``last`` exclusive) and
+    ``factors``: words from ``first`` to before ``last`` also start at word ``ref_first`` of the document with row ``ref``."""
     seed = seed or max(1, min(SEED, window))
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -313,29 +393,37 @@ def repeated_spans(
         .select("doc_id", "text", "seeds")
         .mapInArrow(
             _window_rows(window, seed),
-            f"doc_id {kind}, n_words bigint, kept_sha256 string, text string, known binary, at binary, again binary, low binary, high binary",
+            f"doc_id {kind}, n_words bigint, kept_sha256 string, text string, known binary, known_ref binary, known_ref_at binary, at binary, again binary, low binary, high binary",
         )
         .withColumn("row", F.monotonically_increasing_id())
     )
     found = write_scratch_table(spark, found, "factors")
 
     asked = found.where(F.octet_length("at") > 0).select("row", "at", "again", "low", "high")
-    asked = asked.mapInArrow(_ask, "low bigint, high int, row bigint, at int, again boolean, lead boolean")
-    asked = asked.repartition("low").sortWithinPartitions("low", "high")
-    hits = asked.mapInArrow(_neighbours(["low", "high"], ["row", "at"]), "row bigint, at int")
-    hits = hits.groupBy("row").agg(F.collect_list("at").alias("found"))  # at most the words of one document
-
-    return (
-        found.select("row", "doc_id", "n_words", "kept_sha256", "text", "known")
-        .join(hits, "row", "left")
-        .select("doc_id", "n_words", "kept_sha256", "text", "known", "found")
-        .mapInArrow(
-            _parse(window),
-            f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, spans array<struct<first:bigint,last:bigint>>",
-        )
+    asked = asked.mapInArrow(_ask, "low bigint, high int, row bigint, at int, again boolean")
+    asked = asked.repartition("low").sortWithinPartitions("low", "high", "row")
+    hits = asked.mapInArrow(_referred, "row bigint, at int, ref bigint, ref_at int")
+    # At most the words of one document.
+    hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "ref", "ref_at")).alias("found"))
+
+    own = found.select("row", "doc_id", "n_words", "kept_sha256", "text", "known", "known_ref", "known_ref_at")
+    return own.join(hits, "row", "left").mapInArrow(
+        _parse(window),
+        f"row bigint, doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, "
+        "spans array<struct<first:bigint,last:bigint>>, "
+        "factors array<struct<first:bigint,last:bigint,ref:bigint,ref_first:bigint>>",
     )
 
 
+def factor_table(parsed: DataFrame) -> DataFrame:
+    """The factors of ``repeated_spans``, a row each: ``doc_id``, ``first``, ``last``, and the reference's key as ``ref_id`` with
+    ``ref_first``. Null keys stay null; documents without factors have no row."""
+    rows = parsed.select("row", "doc_id", "factors")
+    each = rows.select("doc_id", F.explode("factors").alias("f")).select("doc_id", "f.*")
+    names = rows.select(F.col("row").alias("ref"), F.col("doc_id").alias("ref_id"))
+    return each.join(names, "ref").select("doc_id", "first", "last", "ref_id", "ref_first")
+
+
 def op10(docs: DataFrame) -> DataFrame:
     """The contract of op10."""
     return repeated_spans(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
