@@ -1,19 +1,22 @@
 """Language identification by compression with per-language dictionaries.
 
 Texts are read in lower case with all runs of other characters than letters as one space, since capitals and marks say
-nothing of the language. Learning: from the labelled documents a bounded number of texts per language, drawn by a hash of
-key and text, gives the raw-content zstandard dictionary of at most ``DICTIONARY_BYTES``: the words that several of them
-use, the most used ones last, where references are shortest. (Whole texts as content would turn a copy of a wrongly
-labelled document into a perfect match.) Predicting: a text is cut into pieces of ``PIECE_BYTES``; each piece is compressed
-once per language with that language's dictionary, and the sizes of all pieces are added up. The language with the fewest
-bytes wins; equal sums go to the first in alphabetical order.
+nothing of the language. Learning: from the labelled documents about ``LEARNED`` texts per language, drawn by a hash of key
+and text, give the raw-content zstandard dictionary: the terms that several of them use, the most used ones last, where
+references are shortest. (Whole texts as content would turn a copy of a wrongly labelled document into a perfect match.)
+Of a text above ``LEARNED_CHARS``, ``PARTS`` parts spread evenly from its start to its end are learned. A term is a word, or,
+in runs of more than ``LONG_WORD`` letters as in scripts without spaces, each ``GRAM`` letters. Every learned language has a
+dictionary; all together take ``TOTAL_BYTES``, one at most ``DICTIONARY_BYTES``. Predicting: a text is cut into pieces of
+``PIECE_BYTES``; each piece is compressed once per language with that language's dictionary, and the sizes of all pieces are
+added up. The language with the fewest bytes wins; equal sums go to the first in alphabetical order.
 
 ``score`` is the winner's lead over the second in units of ``SURE`` of the plain size, from 0 to 1. Where the lead is below
 ``MARGIN`` of the plain size, the prediction is narrow and ``rejected`` is true; ``lang_pred`` still names the best.
 
-Null texts and texts without a letter are ``und`` with score 0. Null languages and null texts aren't learned from; without
-any labelled text every prediction is ``und``. Null keys, repeated rows and ties are defined above; other columns aren't
-read, and language and source are never inputs of a prediction.
+Null texts and texts without a letter are ``und`` with score 0. Null languages, null keys' folds (``held_out`` null: false) and
+null texts: a row without language or letters isn't learned from; a null key is a key. Repeated rows are learned as often as
+they occur and get equal predictions. An empty table gives no rows; without any labelled text every prediction is ``und``.
+Other columns aren't read, whatever their names, and language and source are never inputs of a prediction.
 """
 
 from __future__ import annotations
@@ -25,14 +28,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
-#: Texts learned from per language, and the longest of them (longer ones aren't learned from).
+#: Texts learned from per language (the bound of the sample).
 LEARNED = 1000
-LEARNED_BYTES = 16 << 10
-#: Texts that must use a word for the dictionary to have it.
+#: Letters of a longer text that are learned, in parts spread over it.
+LEARNED_CHARS = 16 << 10
+PARTS = 4
+#: Texts that must use a term for the dictionary to have it, where the language has that many.
 SHARED_BY = 2
+#: Runs of more letters are learned by their ``GRAM`` letters.
+LONG_WORD = 24
+GRAM = 4
+#: Bytes of one dictionary, and of all.
 DICTIONARY_BYTES = 64 << 10
-#: Languages at most: the most frequent ones of the labelled documents.
-LANGUAGES = 512
+TOTAL_BYTES = 32 << 20
 PIECE_BYTES = 4096
 LEVEL = 6
 #: Leads, as shares of the plain size: below the first a prediction is rejected, from the second on it is certain.
@@ -40,28 +48,46 @@ MARGIN = 0.01
 SURE = 0.1
 
 
+def _learned_text(text: Column) -> Column:
+    """The text, or its parts with a line end between."""
+    size = LEARNED_CHARS // PARTS
+    step = (F.length(text) - size) / (PARTS - 1)
+    parts = [F.substring(text, F.floor(step * i).cast("int") + 1, F.lit(size)) for i in range(PARTS)]
+    return F.when(F.length(text) <= LEARNED_CHARS, text).otherwise(F.concat_ws("\n", *parts))
+
+
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text."""
+    runs = F.split(F.trim(F.regexp_replace(F.lower(text), r"\P{L}+", " ")), " ")
+    grams = F.transform(
+        F.filter(runs, lambda w: F.length(w) > LONG_WORD), lambda w: F.regexp_extract_all(w, F.lit(f"(?=(.{{{GRAM}}}))"), 1)
+    )
+    return F.array_distinct(F.concat(F.filter(runs, lambda w: F.length(w) <= LONG_WORD), F.flatten(grams)))
+
+
 def learned(docs: DataFrame, labelled: Column, lang_col: str = "lang", per_language: int = LEARNED) -> dict[str, bytes]:
     """Dictionary content per language.
 
-    The sample is drawn by comparing a hash of key and text with a share per language, so about ``per_language`` texts of
-    at most ``LEARNED_BYTES`` each are counted, however many there are; the driver gets words and counts, in the order of
-    their use, at most as many per language as can fill a dictionary.
+    The sample is drawn by comparing a hash of key and text with a share per language, so about ``per_language`` texts are
+    counted, however many there are; the driver gets terms and counts, in the order of their use, at most as many per
+    language as can fill a dictionary, which are ``TOTAL_BYTES`` at most in all.
     """
     rows = docs.where(labelled).select(
         F.col("doc_id"), F.col("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    rows = rows.where((F.octet_length("text") <= LEARNED_BYTES) & (F.octet_length("text") > 0))
-    count = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    rows = rows.where(F.octet_length("text") > 0)
+    count = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    held: dict[str, list[bytes]] = {r["lang"]: [] for r in count.collect()}  # one row per language
+    each = min(DICTIONARY_BYTES, TOTAL_BYTES // max(1, len(held)))
     chance = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / (1 << 40)) * F.col("n")
+    # The counts are a row per language, as the dictionaries that every task holds.
     sample = rows.join(F.broadcast(count), "lang").where(chance < per_language)
-    letters = F.trim(F.regexp_replace(F.lower("text"), r"\P{L}+", " "))
-    words = sample.select("lang", F.explode(F.array_distinct(F.split(letters, " "))).alias("word"))
-    used = words.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("texts"))
-    shared = used.where(F.col("texts") >= F.least(F.lit(SHARED_BY), F.lit(per_language)))
+    words = sample.select("lang", "n", F.explode(_terms(_learned_text(F.col("text")))).alias("word"))
+    used = words.where("word <> ''").groupBy("lang", "n", "word").agg(F.count(F.lit(1)).alias("texts"))
+    shared = used.where(F.col("texts") >= F.least(F.lit(SHARED_BY), F.lit(per_language), F.col("n")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("texts"), "word"))
-    most = shared.withColumn("rank", rank).where(F.col("rank") <= DICTIONARY_BYTES // 2)
-    held: dict[str, list[bytes]] = {r["lang"]: [] for r in count.collect()}
-    room = dict.fromkeys(held, DICTIONARY_BYTES)
+    most = shared.withColumn("rank", rank).where(F.col("rank") <= each // 2)
+    room = dict.fromkeys(held, each)
     for r in most.orderBy("lang", "rank").toLocalIterator():
         word = b" " + r["word"].encode()
         if len(word) <= room[r["lang"]]:

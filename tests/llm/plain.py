@@ -160,3 +160,73 @@ def best_cut(good, bad, n_bad, lost, weight, prior):
     """The first of the trusted quantiles with the largest share of bad scores below it, less the weighted loss."""
     gain = [sum(b < g for b in bad) / len(bad) * n_bad / (n_bad + prior) - weight * x for g, x in zip(good, lost)]
     return good[max(range(len(good)), key=lambda i: (gain[i], -i))]
+
+
+def greedy_factors(docs, window):
+    """Per document (first, end, document, first word there) of the factors: at each word, the first other place of the
+    ``window`` words from there begins or continues a factor."""
+    places = {}
+    for d, words in enumerate(docs):
+        for i in range(len(words) - window + 1):
+            places.setdefault(tuple(words[i : i + window]), []).append((d, i))
+    out = []
+    for d, words in enumerate(docs):
+        factors = []
+        for i in range(len(words) - window + 1):
+            other = [p for p in places[tuple(words[i : i + window])] if p != (d, i)]
+            if not other:
+                continue
+            r, p = other[0]
+            if factors:
+                a, b, r0, p0 = factors[-1]
+                if b == i + window - 1 and r == r0 and p == p0 + i - a:
+                    factors[-1] = (a, b + 1, r0, p0)
+                    continue
+            factors.append((i, i + window, r, p))
+        out.append(factors)
+    return out
+
+
+def dictionaries(rows, total):
+    """Raw dictionary per language from all (text, language) pairs, of at most ``total`` bytes each."""
+    import regex
+
+    texts, used = Counter(), {}
+    for text, lang in rows:
+        if not text or lang is None:
+            continue
+        texts[lang] += 1
+        if len(text) > 16384:
+            step = (len(text) - 4096) / 3
+            text = "\n".join(text[int(step * i) :][:4096] for i in range(4))
+        terms = set()
+        for w in regex.findall(r"\p{L}+", text.lower()):
+            terms |= {w} if len(w) <= 24 else {w[i : i + 4] for i in range(len(w) - 3)}
+        used.setdefault(lang, Counter()).update(terms)
+    out = {}
+    for lang, count in used.items():
+        parts, room = [], total
+        for w, n in sorted(count.items(), key=lambda x: (-x[1], x[0].encode())):
+            word = b" " + w.encode()
+            if n >= min(2, texts[lang]) and len(word) <= room:
+                parts.append(word)
+                room -= len(word)
+        out[lang] = b"".join(reversed(parts)) or b" "
+    return out
+
+
+def language(text, contents):
+    """(language, score) by the sizes of the 4096-byte pieces under every dictionary."""
+    import regex
+    import zstandard as z
+
+    data = " ".join(regex.findall(r"\p{L}+", (text or "").lower())).encode()
+    if not data or not contents:
+        return "und", 0.0
+    sizes = []
+    for lang in sorted(contents):
+        d = z.ZstdCompressionDict(contents[lang], dict_type=z.DICT_TYPE_RAWCONTENT)
+        c = z.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False)
+        sizes.append((sum(len(c.compress(data[i : i + 4096])) for i in range(0, len(data), 4096)), lang))
+    best, *rest = sorted(sizes)
+    return best[1], min(1.0, (rest[0][0] - best[0]) / len(data) / 0.1) if rest else 1.0

@@ -49,15 +49,67 @@ def test_repeated_spans(frame):
     rows += edge_rows(base[0]) + [(8000, "x " * 500), (8001, "y" * 100_000 + " z" * 40)]
     assert rows_of(lempel_ziv.op10(frame(rows))) == sorted(plain.repeats(rows, 35), key=str)
     for window, seed in ((5, 2), (1, 1)):
-        got = lempel_ziv.repeated_spans(frame(rows), window=window, seed=seed).drop("spans")
+        got = lempel_ziv.repeated_spans(frame(rows), window=window, seed=seed).drop("row", "spans", "factors")
         assert rows_of(got) == sorted(plain.repeats(rows, window), key=str)
 
 
 def test_factors_join_where_they_touch():
     import numpy as np
 
-    assert lempel_ziv.factors(np.array([0, 1, 4, 10]), 20, 3) == [(0, 7), (10, 13)]
-    assert lempel_ziv.factors(np.array([], dtype=int), 20, 3) == []
+    at, ref = np.array([0, 1, 4, 10]), np.array([7, 7, 7, 7])
+    got = lempel_ziv.factors(at, ref, np.array([5, 6, 9, 15]), 3)
+    assert list(zip(*(x.tolist() for x in got))) == [(0, 4, 7, 5), (4, 7, 7, 9), (10, 13, 7, 15)]
+    assert lempel_ziv.joined(*got[:2]) == [(0, 7), (10, 13)]
+    none = np.zeros(0, dtype=np.int64)
+    assert lempel_ziv.joined(*lempel_ziv.factors(none, none, none, 3)[:2]) == []
+
+
+def factor_rows(seed):
+    rng = random.Random(seed)
+    base = [[str(rng.randrange(9)) for _ in range(60)] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        parts = [rng.choice(base)[rng.randrange(40) :][: rng.randrange(30)] + [str(rng.randrange(1000))] for _ in range(4)]
+        rows.append((i, " ".join(w for p in parts for w in p)))
+    return rows + edge_rows(rows[0][1]) + [(8000, "x " * 300)]
+
+
+def test_factors_against_a_plain_greedy_parser(frame):
+    for window, seed in ((6, 3), (3, 1)):
+        docs = frame(factor_rows(window), parts=1)  # one block, whose rows keep their order
+        words = [(r.text or "").split() for r in docs.collect()]
+        parsed = sorted(lempel_ziv.repeated_spans(docs, window=window, seed=seed).collect())
+        place = [r.row for r in parsed]
+        want = plain.greedy_factors(words, window)
+        assert [[(f.first, f.last, place.index(f.ref), f.ref_first) for f in r.factors] for r in parsed] == want
+        assert sum(map(len, want)) > 100
+
+
+def test_factors_of_many_blocks_stand_at_their_references(frame, monkeypatch):
+    rows = [(i, t) for i, (_, t) in enumerate(factor_rows(5))]
+    texts = {i: (t or "").split() for i, t in rows}
+    window = 6
+    parsed = lempel_ziv.repeated_spans(frame(rows, parts=7), window=window, seed=3)
+    found = {r.doc_id: [(s.first, s.last) for s in r.spans] for r in parsed.collect()}
+    table = lempel_ziv.factor_table(parsed).collect()
+    covered = {i: set() for i in texts}
+    for f in table:
+        own, other = texts[f.doc_id][f.first : f.last], texts[f.ref_id][f.ref_first :][: f.last - f.first]
+        assert own == other and len(own) >= window and (f.doc_id, f.first) != (f.ref_id, f.ref_first)
+        covered[f.doc_id] |= set(range(f.first, f.last))
+    assert covered == {i: {w for s, e in found[i] for w in range(s, e)} for i in texts}
+    assert any(f.ref_id != f.doc_id for f in table) and any(f.last - f.first > window for f in table)
+
+
+def test_references_across_batches():
+    rows = [(1, 1, 5, 0), (1, 1, 6, 1), (1, 1, 7, 2), (1, 2, 5, 3), (2, 2, 8, 4), (2, 2, 9, 5), (3, 0, 1, 6)]
+    want = [(5, 0, 6, 1), (6, 1, 5, 0), (7, 2, 5, 0), (8, 4, 9, 5), (9, 5, 8, 4)]
+    whole = pa.table({n: pa.array(c, k) for n, c, k in zip(
+        ("low", "high", "row", "at"), zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))})
+    whole = whole.append_column("again", pa.array([False] * len(rows)))
+    for size in (1, 2, 3, 7):
+        got = [tuple(r.values()) for b in lempel_ziv._referred(iter(whole.to_batches(size))) for r in b.to_pylist()]
+        assert sorted(got) == want
 
 
 @pytest.fixture(scope="module")
@@ -338,6 +390,51 @@ def test_language(frame):
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
 
 
+def language_rows():
+    rng = random.Random(15)
+    letters = {"aa": "etaoin", "bb": "enisra", "zh": "的一是不了在人有我他", "long": "xyzwvu"}
+    rows = []
+    for i in range(160):
+        lang = rng.choice(list(letters))
+        size = 30_000 if lang == "long" else rng.randrange(1, 900)
+        gap = 0.03 if lang == "zh" else 0.2  # one script has no spaces but at sentence ends
+        rows.append((i, "".join(" " if rng.random() < gap else rng.choice(letters[lang]) for _ in range(size)), lang))
+    rows += [(700 + i, "only one text here", "single") for i in range(1)] + [(800 + i, "q" * 5, None) for i in range(3)]
+    rows += [(d, t, "aa") for d, t in edge_rows("tea eat oat")] + [(8000, "neon " * 40_000, "aa"), (900, "aa bb", "tie1"), (900, "aa bb", "tie2")]
+    return rows
+
+
+def test_language_sizes_and_choice_against_plain_python(frame):
+    import zlib
+
+    rows = language_rows()
+    held = [d is not None and zlib.crc32(str(d).encode()) % 4 == 2 for d, _, _ in rows]
+    contents = plain.dictionaries([r[1:] for r, h in zip(rows, held) if not h], 64 << 10)
+    docs = frame([(*r, 1, "s") for r in rows], SCHEMA + ", lang string, held_out int, lang_pred string")
+    known = "lang is not null and text is not null and not coalesce(crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, false)"
+    from pyspark.sql import functions as F
+
+    assert language.learned(docs, F.expr(known)) == contents and {"zh", "long", "single"} <= set(contents)
+    assert len(contents["zh"]) > 2000
+    got = sorted(language.op3(docs).collect(), key=str)
+    want = sorted(((d, h, *plain.language(t, contents)) for (d, t, _), h in zip(rows, held)), key=str)
+    assert [tuple(g)[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g.score - w[3]) < 1e-9 for g, w in zip(got, want))
+    # Random words of a few letters tell nothing between "aa" and "bb"; long texts and those without spaces are learned.
+    truth = {d: lang for d, _, lang in rows if d is not None and d < 160}
+    assert {g.lang_pred for g in got if truth.get(g.doc_id) == "long"} == {"long"}
+    assert {g.lang_pred for g in got if truth.get(g.doc_id) == "zh"} == {"zh"}
+
+
+def test_many_languages_share_the_dictionary_bytes(frame, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language, "TOTAL_BYTES", 600 * 100)
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i % 23)} shared " * 3, f"l{i:03d}") for i in range(600) for _ in range(2)]
+    got = language.learned(frame(rows, SCHEMA + ", lang string"), F.lit(True))
+    assert len(got) == 600 and max(map(len, got.values())) <= 100 and min(map(len, got.values())) > 5
+
+
 def test_licenses(frame):
     mit = (
         "Copyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this "
