@@ -106,6 +106,14 @@ def _references(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _runs(row: np.ndarray, at: np.ndarray, ref: np.ndarray, ref_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in order with their references, as runs (first, length, reference row from here, first there), and their rows."""
+    same = (np.diff(row) == 0) & (np.diff(at) == 1) & (np.diff(ref) == 0) & (np.diff(ref_at) == 1)
+    first = np.flatnonzero(np.concatenate([[True], ~same])) if len(at) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(at)))
+    return np.stack([at[first], size, ref[first], ref_at[first]], axis=1).astype("<i4"), row[first]
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -222,7 +230,8 @@ def _window_rows(window: int, seed: int):
         ask = lead  # one of each kind asks or tells; the others of its kind are known repeats
         ref = _references(low)[again]
         bounds = np.searchsorted(row[ask], np.arange(len(t.count) + 1))
-        known_bounds = np.searchsorted(row[again], np.arange(len(t.count) + 1))
+        runs, runs_row = _runs(row[again], pos[again], row[ref] - row[again], pos[ref])
+        known_bounds = 4 * np.searchsorted(runs_row, np.arange(len(t.count) + 1))
         needed = np.bincount(row, minlength=len(t.count)) > 0
         full = _sha(raw, t, np.flatnonzero(~needed))
         text = batch.column(1).take(pa.array(np.arange(len(needed)), mask=~needed))
@@ -232,15 +241,13 @@ def _window_rows(window: int, seed: int):
                 pa.array(t.count, pa.int64()),
                 pa.array([full.get(r) for r in range(len(t.count))], pa.string()),
                 text,
-                W.binary_column(pos[again].astype("<i4"), known_bounds),
-                W.binary_column((row[ref] - row[again]).astype("<i4"), known_bounds),
-                W.binary_column(pos[ref].astype("<i4"), known_bounds),
+                W.binary_column(runs.reshape(-1), known_bounds),
                 W.binary_column(pos[ask].astype("<i4"), bounds),
                 W.binary_column(again[ask], bounds),
                 W.binary_column(low[ask], bounds),
                 W.binary_column(high[ask], bounds),
             ],
-            ["doc_id", "n_words", "kept_sha256", "text", "known", "known_ref", "known_ref_at", "at", "again", "low", "high"],
+            ["doc_id", "n_words", "kept_sha256", "text", "known", "at", "again", "low", "high"],
         )
 
     return run
@@ -314,10 +321,11 @@ def _lists(rows: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.Lis
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(fields, names))
 
 
-def _positions(row: int, known: list[bytes | None], found: pa.Scalar) -> tuple[np.ndarray, ...]:
+def _positions(row: int, known: bytes | None, found: pa.Scalar) -> tuple[np.ndarray, ...]:
     """Repeated positions of a document in order, with their references."""
-    at, ref, ref_at = (np.frombuffer(k or b"", "<i4").astype(np.int64) for k in known)
-    ref = ref + row  # rows of a block are numbered one after the other
+    first, size, ref, ref_first = np.frombuffer(known or b"", "<i4").astype(np.int64).reshape(-1, 4).T
+    at, ref_at = W.ragged(first, size), W.ragged(ref_first, size)
+    ref = np.repeat(row + ref, size)  # rows of a block are numbered one after the other
     if found.is_valid:
         more = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "ref", "ref_at"))
         at, ref, ref_at = (np.concatenate(x) for x in zip((at, ref, ref_at), more))
@@ -330,7 +338,7 @@ def _parse(window: int):
         from hashlib import sha256
 
         for batch in batches:
-            row, doc, count, full, text, *known, found = batch.columns
+            row, doc, count, full, text, known, found = batch.columns
             raw, offsets = W.utf8(text)
             for i, j in W.slices(offsets, BLOCK_BYTES):
                 part = raw[offsets[i] : offsets[j]]
@@ -338,7 +346,7 @@ def _parse(window: int):
                 spans, parsed, removed, sha = [], [], [], []
                 for r in range(i, j):
                     n, a = count[r].as_py(), int(first[r - i])
-                    own = factors(*_positions(row[r].as_py(), [k[r].as_py() for k in known], found[r]), window)
+                    own = factors(*_positions(row[r].as_py(), known[r].as_py(), found[r]), window)
                     whole = joined(*own[:2])
                     keep = np.ones(n, dtype=bool)
                     for s, e in whole:
@@ -393,7 +401,7 @@ def repeated_spans(
         .select("doc_id", "text", "seeds")
         .mapInArrow(
             _window_rows(window, seed),
-            f"doc_id {kind}, n_words bigint, kept_sha256 string, text string, known binary, known_ref binary, known_ref_at binary, at binary, again binary, low binary, high binary",
+            f"doc_id {kind}, n_words bigint, kept_sha256 string, text string, known binary, at binary, again binary, low binary, high binary",
         )
         .withColumn("row", F.monotonically_increasing_id())
     )
@@ -406,7 +414,7 @@ def repeated_spans(
     # At most the words of one document.
     hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "ref", "ref_at")).alias("found"))
 
-    own = found.select("row", "doc_id", "n_words", "kept_sha256", "text", "known", "known_ref", "known_ref_at")
+    own = found.select("row", "doc_id", "n_words", "kept_sha256", "text", "known")
     return own.join(hits, "row", "left").mapInArrow(
         _parse(window),
         f"row bigint, doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, "
