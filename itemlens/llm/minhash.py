@@ -13,8 +13,8 @@ word sequences are one node. A link joins two nodes whose sets have a Jaccard si
 3. What is left in ``ROUNDS`` rounds is settled completely: in buckets that still hold several components, all nodes
    outside the bucket's main component are compared by sketch with the nodes of other components. Nodes that the sketches
    can't tell apart form families, and in a family every node outside its main component is compared with all others by
-   counting shared shingles in an index of the full sets. So no link between components is skipped. Buckets and families
-   beyond a block's size are cut into blocks, each pair of blocks a task.
+   counting shared shingles in an index of the full sets. So no link between components is skipped. Larger buckets and
+   families are cut into blocks, each pair of blocks a task, but for pairs of blocks of the main component.
 
 Null and empty texts have no words, an empty set and no link. Null keys are keys; repeated rows are equal texts; an empty
 table gives no rows; other columns aren't read by ``near_duplicates`` and stay in ``deduplicate``.
@@ -41,9 +41,10 @@ BANDS, ROWS = 40, 4
 BITS = 512
 #: Rounds of links to one centre per bucket before the rest is compared completely.
 ROUNDS = 1
-#: Nodes of a bucket, and bytes of a family's sets, that one block of a task holds.
-BLOCK_NODES = 4096
-BLOCK_SET_BYTES = 16 << 20
+#: Nodes of a bucket, and bytes of a family's sets, that one block of a task holds at most, and from which on a group
+#: is cut: the number of blocks is the square root of the load in these units, until blocks reach the most.
+BLOCK_NODES, CUT_NODES = 4096, 256
+BLOCK_SET_BYTES, CUT_SET_BYTES = 16 << 20, 128 << 10
 #: A pair whose estimated similarity is this far below the limit is ruled out.
 MARGIN = 0.2
 #: Bytes of text hashed at once (or one longer text).
@@ -260,7 +261,7 @@ class _Search:
         family = family.select("node", F.col("component").alias("family"))
         rows = family.join(pieces, "node").join(self.sets, "node")
         rows = write_scratch_table(self.spark, rows.withColumn("load", F.octet_length("shingles")), "families")
-        dealt = _in_blocks(rows, "family", BLOCK_SET_BYTES)
+        dealt = _in_blocks(rows, "family", BLOCK_SET_BYTES, CUT_SET_BYTES)
         return dealt.select("task", "side", "node", "component", "main", "shingles").mapInArrow(
             _grouped(_links(self.percent)), "a bigint, b bigint"
         )
@@ -268,28 +269,42 @@ class _Search:
     def similar(self, state: DataFrame) -> DataFrame:
         """Links (a, b) that join all nodes of a bucket whose sketches don't rule out a link between components."""
         rows = state.join(self.nodes.select("node", "n", "sketch"), "node").withColumn("load", F.lit(1))
-        dealt = _in_blocks(rows, "key", BLOCK_NODES)
+        dealt = _in_blocks(rows, "key", BLOCK_NODES, CUT_NODES)
         limit = most_bits(self.percent / 100 - MARGIN, self.k, self.bits)
         return dealt.select("task", "side", "node", "component", "main", "n", "sketch").mapInArrow(
             _grouped(_similar(self.percent, limit)), "a bigint, b bigint"
         )
 
 
-def _in_blocks(rows: DataFrame, group: str, most: int) -> DataFrame:
+def _in_blocks(rows: DataFrame, group: str, most: int, unit: int) -> DataFrame:
     """Rows of groups with several components, dealt to sorted tasks that each hold two blocks of a group.
 
-    A group of more than ``most`` (the sum of ``load``) is cut into blocks by the hash of the node; every pair of blocks is
-    a task, so any two nodes of a group meet in one. ``main`` is the group's component with the most nodes.
+    ``main`` is the group's component with the most nodes. A group of more than ``unit`` (the sum of ``load``) is cut by the
+    hash of the node into blocks of its main component and blocks of the others. A task holds two blocks of others, or one
+    of others and one of the main component, so any two nodes meet in one unless both belong to the main component, where
+    no link is sought. Blocks number as the square root of the units, and hold ``most`` at most.
     """
+
+    def blocks(load: Column) -> Column:
+        return F.greatest(F.ceil(F.sqrt(load / F.lit(unit))), F.ceil(load / F.lit(most))).cast("int")
+
     parts = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("size"), F.sum("load").alias("load"))
     whole = parts.groupBy(group).agg(
-        F.max(F.struct("size", "component")).alias("m"),
-        F.count(F.lit(1)).alias("n"),
-        F.ceil(F.sum("load") / F.lit(most)).cast("int").alias("blocks"),
+        F.max(F.struct("size", "component", "load")).alias("m"), F.count(F.lit(1)).alias("n"), F.sum("load").alias("load")
+    )
+    one = blocks(F.col("load")) <= 1
+    whole = whole.where("n > 1").select(
+        group,
+        F.col("m.component").alias("main"),
+        F.when(one, 1).otherwise(blocks(F.col("load") - F.col("m.load"))).alias("outside"),
+        F.when(one, 0).otherwise(blocks(F.col("m.load"))).alias("inside"),
     )
-    whole = whole.where("n > 1").select(group, F.col("m.component").alias("main"), "blocks")
-    cut = rows.join(whole, group).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = rows.join(whole, group)
+    inner = (F.col("component") == F.col("main")) & (F.col("inside") > 0)
+    block = F.when(inner, F.col("outside") + F.pmod(F.xxhash64("node"), F.greatest("inside", F.lit(1))))
+    cut = cut.withColumn("block", block.otherwise(F.pmod(F.xxhash64("node"), "outside")).cast("int"))
+    facing = F.when(inner, F.col("outside")).otherwise(F.col("outside") + F.col("inside"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), facing - 1)))
     i, j = F.least("block", "other"), F.greatest("block", "other")
     task = F.xxhash64(F.col(group), i, j)
     side = F.when(F.col("block") == i, 0).otherwise(1)

@@ -133,10 +133,42 @@ def test_near_duplicates(frame, copies, monkeypatch):
     # Blocks of few nodes, and components by star steps, give the same groups.
     monkeypatch.setattr(minhash, "BLOCK_NODES", 7)
     monkeypatch.setattr(minhash, "BLOCK_SET_BYTES", 5000)
+    monkeypatch.setattr(minhash, "CUT_NODES", 3)
+    monkeypatch.setattr(minhash, "CUT_SET_BYTES", 1000)
     monkeypatch.setattr(components, "LOCAL_LINKS", 0)
     assert rows_of(minhash.op9(frame(copies))) == want
 
 
+@pytest.mark.parametrize("most,unit", [(1, 1), (5, 2), (40, 3), (1000, 1), (1000, 1000)])
+def test_blocks_bring_all_pairs_outside_the_main_component_together(frame, most, unit):
+    import numpy as np
+
+    rng = random.Random(6)
+    rows = [(g, n, 0 if rng.random() < 0.6 else n % 7 + 1, 1) for g, size in ((1, 90), (2, 1), (3, 2), (4, 12)) for n in range(size)]
+    rows += [(5, n, 0, 1) for n in range(30)]  # one component: nothing to do
+    dealt = minhash._in_blocks(frame(rows, "key long, node long, component long, load int"), "key", most, unit)
+    tasks, met = {}, set()
+    for r in dealt.collect():
+        tasks.setdefault((r.key, r.task), []).append(r)
+    for (key, _), members in tasks.items():
+        side = np.array([r.side for r in members])
+        minor = np.array([r.component != r.main for r in members])
+        for x, facing in minhash._facing(side, minor):
+            met.update((key, *sorted((members[x].node, members[y].node))) for y in facing.tolist() if y != x)
+    want = set()
+    for key in {k for k, *_ in rows}:
+        group = [(n, c) for k, n, c, _ in rows if k == key]
+        sizes = {}
+        for _, c in group:
+            sizes[c] = sizes.get(c, 0) + 1
+        main = max(sizes, key=lambda c: (sizes[c], c))
+        if len(sizes) > 1:
+            want |= {(key, min(a, b), max(a, b)) for a, c in group for b, d in group if a != b and (c != main or d != main)}
+    assert met == want
+    largest = max(map(len, tasks.values()))
+    assert largest == 90 if unit == 1000 else largest < 60
+
+
 def test_deduplicate_keeps_one_row_of_each_group(frame, copies):
     got = minhash.deduplicate(frame([(d, t, d, "s") for d, t in copies], SCHEMA + ", component_id long, gone_id string"))
     assert got.columns == ["doc_id", "text", "component_id", "gone_id"]
