@@ -44,7 +44,7 @@ ROUNDS = 1
 #: Nodes of a bucket, and bytes of a family's sets, that one block of a task holds at most, and from which on a group
 #: is cut: the number of blocks is the square root of the load in these units, until blocks reach the most.
 BLOCK_NODES, CUT_NODES = 4096, 256
-BLOCK_SET_BYTES, CUT_SET_BYTES = 16 << 20, 128 << 10
+BLOCK_SET_BYTES, CUT_SET_BYTES = 16 << 20, 8 << 10
 #: A pair whose estimated similarity is this far below the limit is ruled out.
 MARGIN = 0.2
 #: Bytes of text hashed at once (or one longer text).
