@@ -8,10 +8,11 @@ trusted scores' quantiles from ``FALSE_REJECTS`` up, the one with most bad docum
 the trusted share that it gives up. A few wrong labels on either side lower all these differences alike and don't move the
 cut. Without documents labelled bad it is the ``FALSE_REJECTS`` quantile alone.
 
-The trusted documents are a bounded sample of labelled rows, at most ``TRUSTED`` for the target and as many for the
-threshold, and as many bad ones, in the order of a hash of the key; their keys are the one broadcast by size (16 bytes
-each), beside the model of ``BUCKETS`` numbers. Raw counts, scores and verdicts cover every document. A document is scored
-inside its row: its n-grams look their ratios up in one array of ``BUCKETS`` numbers, and no n-gram is shuffled for it.
+All labelled rows are used: a bit of a hash of the key deals every trusted document to the target or to the threshold, and all
+documents labelled bad go to the threshold. Labels meet texts and scores in joins by key, which shuffle where the keys are more
+than Spark broadcasts by itself; rows without a key are spread by their text. The quantiles are read off a distributed sort of
+the labelled scores, so the driver gets a few rows per quantile. Raw counts, scores and verdicts cover every document. A document
+is scored inside its row: its n-grams look their ratios up in one array of ``BUCKETS`` numbers, and no n-gram is shuffled for it.
 Without trusted documents nothing is rejected by the score.
 
 The base rules (word characters, symbols, repeated lines, words in repeated 3-word windows) are array functions per
@@ -28,13 +29,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemlens.operators.topk import global_rank
 from itemlens.session import write_scratch_table
 
 BUCKETS = 1 << 16
 #: Added to every bucket's count.
 SMOOTHING = 1.0
-#: Most labelled rows that the target, and the threshold, are taken from.
-TRUSTED = 20_000
 #: Share of unseen trusted documents that the threshold gives up at least.
 FALSE_REJECTS = 0.002
 #: What a share of trusted documents lost counts against the same share of bad ones kept.
@@ -107,18 +107,39 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def trusted_keys(labels: DataFrame, key: str = "doc_id", most: int = TRUSTED) -> DataFrame:
-    """(trusted, part) of at most ``2 * most`` labelled rows of quality and without toxicity; part 0 is the target's."""
+def trusted_keys(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(trusted, part) of all labelled keys of quality and without toxicity; part 0 is the target's, part 1 the threshold's."""
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("trusted"))
     good = good.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0")
-    order = F.xxhash64("trusted")
-    return good.orderBy(order, "trusted").limit(2 * most).select("trusted", F.pmod(F.shiftright(order, 7), F.lit(2)).alias("part"))
+    return good.select("trusted", F.pmod(F.shiftright(F.xxhash64("trusted"), 7), F.lit(2)).alias("part"))
 
 
-def bad_keys(labels: DataFrame, key: str = "doc_id", most: int = TRUSTED) -> DataFrame:
-    """(trusted, part) of at most ``most`` rows labelled without quality only; part is 2."""
+def bad_keys(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(trusted, part) of all keys labelled without quality only; part is 2."""
     bad = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("trusted")).agg(F.max("quality").alias("q")).where("q = 0")
-    return bad.orderBy(F.xxhash64("trusted"), "trusted").limit(most).select("trusted", F.lit(2).cast("bigint").alias("part"))
+    return bad.select("trusted", F.lit(2).cast("bigint").alias("part"))
+
+
+def quantiles(values: DataFrame, shares: list[float]) -> tuple[list[float], int]:
+    """The quantiles of the column ``score`` at ``shares``, interpolated as by ``percentile``, and the number of its values.
+
+    Values are ranked by a distributed sort; only those at the wanted ranks, two for a share, come to the driver.
+    """
+    ranked = global_rank(values.where("score IS NOT NULL").select("score", F.monotonically_increasing_id().alias("tie")), ["score", "tie"])
+    n = ranked.count()
+    if not n:
+        return [], 0
+    at = [(n - 1) * p for p in shares]
+    ranks = sorted({int(f(h)) + 1 for h in at for f in (np.floor, np.ceil)})
+    wanted = F.broadcast(values.sparkSession.createDataFrame([(r,) for r in ranks], "rank bigint"))  # two rows for a share
+    found = {r.rank: r.score for r in ranked.join(wanted, "rank").select("rank", "score").collect()}
+
+    def between(h: float) -> float:
+        low, high = int(np.floor(h)), int(np.ceil(h))
+        a, b = found[low + 1], found[high + 1]
+        return a if a == b else (high - h) * a + (h - low) * b
+
+    return [between(h) for h in at], n
 
 
 def best_cut(good: list[float], bad: list[float], n_bad: int, lost: list[float]) -> float:
@@ -130,23 +151,25 @@ def best_cut(good: list[float], bad: list[float], n_bad: int, lost: list[float])
 
 def threshold(scored: DataFrame, known: DataFrame, failed: Column, false_rejects: float) -> float | None:
     """The score below which documents are rejected; ``known`` has the keys of labelled documents, part 1 trusted, part 2 bad."""
-    held = scored.withColumn("failed", failed).join(F.broadcast(known), F.col("doc_id") == F.col("trusted"))
+    held = scored.withColumn("failed", failed).join(known, F.col("doc_id") == F.col("trusted")).select("part", "failed", "score")
+    held = write_scratch_table(scored.sparkSession, held, "labelled")
     lost = [false_rejects + (1 - false_rejects) * i / STEPS for i in range(STEPS + 1)]
-    side = lambda part: F.when((F.col("part") == part) & ~F.col("failed"), F.col("score"))
-    alone, good, bad, n_bad = held.agg(
-        F.percentile(F.when(F.col("part") == 1, F.col("score")), F.lit(false_rejects)),
-        F.percentile(side(1), F.array(*map(F.lit, lost))),
-        F.percentile(side(2), F.array(*(F.lit(i / STEPS) for i in range(STEPS + 1)))),
-        F.count(side(2)),
-    ).first()
-    return best_cut(good, bad, n_bad, lost) if good and bad else alone
+    side = lambda part: held.where((F.col("part") == part) & ~F.col("failed"))
+    good, _ = quantiles(side(1), lost)
+    bad, n_bad = quantiles(side(2), [i / STEPS for i in range(STEPS + 1)])
+    if good and bad:
+        return best_cut(good, bad, n_bad, lost)
+    alone, _ = quantiles(held.where("part = 1"), [false_rejects])
+    return alone[0] if alone else None
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame | None:
     """(bucket, ratio) for every bucket that occurs in ``docs`` (doc_id, text); None without a target."""
-    known = F.broadcast(trusted.where("part = 0").select("trusted"))
-    rows = _hashed(docs.select("doc_id", "text"), "text").select("doc_id", F.concat("words", "pairs").alias("ngrams"))
-    rows = rows.join(known, F.col("doc_id") == F.col("trusted"), "left")
+    # Rows without a key match none; a hash of their texts, in place of the target's part 0, keeps them apart in the join.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    rows = docs.select("doc_id", "text", spread.alias("spread"))
+    rows = rows.join(trusted, (F.col("doc_id") == F.col("trusted")) & (F.col("spread") == F.col("part")), "left")
+    rows = _hashed(rows, "text").select("trusted", F.concat("words", "pairs").alias("ngrams"))
     seen = rows.select(F.col("trusted").isNotNull().cast("bigint").alias("good"), F.explode("ngrams").alias("ngram"))
     counts = seen.groupBy(_bucket("ngram", buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
     counts = write_scratch_table(docs.sparkSession, counts, "ngrams")
