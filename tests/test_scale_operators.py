@@ -111,6 +111,21 @@ def test_large_norms_rule_blocks_out(spark, monkeypatch):
     assert {r.item_id for r in lists.collect()} <= set(range(16))
 
 
+def test_lists_write_no_candidates_per_pair_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(inner_product, "ITEM_BLOCK", 4)
+    monkeypatch.setattr(inner_product, "GROUP_USERS", 10)
+    rng = random.Random(8)
+    draw = lambda: [0.9 + 0.2 * rng.random() for _ in range(4)]  # noqa: E731  norms alike: nearly every block is met
+    items, users = [(i, draw()) for i in range(120)], [(u, draw()) for u in range(90)]
+    lists, _ = inner_product.top_items(factor_table(spark, users), factor_table(spark, items), 3)
+    got = {}
+    for r in lists.orderBy("user_id", "pos").collect():
+        got.setdefault(r.user_id, []).append(r.item_id)
+    assert got == brute_lists(users, items, 3)
+    groups = max(9, spark.sparkContext.defaultParallelism)
+    assert spark.read.parquet(*lists.inputFiles()).count() <= 90 * 3 + groups
+
+
 def test_lists_without_items_or_users(spark):
     some, none = factor_table(spark, [(1, [1.0, 2.0])]), factor_table(spark, [(1, [1.0])]).limit(0)
     for users, items in ((none, some), (some, none), (none, none)):
