@@ -21,8 +21,10 @@ often it occurs, and no key is hot. Two levels keep the index small:
 2. Windows. Documents are joined with their repeated seeds; the windows with such a seed send 96-bit hashes, and a second
    shuffle shows which occur twice.
 
-A third join brings the repeated positions and their references back to the documents. Partitions are read as sorted streams: equal keys are
-neighbours, and no group is held. Intermediate tables are in the shared scratch folder.
+A third join brings the repeated positions and their references back to the documents. Partitions are read as sorted streams:
+equal keys are neighbours, and no group is held. Texts are shuffled once, by a hash of key and text; the table of documents between
+the levels is kept bucketed by it, so this join moves positions to texts. The table holds positions, not hashes, which are
+computed again for the lookup.
 
 Null texts have no words; a null key is a key; repeated rows repeat each other; texts of fewer than ``window`` words keep
 all of them; an empty table gives no rows; other columns are not read.
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemlens.llm import words as W
-from itemlens.session import write_scratch_table
+from itemlens.session import write_bucketed_scratch_table
 
 #: Words of a window and of a seed.
 WINDOW = 35
@@ -225,7 +227,6 @@ def _window_rows(window: int, seed: int):
         starts, row = t.at[may], t.row[may]
         low = W.window_hashes(t.words, window, seed=22)[starts]
         again, lead = _repeated(low)
-        high = (W.window_hashes(t.words, window, seed=23)[starts] >> W.U64(32)).astype("<u4")
         pos = starts - t.first[row]
         ask = lead  # one of each kind asks or tells; the others of its kind are known repeats
         ref = _references(low)[again]
@@ -238,16 +239,15 @@ def _window_rows(window: int, seed: int):
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(3),
                 pa.array(t.count, pa.int64()),
                 pa.array([full.get(r) for r in range(len(t.count))], pa.string()),
                 text,
                 W.binary_column(runs.reshape(-1), known_bounds),
                 W.binary_column(pos[ask].astype("<i4"), bounds),
                 W.binary_column(again[ask], bounds),
-                W.binary_column(low[ask], bounds),
-                W.binary_column(high[ask], bounds),
             ],
-            ["doc_id", "n_words", "kept_sha256", "text", "known", "at", "again", "low", "high"],
+            ["doc_id", "own", "n_words", "kept_sha256", "text", "known", "at", "again"],
         )
 
     return run
@@ -273,25 +273,34 @@ def _joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return out[:-1].tobytes()
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        row, at, again, low, high = (batch.column(k) for k in range(5))
-        size = np.diff(np.frombuffer(at.buffers()[1], np.int32)[at.offset : at.offset + len(at) + 1]) // 4
+def _ask(window: int):
+    """Windows to look up, in three numbers for the shuffle: 96 bits of their hashes, ``low`` and the upper half of ``high``, whose
+    lower half is the position; and ``row``, doubled, plus one where the window repeats in its own block."""
 
-        def values(column: pa.Array, kind: str) -> np.ndarray:
-            o = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            return np.frombuffer(column.buffers()[2], np.uint8)[o[0] : o[-1]].view(kind) if o[-1] > o[0] else np.zeros(0, kind)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = W.utf8(batch.column(1))
+            for i, j in W.slices(offsets, BLOCK_BYTES):
+                yield block(batch.slice(i, j - i), raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
-        yield pa.RecordBatch.from_arrays(
-            [
-                _signed(values(low, "<u8").copy()),
-                pa.array(values(high, "<u4").view("<i4")),
-                pa.array(np.repeat(row.to_numpy(), size)),
-                pa.array(values(at, "<i4")),
-                pa.array(values(again, "u1").view(bool)),
-            ],
-            ["low", "high", "row", "at", "again"],
-        )
+    def values(column: pa.Array, kind: str) -> np.ndarray:
+        o = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.uint8)[o[0] : o[-1]].view(kind) if o[-1] > o[0] else np.zeros(0, kind)
+
+    def block(batch: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+        row, _, at, again = batch.columns
+        size = np.diff(np.frombuffer(at.buffers()[1], np.int32)[at.offset : at.offset + len(at) + 1]) // 4
+        starts, ends, first = W.spans(raw, offsets, W.SPACE_WORDS)
+        words = W.word_hashes(raw, starts, ends)
+        pos = values(at, "<i4").astype(np.int64)
+        place = pos + np.repeat(first[:-1], size)
+        low = W.window_hashes(words, window, seed=22)[place] if len(place) else np.zeros(0, np.uint64)
+        high = W.window_hashes(words, window, seed=23)[place] if len(place) else np.zeros(0, np.uint64)
+        high = high >> W.U64(32) << W.U64(32) | pos.astype(np.uint64)
+        told = 2 * np.repeat(row.to_numpy(), size) + values(again, "u1")
+        return pa.RecordBatch.from_arrays([_signed(low.copy()), _signed(high), pa.array(told)], ["low", "high", "row"])
+
+    return run
 
 
 def factors(at: np.ndarray, ref: np.ndarray, ref_at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -321,13 +330,31 @@ def _lists(rows: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.Lis
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(fields, names))
 
 
-def _positions(row: int, known: bytes | None, found: pa.Scalar) -> tuple[np.ndarray, ...]:
+def _found_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its positions that the index names, with references, as runs (first, length, reference row, first there)."""
+    for batch in batches:
+        lists = batch.column(1)
+        owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        both, ref = (lists.flatten().field(c).to_numpy() for c in ("both", "ref"))
+        order = np.lexsort((both >> 32, owner))
+        owner, both, ref = owner[order], both[order], ref[order]
+        at, ref_at = both >> 32, both & 0xFFFFFFFF
+        goes_on = (np.diff(owner) == 0) & (np.diff(at) == 1) & (np.diff(ref) == 0) & (np.diff(ref_at) == 1)
+        first = np.flatnonzero(np.concatenate([[True], ~goes_on])) if len(at) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(at)))
+        runs = np.stack([at[first], size, ref[first], ref_at[first]], axis=1).astype("<i8")
+        bounds = 4 * np.searchsorted(owner[first], np.arange(batch.num_rows + 1))
+        yield pa.RecordBatch.from_arrays([batch.column(0), W.binary_column(runs.reshape(-1), bounds)], ["row", "found"])
+
+
+def _positions(row: int, known: bytes | None, found: bytes | None) -> tuple[np.ndarray, ...]:
     """Repeated positions of a document in order, with their references."""
     first, size, ref, ref_first = np.frombuffer(known or b"", "<i4").astype(np.int64).reshape(-1, 4).T
     at, ref_at = W.ragged(first, size), W.ragged(ref_first, size)
     ref = np.repeat(row + ref, size)  # rows of a block are numbered one after the other
-    if found.is_valid:
-        more = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "ref", "ref_at"))
+    if found:
+        first, size, other, ref_first = np.frombuffer(found, "<i8").reshape(-1, 4).T
+        more = W.ragged(first, size), np.repeat(other, size), W.ragged(ref_first, size)
         at, ref, ref_at = (np.concatenate(x) for x in zip((at, ref, ref_at), more))
     order = np.argsort(at, kind="stable")
     return at[order].astype(np.int64), ref[order], ref_at[order].astype(np.int64)
@@ -346,7 +373,7 @@ def _parse(window: int):
                 spans, parsed, removed, sha = [], [], [], []
                 for r in range(i, j):
                     n, a = count[r].as_py(), int(first[r - i])
-                    own = factors(*_positions(row[r].as_py(), known[r].as_py(), found[r]), window)
+                    own = factors(*_positions(row[r].as_py(), known[r].as_py(), found[r].as_py()), window)
                     whole = joined(*own[:2])
                     keep = np.ones(n, dtype=bool)
                     for s, e in whole:
@@ -396,26 +423,39 @@ def repeated_spans(
     seeds = seeds.mapInArrow(_neighbours(["dealt"], ["seed", "own"]), "seed bigint, own bigint")
     seeds = seeds.groupBy("own").agg(F.collect_set("seed").alias("seeds"))  # at most the seeds of one document
 
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = (
         rows.join(seeds, "own", "left")
-        .select("doc_id", "text", "seeds")
+        .select("doc_id", "text", "seeds", "own")
         .mapInArrow(
             _window_rows(window, seed),
-            f"doc_id {kind}, n_words bigint, kept_sha256 string, text string, known binary, at binary, again binary, low binary, high binary",
+            f"doc_id {kind}, own bigint, n_words bigint, kept_sha256 string, text string, known binary, at binary, again binary",
         )
         .withColumn("row", F.monotonically_increasing_id())
     )
-    found = write_scratch_table(spark, found, "factors")
-
-    asked = found.where(F.octet_length("at") > 0).select("row", "at", "again", "low", "high")
-    asked = asked.mapInArrow(_ask, "low bigint, high int, row bigint, at int, again boolean")
-    asked = asked.repartition("low").sortWithinPartitions("low", "high", "row")
+    found = write_bucketed_scratch_table(spark, found, "factors", "own", parts)
+
+    asked = found.where(F.octet_length("at") > 0).select("row", "text", "at", "again")
+    asked = asked.mapInArrow(_ask(window), "low bigint, high bigint, row bigint")
+    asked = asked.repartition("low").select(
+        "low",
+        F.shiftright("high", 32).cast("int").alias("high"),
+        F.shiftright("row", 1).alias("row"),
+        F.col("high").bitwiseAND(0xFFFFFFFF).cast("int").alias("at"),
+        (F.col("row") % 2 == 1).alias("again"),
+    )
+    asked = asked.sortWithinPartitions("low", "high", "row")
     hits = asked.mapInArrow(_referred, "row bigint, at int, ref bigint, ref_at int")
-    # At most the words of one document.
-    hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "ref", "ref_at")).alias("found"))
-
-    own = found.select("row", "doc_id", "n_words", "kept_sha256", "text", "known")
-    return own.join(hits, "row", "left").mapInArrow(
+    # At most the words of one document; then as runs, before they go to the texts.
+    both = (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("ref_at")).alias("both")
+    hits = hits.select("row", F.struct(both, "ref").alias("hit")).groupBy("row").agg(F.collect_list("hit").alias("found"))
+    hits = hits.mapInArrow(_found_runs, "row bigint, found binary")
+    hits = hits.join(found.select("row", "own"), "row").select(F.col("row").alias("hit"), F.col("own").alias("hit_own"), "found")
+
+    # Rows with the same key and text share ``own``. Not an equality of two columns, which would be hashed too and texts shuffled.
+    own = found.select("own", "row", "doc_id", "n_words", "kept_sha256", "text", "known")
+    told = own.join(hits, (F.col("own") == F.col("hit_own")) & (F.col("row") - F.col("hit") == 0), "left")
+    return told.select("row", "doc_id", "n_words", "kept_sha256", "text", "known", "found").mapInArrow(
         _parse(window),
         f"row bigint, doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, "
         "spans array<struct<first:bigint,last:bigint>>, "

@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import plain  # noqa: E402
 import pyarrow as pa  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from itemlens.llm import components, language, lempel_ziv, licenses, minhash, quality, secrets, wu_manber  # noqa: E402
 from itemlens.llm import queries as Q  # noqa: E402
@@ -74,6 +75,21 @@ def factor_rows(seed):
     return rows + edge_rows(rows[0][1]) + [(8000, "x " * 300)]
 
 
+def test_positions_go_to_texts_that_stay_in_place(frame, spark):
+    docs = frame(factor_rows(6), parts=3)
+    want = sorted((str(r.doc_id), r.n_removed, r.kept_sha256) for r in lempel_ziv.repeated_spans(docs, window=6, seed=3).collect())
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lempel_ziv.repeated_spans(docs, window=6, seed=3)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((str(r.doc_id), r.n_removed, r.kept_sha256) for r in out.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "Bucketed: true" in plan and not any("text" in line for line in exchanged)
+
+
 def test_factors_against_a_plain_greedy_parser(frame):
     for window, seed in ((6, 3), (3, 1)):
         docs = frame(factor_rows(window), parts=1)  # one block, whose rows keep their order
@@ -361,6 +377,22 @@ def test_quality_scores_and_verdicts_against_plain_counts(frame, spark):
                 assert r.kept == (not failed and (s is None or s >= cut))
 
 
+def test_quality_uses_every_label(spark):
+    rows = spark.range(70_000).select(F.col("id").alias("doc_id"), (F.col("id") < 45_000).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    parts = {r.part: r["count"] for r in quality.trusted_keys(rows).groupBy("part").count().collect()}
+    assert sum(parts.values()) == 45_000 and min(parts.values()) > 20_000
+    assert quality.bad_keys(rows).count() == 25_000
+
+
+def test_quality_quantiles_are_percentiles(spark):
+    rng = random.Random(4)
+    values = spark.createDataFrame([(rng.choice([rng.gauss(0, 1), 0.5]),) for _ in range(997)] + [(None,)], "score double")
+    shares = [0.002, 0.25, 0.5, 0.9991, 1.0]
+    got, n = quality.quantiles(values, shares)
+    assert n == 997 and got == values.agg(F.percentile("score", F.array(*map(F.lit, shares)))).first()[0]
+    assert quality.quantiles(values.limit(0), shares) == ([], 0)
+
+
 def test_quality_base_rules(frame):
     rng = random.Random(1)
     voc = ["a", "b", "é😀", "#", "x|y", "\n", "\t", "\x0b"]
