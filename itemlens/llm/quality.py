@@ -9,8 +9,9 @@ the trusted share that it gives up. A few wrong labels on either side lower all
 cut. Without documents labelled bad it is the ``FALSE_REJECTS`` quantile alone.
 
 All labelled rows are used: a bit of a hash of the key deals every trusted document to the target or to the threshold, and all
-documents labelled bad go to the threshold. Labels meet texts and scores in joins by key, which shuffle where the keys are more
-than Spark broadcasts by itself; rows without a key are spread by their text. The quantiles are read off a distributed sort of
+documents labelled bad go to the threshold. Labels meet scores in a join by key. For the target, a filter of key hashes drops
+other documents in the scan, so of the texts only the target's, and few others, are shuffled for the join by key; raw counts
+need no labels. The quantiles are read off a distributed sort of
 the labelled scores, so the driver gets a few rows per quantile. Raw counts, scores and verdicts cover every document. A document
 is scored inside its row: its n-grams look their ratios up in one array of ``BUCKETS`` numbers, and no n-gram is shuffled for it.
 Without trusted documents nothing is rejected by the score.
@@ -33,6 +34,8 @@ from itemlens.operators.topk import global_rank
 from itemlens.session import write_scratch_table
 
 BUCKETS = 1 << 16
+#: 64-bit words of the filter of the target's keys, 2 MB whatever the input; more keys let more other texts through to the join.
+FILTER_WORDS = 1 << 18
 #: Added to every bucket's count.
 SMOOTHING = 1.0
 #: Share of unseen trusted documents that the threshold gives up at least.
@@ -163,15 +166,41 @@ def threshold(scored: DataFrame, known: DataFrame, failed: Column, false_rejects
     return alone[0] if alone else None
 
 
+def _spot(key: str, words: int) -> tuple[Column, Column]:
+    """The word and the bit of a key in a filter of ``words`` words; a hash of its own, apart from the bit that deals the keys."""
+    h = F.xxhash64(F.col(key), F.lit(1))
+    return F.pmod(F.shiftrightunsigned(h, 6), F.lit(words)).cast("int"), F.pmod(h, F.lit(64)).cast("int")
+
+
+def key_filter(keys: DataFrame, key: str, words: int = FILTER_WORDS) -> DataFrame:
+    """One row: the bits of all keys as one array of the fixed length ``words``. It holds every key's bit, and others' by chance."""
+    word, bit = _spot(key, words)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+    held = keys.select(word.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or(one).alias("bits"))
+    return _in_order(held, "at", "bits", F.lit(0).cast("bigint"), words)
+
+
+def target_documents(docs: DataFrame, trusted: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) whose key is trusted, part 0. The filter drops nearly all others where they are read,
+    so only these texts are shuffled; the join by key decides."""
+    target = trusted.where("part = 0")
+    rows = docs.where(F.col("doc_id").isNotNull())
+    if docs.schema["doc_id"].dataType == trusted.schema["trusted"].dataType:  # else equal keys may have unequal hashes
+        word, bit = _spot("doc_id", words)
+        rows = rows.withColumn("bits", key_filter(target, "trusted", words).scalar())
+        rows = rows.where(F.getbit(F.get("bits", word), bit) == 1).select("doc_id", "text")
+    return rows.join(target.hint("merge"), F.col("doc_id") == F.col("trusted")).select("doc_id", "text")
+
+
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame | None:
     """(bucket, ratio) for every bucket that occurs in ``docs`` (doc_id, text); None without a target."""
-    # Rows without a key match none; a hash of their texts, in place of the target's part 0, keeps them apart in the join.
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
-    rows = docs.select("doc_id", "text", spread.alias("spread"))
-    rows = rows.join(trusted, (F.col("doc_id") == F.col("trusted")) & (F.col("spread") == F.col("part")), "left")
-    rows = _hashed(rows, "text").select("trusted", F.concat("words", "pairs").alias("ngrams"))
-    seen = rows.select(F.col("trusted").isNotNull().cast("bigint").alias("good"), F.explode("ngrams").alias("ngram"))
-    counts = seen.groupBy(_bucket("ngram", buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
+    number = lambda n, name: F.lit(n).cast("bigint").alias(name)
+    rows = docs.select("text", number(1, "raw"), number(0, "good"))
+    rows = rows.unionAll(target_documents(docs, trusted).select("text", number(0, "raw"), number(1, "good")))
+    # With explode, Spark filters on the size of the array first and hashes every text twice.
+    seen = _hashed(rows, "text").select("raw", "good", F.explode_outer(F.concat("words", "pairs")).alias("ngram"))
+    seen = seen.where(F.col("ngram").isNotNull())
+    counts = seen.groupBy(_bucket("ngram", buckets).alias("bucket")).agg(F.sum("raw").alias("raw"), F.sum("good").alias("target"))
     counts = write_scratch_table(docs.sparkSession, counts, "ngrams")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
@@ -181,12 +210,17 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing:
     return counts.select("bucket", ratio.alias("ratio"))
 
 
+def _in_order(rows: DataFrame, at: str, value: str, missing: Column, n: int) -> DataFrame:
+    """One row: the values at 0 to n - 1 as one array of the fixed length ``n``, ``missing`` where ``rows`` has none."""
+    every = rows.sparkSession.range(n).select(F.col("id").cast("int").alias(at)).join(rows, at, "left")
+    each = F.struct(F.col(at).alias("at"), F.coalesce(value, missing).alias("value"))
+    return every.agg(F.array_sort(F.collect_list(each)).alias("all")).select(F.col("all.value").alias("values"))
+
+
 def ratio_array(model: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row: the ratios of ``fit`` in the order of the buckets, as one array of the fixed length ``buckets``; 0 for a bucket
     that no document has."""
-    every = model.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(model, "bucket", "left")
-    each = F.struct("bucket", F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
-    return every.agg(F.array_sort(F.collect_list(each)).alias("all")).select(F.col("all.ratio").alias("ratios"))
+    return _in_order(model, "bucket", "ratio", F.lit(0.0), buckets)
 
 
 def _score(ratios: str, buckets: int = BUCKETS) -> Column:

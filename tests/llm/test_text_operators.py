@@ -377,6 +377,28 @@ def test_quality_scores_and_verdicts_against_plain_counts(frame, spark):
                 assert r.kept == (not failed and (s is None or s >= cut))
 
 
+def test_quality_shuffles_the_targets_texts_only(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(2000).select(F.when(F.col("id") % 50 > 0, F.col("id") % 1990).alias("doc_id"), F.lit("some words").alias("text"))
+    labels = spark.range(0, 400, 2).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    trusted = quality.trusted_keys(labels)
+    target = {r.trusted for r in trusted.where("part = 0").collect()}
+    want = sorted(r.doc_id for r in docs.collect() if r.doc_id in target)
+    assert 50 < len(target) < 150 and len(want) > len(set(want))
+    for words in (1, 4, 1 << 10):  # the smallest filter holds nearly every key
+        got = quality.target_documents(docs, trusted, words)
+        assert sorted(r.doc_id for r in got.collect()) == want
+    narrow = quality.target_documents(docs.withColumn("doc_id", F.col("doc_id").cast("int")), trusted)
+    assert sorted(r.doc_id for r in narrow.collect()) == want
+    passed = docs.where("doc_id IS NOT NULL").withColumn("bits", quality.key_filter(trusted.where("part = 0"), "trusted").scalar())
+    word, bit = quality._spot("doc_id", quality.FILTER_WORDS)
+    assert len(want) <= passed.where(F.getbit(F.get("bits", word), bit) == 1).count() <= len(want) + 5
+    plan = quality.target_documents(docs, trusted)._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("SortMergeJoin"):].split("Exchange hashpartitioning(doc_id")[1]
+    assert "getbit" in side.lower().split("exchange")[0]  # below the shuffle of the texts
+
+
 def test_quality_uses_every_label(spark):
     rows = spark.range(70_000).select(F.col("id").alias("doc_id"), (F.col("id") < 45_000).cast("int").alias("quality"), F.lit(0).alias("toxic"))
     parts = {r.part: r["count"] for r in quality.trusted_keys(rows).groupBy("part").count().collect()}
