@@ -175,6 +175,50 @@ def test_fitted_factors_are_optimal_and_others_are_not(spark, rated, als):
     assert [r.user_id for r in recommend.als_optimality(Shifted, rated).collect() if r.violations] == [3]
 
 
+def test_audit_sums_of_a_hot_user(spark, rated, als):
+    """A user with most of the rows is dealt to parts; sums are those of all rows, and no partial sums are shuffled otherwise."""
+    hot = rated.where("user_id = 0")
+    for _ in range(4):
+        hot = hot.unionByName(hot)
+    many = rated.unionByName(hot)
+    assert [r.user_id for r in skew.hot_keys(many, "user_id", 4).collect()] == [0]
+    v = {r.id: np.array(r.features, dtype=float) for r in als.itemFactors.collect()}
+    x = {r.id: np.array(r.features, dtype=float) for r in als.userFactors.collect()}
+    held = {}
+    for r in many.collect():
+        held.setdefault(r.user_id, []).append((v[r.item_id], r.rating))
+    got = {r.user_id: r for r in recommend.als_optimality(als, many).collect()}
+    assert got.keys() == held.keys()
+    for u, rows in held.items():
+        m, y = np.array([a for a, _ in rows]), np.array([b for _, b in rows])
+        terms = [*(m.T @ m * x[u]).T, recommend.ALS_REG * len(rows) * x[u], -(m.T @ y)]
+        gradient, size = sum(terms), sum(np.abs(t) for t in terms) + 1e-9
+        worst = np.where(x[u] > 0, np.abs(gradient), np.maximum(-gradient, 0)) / size
+        assert abs(got[u].worst - worst.max()) < 1e-9
+    plan = recommend.als_optimality(als, rated)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" not in plan.split("REPARTITION_BY_COL")[1].split("HashAggregate")[0]
+    assert "REPARTITION_BY_COL" in plan
+
+
+def test_fit_frees_its_shuffle_files(spark, rated):
+    """The files of 20 half-steps don't stay until the fit ends, and users go to fewer item blocks than there are user blocks."""
+    import time
+
+    def held():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before = held()
+    recommend.train_als(rated, rank=4, max_iter=10, blocks=9)
+    for _ in range(20):  # files are removed in the background
+        left = len(held() - before)
+        if left < 60:
+            break
+        time.sleep(0.5)
+    assert left < 60  # 20 half-steps of 9 files are 180
+
+
 def test_scored_report_is_the_single_reports(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["train", "test"]), rng.randint(1, 5) * 1.0, rng.choice([rng.uniform(0, 6), math.nan, None])) for _ in range(300)]
