@@ -201,7 +201,7 @@ def test_audit_sums_of_a_hot_user(spark, rated, als):
 
 
 def test_fit_frees_its_shuffle_files(spark, rated):
-    """The files of 20 half-steps don't stay until the fit ends, and users go to fewer item blocks than there are user blocks."""
+    """The files of 20 half-steps don't stay until the fit ends."""
     import time
 
     def held():
@@ -219,6 +219,13 @@ def test_fit_frees_its_shuffle_files(spark, rated):
     assert left < 60  # 20 half-steps of 9 files are 180
 
 
+def test_users_go_to_few_item_blocks(spark, als):
+    """Users keep the session's width, items have fewer blocks unless the number is named."""
+    width = spark.sparkContext.defaultParallelism
+    assert als.userFactors.rdd.getNumPartitions() == width
+    assert als.itemFactors.rdd.getNumPartitions() == max(1, width // recommend.USER_BLOCKS_PER_ITEM_BLOCK) < width
+
+
 def test_scored_report_is_the_single_reports(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["train", "test"]), rng.randint(1, 5) * 1.0, rng.choice([rng.uniform(0, 6), math.nan, None])) for _ in range(300)]
