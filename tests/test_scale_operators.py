@@ -219,6 +219,16 @@ def test_fit_frees_its_shuffle_files(spark, rated):
     assert left < 60  # 20 half-steps of 9 files are 180
 
 
+def test_ratings_are_grouped_in_tasks_of_bounded_input(spark, sf_small, monkeypatch):
+    from itemlens.plans import views
+
+    want = sorted(views.ratings_plan(spark, sf_small).collect())
+    monkeypatch.setattr(views, "RATINGS_PART_BYTES", 5000)
+    df = views.ratings_plan(spark, sf_small)
+    assert sorted(df.collect()) == want and len(want) > 1000
+    assert df.rdd.getNumPartitions() > 4  # the session's shuffle partitions
+
+
 def test_users_go_to_few_item_blocks(spark, als):
     """Users keep the session's width, items have fewer blocks unless the number is named."""
     width = spark.sparkContext.defaultParallelism
