@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from itemlens import session
 from itemlens.operators import evaluate, gram, inner_product, quantiles, recommend, regress, skew
 from itemlens.sources import catalog
+from itemlens.sources.hot import HotTables
 
 
 def plan_of(df):
@@ -219,6 +221,43 @@ def test_fit_frees_its_shuffle_files(spark, rated):
     assert left < 60  # 20 half-steps of 9 files are 180
 
 
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    def held():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    (tmp_path / "part.parquet").mkdir()
+    setting, hot = spark.conf.get(session._FREE_SHUFFLES), HotTables(spark)
+    dealt = spark.range(2000).withColumn("k", F.col("id") % 7).repartition(3, "k")
+    before = held()
+    tables = [
+        session.write_scratch_table(spark, dealt, "dealt"),
+        session.write_bucketed_scratch_table(spark, dealt, "bucketed", "id", 2),
+        hot.table(str(tmp_path), "dealt", ("part",), lambda: dealt),
+        hot.table(str(tmp_path), "keyed", ("part",), lambda: dealt, bucket_by="id"),
+    ]
+    assert not held() - before
+    want = sorted(dealt.collect())  # the frame itself can be read again
+    assert len(want) == 2000 and all(sorted(t.collect()) == want for t in tables)
+    assert spark.conf.get(session._FREE_SHUFFLES) == setting
+    hot.close()
+
+
+def test_a_stored_model_is_read_from_files(spark, rated):
+    held = []
+
+    def fit():
+        model = recommend.train_als(rated, rank=4, max_iter=2)
+        held.extend(sorted(map(tuple, f.collect())) for f in (model.userFactors, model.itemFactors))
+        return model
+
+    model = recommend.stored_model(spark, fit)
+    assert model.userFactors.inputFiles() and model.itemFactors.inputFiles()  # not from the shuffles of the fit
+    assert [sorted(map(tuple, f.collect())) for f in (model.userFactors, model.itemFactors)] == held
+    assert model.rank == 4 and model.getColdStartStrategy() == "nan" and model.getItemCol() == "item_id"
+
+
 def test_ratings_are_grouped_in_tasks_of_bounded_input(spark, sf_small, monkeypatch):
     from itemlens.plans import views
 
