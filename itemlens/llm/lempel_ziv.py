@@ -45,8 +45,8 @@ from itemlens.session import write_bucketed_scratch_table
 #: Words of a window and of a seed.
 WINDOW = 35
 SEED = 20
-#: Bytes of text in one reference block (or one longer document).
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in one reference block (or one longer document). A worker's arrays take about 25 times as much and stay with it.
+BLOCK_BYTES = 2 << 20
 
 
 def _least(x: np.ndarray, size: int, least=np.minimum) -> np.ndarray:

@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 U64 = np.uint64
 
 

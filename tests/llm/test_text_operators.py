@@ -143,6 +143,20 @@ def copies():
     return rows + edge_rows("x Y z") + edge_rows(rows[0][1])
 
 
+def test_blocks_of_texts_take_little_memory():
+    """What a worker holds follows from the block, however much text a batch has."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(4000)) for _ in range(400)]  # about 9 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], ["own", "text"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in lempel_ziv._seed_rows(35, 20)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 100_000 and peak < 100e6, peak
+
+
 def test_near_duplicates(frame, copies, monkeypatch):
     want = sorted(plain.groups(copies), key=str)
     assert rows_of(minhash.op9(frame(copies))) == want
