@@ -128,6 +128,57 @@ def test_lists_write_no_candidates_per_pair_of_blocks(spark, monkeypatch):
     assert spark.read.parquet(*lists.inputFiles()).count() <= 90 * 3 + groups
 
 
+def test_lists_hold_little_beside_them():
+    """Meeting a block, candidates and sorts are bounded, however many users meet it at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    users, items = (rng.random((n, 8)).astype(np.float32) for n in (40_000, 512))
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.int32)
+    group = inner_product._Group(np.arange(40_000), users, 20)
+    tracemalloc.start()
+    try:
+        group.meet(np.arange(512), items, *nothing)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 45 << 20
+    wide, some = items.astype(float), slice(0, 40_000, 997)
+    for u, x in zip(group.ids[some], users[some].astype(float)):
+        want = sorted((-float(np.dot(x, v)), i) for i, v in enumerate(wide))[:20]
+        assert group.item[u].tolist() == [i for _, i in want]
+
+
+def test_ties_and_long_candidate_rows_are_cut_into_sorts(monkeypatch):
+    """Rows of unlike length, ties by item id, and a bound that holds a few rows only."""
+    monkeypatch.setattr(inner_product, "CANDIDATES", 40)
+    monkeypatch.setattr(inner_product, "CHUNK", 3)
+    monkeypatch.setattr(inner_product, "USER_BLOCK", 2)
+    rng = np.random.default_rng(9)
+    ids = np.arange(0, 34, 2)
+    users = rng.integers(0, 3, (17, 3)).astype(np.float32)  # a user without any factor is among them
+    users[5] = 0
+    items = rng.integers(0, 3, (90, 3)).astype(np.float32)
+    items = items[np.argsort(-np.linalg.norm(items, axis=1), kind="stable")]
+    item_ids = rng.permutation(90)
+    seen = sorted({(int(rng.choice(ids)), int(i)) for i in rng.integers(0, 90, 60)} | {(3, 7), (999, 8)})
+    group = inner_product._Group(ids, users, 4)
+    for a in range(0, 90, 30):
+        struck = [(u, p - a) for u, p in seen if a <= p < a + 30]
+        group.meet(item_ids[a : a + 30], items[a : a + 30], np.array([u for u, _ in struck]), np.array([p for _, p in struck]))
+    for n, u in enumerate(ids):
+        scored = sorted((-float(users[n] @ items[p]), int(item_ids[p])) for p in range(90) if (u, p) not in seen)
+        assert group.item[n].tolist() == [i for _, i in scored[:4]]
+
+
+def test_true_cells_are_numpys():
+    rng = np.random.default_rng(3)
+    for rows, columns in ((1, 1), (3, 5), (7, 8), (128, 33)):
+        for share in (0, 0.05, 1):
+            mask = rng.random((rows, columns)) < share
+            assert all((a == b).all() for a, b in zip(inner_product._true_cells(mask), np.nonzero(mask)))
+
+
 def test_lists_without_items_or_users(spark):
     some, none = factor_table(spark, [(1, [1.0, 2.0])]), factor_table(spark, [(1, [1.0])]).limit(0)
     for users, items in ((none, some), (some, none), (none, none)):
