@@ -312,6 +312,11 @@ def test_users_go_to_few_item_blocks(spark, als):
     assert als.itemFactors.rdd.getNumPartitions() == max(1, width // recommend.USER_BLOCKS_PER_ITEM_BLOCK) < width
 
 
+def test_half_of_the_tasks_fit_items(spark, als):
+    """A third of the session's width left most cores idle while item factors were fitted."""
+    assert als.itemFactors.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism // 2
+
+
 def test_scored_report_is_the_single_reports(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["train", "test"]), rng.randint(1, 5) * 1.0, rng.choice([rng.uniform(0, 6), math.nan, None])) for _ in range(300)]
