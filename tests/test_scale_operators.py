@@ -113,6 +113,22 @@ def test_large_norms_rule_blocks_out(spark, monkeypatch):
     assert {r.item_id for r in lists.collect()} <= set(range(16))
 
 
+def test_angles_rule_blocks_out_where_norms_are_alike(spark, monkeypatch):
+    monkeypatch.setattr(inner_product, "ITEM_BLOCK", 16)
+    rng = random.Random(12)
+    at = lambda a: [math.cos(a) * 0.6, math.cos(a) * 0.8, math.sin(a) * 0.6, math.sin(a) * 0.8]
+    items, users = ([(i, at(rng.random() * math.pi / 2)) for i in range(n)] for n in (1000, 50))
+    lists, work = inner_product.top_items(factor_table(spark, users), factor_table(spark, items), 5)
+    got = {}
+    for r in lists.orderBy("user_id", "pos").collect():
+        got.setdefault(r.user_id, []).append(r.item_id)
+    assert got.keys() == {u for u, _ in users}
+    for (u, x), want in zip(users, brute_lists(users, items, 5).values()):
+        score = {i: float(np.dot(np.float32(x).astype(float), np.float32(v).astype(float))) for i, v in items}
+        assert np.allclose([score[i] for i in got[u]], [score[i] for i in want], rtol=1e-6)
+    assert work.first().pairs_scored < 50 * 1000 / 3
+
+
 def test_lists_write_no_candidates_per_pair_of_blocks(spark, monkeypatch):
     monkeypatch.setattr(inner_product, "ITEM_BLOCK", 4)
     monkeypatch.setattr(inner_product, "GROUP_USERS", 10)
