@@ -333,6 +333,21 @@ def test_half_of_the_tasks_fit_items(spark, als):
     assert als.itemFactors.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism // 2
 
 
+def test_sides_are_the_split_in_one_pass(spark, tmp_path):
+    from itemlens.operators import split
+    from itemlens.plans import q_ml
+
+    made = spark.range(500).selectExpr("IF(id % 50 = 0, NULL, id % 40) AS user_id", "id % 90 AS tmdb_id", "'t' AS title", "id % 5 + 0.5D AS rating")
+    made.unionByName(made.limit(30)).write.parquet(str(tmp_path / "mapped"))
+    mapped = spark.read.parquet(str(tmp_path / "mapped"))
+    both = q_ml._als_sides(mapped)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    for side, want in zip(("train", "test"), split.hash_split(mapped.drop("title"), ["user_id", "tmdb_id"])):
+        got = both.filter(F.col("side") == side).drop("side")
+        assert got.count() == want.count() > 0 and got.exceptAll(want.select(got.columns)).isEmpty()
+
+
 def test_scored_report_is_the_single_reports(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["train", "test"]), rng.randint(1, 5) * 1.0, rng.choice([rng.uniform(0, 6), math.nan, None])) for _ in range(300)]
